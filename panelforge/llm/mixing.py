@@ -10,6 +10,9 @@ and blocks are joined by index. DataFrame functions only.
 Defined results: a null text has no words; a source of null is a source of its own, last in order;
 documents of size 0 are never taken; rows that are equal in doc_id and size are interchangeable;
 an empty table gives an empty mix. Other columns are ignored, whatever their names.
+
+Rows that `explode` makes don't count in Spark's size estimates, so joins with them say that they
+are to be merged; otherwise a side that grows with the data would be broadcast.
 """
 
 from __future__ import annotations
@@ -85,7 +88,7 @@ def shard_counts(sources: DataFrame, total: int, shard_slots: int, seed: int) ->
     surplus = units(drawn.groupBy("_shard").agg(F.sum(F.col("n") - F.col("kept")).alias("_over")), "_shard", "_over")
     got = drawn.groupBy("_sid").agg(F.sum("kept").alias("_got"))
     short = units(sources.join(got, "_sid", "left").select("_sid", (F.col("_slots") - F.coalesce("_got", F.lit(0))).alias("_under")), "_sid", "_under")
-    moved = surplus.join(short, "_unit").select("_shard", "_sid", F.lit(1).cast("long").alias("kept"))
+    moved = surplus.join(short.hint("merge"), "_unit").select("_shard", "_sid", F.lit(1).cast("long").alias("kept"))
     return drawn.select("_shard", "_sid", "kept").unionByName(moved).groupBy("_shard", "_sid").agg(F.sum("kept").alias("n"))
 
 
@@ -136,8 +139,8 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: fl
 def taken_words(mix: Mix) -> DataFrame:
     """A row per document: doc_id, size, source_size, target, taken, source."""
     times = mix.slots.groupBy("_sid", "_block").agg(F.count("*").alias("_times"))
-    taken = mix.pieces.join(times, ["_sid", "_block"]).groupBy("_uid").agg(F.sum(F.col("_words") * F.col("_times")).alias("taken"))
-    out = mix.documents.select("_uid", "doc_id", "source", "size").join(taken, "_uid", "left")
+    taken = mix.pieces.join(times.hint("merge"), ["_sid", "_block"]).groupBy("_uid").agg(F.sum(F.col("_words") * F.col("_times")).alias("taken"))
+    out = mix.documents.select("_uid", "doc_id", "source", "size").join(taken.hint("merge"), "_uid", "left")
     names = mix.sources.select(F.col("source").alias("_name"), "source_size", "target")
     out = out.join(names, F.col("source").eqNullSafe(F.col("_name")))
     return out.select("doc_id", F.col("size").cast("long"), F.col("source_size").cast("long"), "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "source")
@@ -148,7 +151,7 @@ def mixed_blocks(mix: Mix) -> DataFrame:
 
     `mix` must have been made with keep=["text"].
     """
-    rows = mix.slots.join(mix.pieces, ["_sid", "_block"]).join(mix.documents.select("_uid", F.col("_row.text").alias("_text")), "_uid")
+    rows = mix.slots.join(mix.pieces.hint("merge"), ["_sid", "_block"]).join(mix.documents.select("_uid", F.col("_row.text").alias("_text")).hint("merge"), "_uid")
     piece = F.slice(words(F.col("_text")), (F.col("_first") + 1).cast("int"), F.col("_words").cast("int"))
     return rows.select(F.col("_shard").alias("shard"), F.col("_sid").alias("source_id"), F.col("_epoch").alias("epoch"), F.col("_block").alias("block"), F.col("_first").alias("first_word"), piece.alias("words"))
 
@@ -159,9 +162,9 @@ def mixed_documents(mix: Mix, columns: list[str]) -> DataFrame:
     A document that a pass took whole keeps its text; of others the taken words are joined by
     blanks. Documents of which nothing was taken are out. `mix` must keep `columns`.
     """
-    took = mix.slots.join(mix.pieces, ["_sid", "_block"]).groupBy("_uid", "_epoch")
+    took = mix.slots.join(mix.pieces.hint("merge"), ["_sid", "_block"]).groupBy("_uid", "_epoch")
     took = took.agg(F.sum("_words").alias("_got"), F.sort_array(F.collect_list(F.struct("_first", "_words"))).alias("_parts"))
-    out = mix.documents.join(took, "_uid")
+    out = mix.documents.join(took.hint("merge"), "_uid")
     split = words(F.col("_row.text"))
     part = F.transform(F.array(split), lambda w: F.flatten(F.transform(F.col("_parts"), lambda p: F.slice(w, (p["_first"] + 1).cast("int"), p["_words"].cast("int")))))[0]
     text = F.when(F.col("_got") == F.col("size"), F.col("_row.text")).otherwise(F.array_join(part, " "))
