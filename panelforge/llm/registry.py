@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from panelforge.llm.common import table
+from panelforge.llm.compact_windows import repeated_passages
 from panelforge.llm.hnsw import near_vectors
 from panelforge.llm.mixing import mix_sources, taken_words
 from panelforge.llm.ngram_join import jaccard_components
@@ -50,11 +51,15 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mix_sources, op2_ngram_jaccard, op3_sentencepiece, op4_hnsw_near_dedup, op5_warc, op6_quality_rules, op7_secret_scan, op8_toxicity, op10_shards)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mix_sources, op2_ngram_jaccard, op3_sentencepiece, op4_hnsw_near_dedup, op5_warc, op6_quality_rules, op7_secret_scan, op8_toxicity, op9_compact_windows, op10_shards)}
 
 ORACLES: dict[str, str] = {
     "op2_ngram_jaccard": r"""
