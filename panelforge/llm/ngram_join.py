@@ -11,8 +11,8 @@ prefix token under every one of several orders:
 * the orders differ in how they break ties: by exact frequency, by its magnitude, or not at all
   beyond "in one class only". A class whose unshared tokens fill its prefix has no candidates.
 
-Links are looked for in two passes. The first verifies, for each class, a few partners with which
-it shares most prefix tokens (neighbours by size and the group's first), and unions them. The
+Links are looked for in two passes. The first verifies, for each class, the two partners with which it
+shares most of its rarest prefix tokens (neighbours by size and each token's hub), and unions them. The
 second verifies every candidate pair that isn't in one component yet, so no link between
 components is lost, while a group of thousands of alike texts isn't expanded into all its pairs.
 Verification compares whole sets.
@@ -37,8 +37,13 @@ from panelforge.llm.common import staged
 from panelforge.llm.components import connected_components
 from panelforge.llm.textvec import batches_of_bytes, distinct, mixed, shingle_hashes, word_hashes
 
-SETS = "doc_id long, n int, cls long, posted array<long>, n_first int"
-FIRST = 6  # sixteenths of the hash space go first in every order
+SETS = "doc_id long, n int, cls long"
+POSTS = "token long, cls long, n int, n_first int"
+FIRST = 5  # sixteenths of the hash space go first in every order
+SHORT = 48  # bits of a posted token; tokens alike in them tie in every order and share a posting
+
+
+RAREST = 8  # prefix tokens of a class through which the first pass looks for partners
 
 
 def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
@@ -61,33 +66,45 @@ def _class_keys(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return mixed(total[begin[1:]] - total[begin[:-1]] + np.diff(begin).astype(np.uint64)).view(np.int64)
 
 
-def _sign(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Set size, class and the tokens to post of each text.
+def _sign(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Set size and class of each text."""
+    for rows, h, begin in _sets(batches, size):
+        yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.diff(begin).astype(np.int32)), pa.array(_class_keys(h, begin))], names=["doc_id", "n", "cls"])
+
+
+def _post(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Postings of each text: all its tokens of the first part, in short.
 
-    Posted are all tokens of the first part; if those don't fill the prefix, also the smallest of
-    the rest, which is how every order goes on.
+    If those don't fill the prefix, also the smallest of the rest, which is how every order goes on.
     """
     limit = np.uint64(FIRST << 60)
-    for rows, h, begin in _sets(batches, size):
-        n = np.diff(begin)
-        doc = np.repeat(np.arange(len(n)), n)
-        first = np.concatenate(([0], np.cumsum(h < limit)))  # sets are sorted: the first part leads
-        n_first = first[begin[1:]] - first[begin[:-1]]
-        post = np.maximum(n_first, np.minimum(prefix_length(n, percent), n))
-        keep = np.arange(len(h)) - begin[doc] < post[doc]
-        offsets = np.concatenate(([0], np.cumsum(post))).astype(np.int32)
-        posted = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(h[keep].view(np.int64)))
-        yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(n.astype(np.int32)), pa.array(_class_keys(h, begin)), posted, pa.array(n_first.astype(np.int32))], names=["doc_id", "n", "cls", "posted", "n_first"])
+    for _, h, begin in _sets(batches, size):
+        doc = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
+        short = h >> np.uint64(64 - SHORT)
+        new = np.ones(len(h), bool)
+        new[1:] = (short[1:] != short[:-1]) | (doc[1:] != doc[:-1])
+        at = np.concatenate(([0], np.cumsum(new)))[begin]
+        lead = np.concatenate(([0], np.cumsum(h[new] < limit)))  # sets are sorted: the first part leads
+        n, n_first, held = np.diff(begin), lead[at[1:]] - lead[at[:-1]], np.diff(at)
+        post = np.maximum(n_first, np.minimum(prefix_length(n, percent), held))
+        d = doc[new]
+        keep = np.arange(len(d)) - at[d] < post[d]
+        d, t = d[keep], short[new][keep]
+        cls = _class_keys(h, begin)
+        yield pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(cls[d]), pa.array(n[d].astype(np.int32)), pa.array(n_first[d].astype(np.int32))], names=["token", "cls", "n", "n_first"])
+
+
+def _hits(keys: np.ndarray, flags: np.ndarray, bits: int) -> np.ndarray:
+    mask = np.uint64((1 << bits) - 1)
+    return (flags[(keys & mask).astype(np.int64)] & flags[((keys >> np.uint64(32)) & mask).astype(np.int64)]) == 1
 
 
 def _candidate_sets(batches: Iterator[pa.RecordBatch], size: int, wanted, bits: int) -> Iterator[pa.RecordBatch]:
     """Class and set (as bytes) of texts whose class may be wanted, by a Bloom filter."""
     flags = np.unpackbits(np.frombuffer(wanted.value, np.uint8))
-    mask = np.uint64((1 << bits) - 1)
     for _, h, begin in _sets(batches, size):
         cls = _class_keys(h, begin)
-        u = cls.view(np.uint64)
-        hit = np.flatnonzero((flags[(u & mask).astype(np.int64)] & flags[((u >> np.uint64(32)) & mask).astype(np.int64)] == 1) & (np.diff(begin) > 0))
+        hit = np.flatnonzero(_hits(cls.view(np.uint64), flags, bits) & (np.diff(begin) > 0))
         seen, out = set(), []
         for i in hit:
             if (c := int(cls[i])) not in seen:
@@ -111,12 +128,11 @@ def bloom_of(keys: DataFrame, column: str, bits: int) -> bytes:
     return out.tobytes()
 
 
-def shared_tokens(signed: DataFrame) -> DataFrame:
+def shared_tokens(posts: DataFrame) -> DataFrame:
     """token, cls, n, n_first, df of posted tokens that two classes have; one shuffle of the postings.
 
     Copies of a class post the same rows: those are dropped after singletons have gone.
     """
-    posts = signed.filter("n > 0").select("cls", "n", "n_first", F.explode("posted").alias("token"))
     w = Window.partitionBy("token")
     counted = posts.select("*", F.min("cls").over(w).alias("_lo"), F.max("cls").over(w).alias("_hi"), F.count("*").over(w).alias("df"))
     return counted.filter("_lo <> _hi").drop("_lo", "_hi").dropDuplicates(["token", "cls"])
@@ -128,23 +144,31 @@ def prefixes(shared: DataFrame, percent: int) -> DataFrame:
     A class's unshared tokens of the first part come before its shared ones in every order.
     """
     p = F.expr(f"n - cast(floor((n * {percent}L + 99) / 100) as int) + 1")
-    rest = F.shiftrightunsigned("token", 60) >= FIRST
+    rest = F.shiftrightunsigned("token", SHORT - 4) >= FIRST
     df = F.when(rest, F.lit(0)).otherwise(F.col("df"))
     lone = F.col("n_first") - F.sum((~rest).cast("int")).over(Window.partitionBy("cls"))
     tie = lambda k: F.col("token") if k == 0 else F.xxhash64(F.lit(k), "token")
     # tokens of the rest are posted only as far as the prefix may reach, so their place among all of them is that of the posting
-    out = shared.withColumns({"_p": p, "_lone": lone})
+    out = shared.withColumns({"_p": p, "_lone": lone, "hub": F.sum("df").over(Window.partitionBy("cls")) / F.col("n")})
     for k, key in enumerate((df, F.when(rest, 0).otherwise(F.floor(F.log2("df"))), F.lit(0)), 1):
         at = F.row_number().over(Window.partitionBy("cls").orderBy(rest.cast("int"), key, F.when(rest, F.col("token")).otherwise(tie(k)), "token"))
         out = out.withColumn(f"in_{k}", rest | (at <= F.col("_p") - F.col("_lone")))
-    return out.filter("in_1 or in_2 or in_3").select("token", "cls", "n", "in_1", "in_2", "in_3")
+        out = out.withColumn("rarest", F.col("in_1") & (at <= RAREST)) if k == 1 else out
+    return out.filter("in_1 or in_2 or in_3").select("token", "cls", "n", "in_1", "in_2", "in_3", "rarest", "hub")
 
 
 def first_partners(marked: DataFrame, percent: int, keep: int) -> DataFrame:
-    """a, b: for each class up to `keep` partners, those with which it shares most prefix tokens."""
+    """a, b: for each class up to `keep` partners, those with which it shares most of its rarest prefix tokens.
+
+    In a token's group a class meets its neighbour by size and the group's hub: the class whose
+    tokens are common in the corpus for its size. Where texts are edits of one original, that is
+    the original, which is nearer to each of them than they are to each other.
+    """
     w = Window.partitionBy("token").orderBy("n", "cls")
-    near = marked.filter("in_1").select("cls", "n", F.lag(F.struct("cls", "n")).over(w).alias("_near"), F.first(F.struct("cls", "n")).over(w).alias("_first"))
-    pairs = near.select("cls", "n", F.explode(F.array("_near", "_first")).alias("_o")).filter(f"_o is not null and _o.cls <> cls and _o.n * 100 >= n * {percent}L")
+    me = F.struct("cls", "n")
+    near = marked.filter("rarest").select("cls", "n", F.lag(me).over(w).alias("_near"), F.max(F.struct("hub", "cls", "n")).over(Window.partitionBy("token")).alias("_hub"))
+    near = near.withColumn("_hub", F.struct(F.col("_hub.cls").alias("cls"), F.col("_hub.n").alias("n")))
+    pairs = near.select("cls", "n", F.explode(F.array("_near", "_hub")).alias("_o")).filter(f"_o is not null and _o.cls <> cls and _o.n * 100 >= n * {percent}L and n * 100 >= _o.n * {percent}L")
     counted = pairs.groupBy("cls", F.col("_o.cls").alias("_b")).agg(F.count("*").alias("_n"))
     best = F.row_number().over(Window.partitionBy("cls").orderBy(F.desc("_n"), "_b"))
     return counted.withColumn("_rank", best).filter(F.col("_rank") <= keep).select(F.least("cls", "_b").alias("a"), F.greatest("cls", "_b").alias("b")).distinct()
@@ -153,10 +177,13 @@ def first_partners(marked: DataFrame, percent: int, keep: int) -> DataFrame:
 def open_pairs(marked: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """a, b: pairs of classes of different components that share prefix tokens under every order.
 
-    In a token's group only members outside its largest component start pairs, so a group that is
-    one component, or nearly, is not expanded.
+    Tokens of one component have no such pair and go first. In the groups that are left only
+    members outside a token's largest component start pairs, so a group that is one component, or
+    nearly, is not expanded.
     """
     at = marked.join(roots, F.col("cls") == F.col("node"), "left").select("token", "cls", "n", "in_1", "in_2", "in_3", F.coalesce("root", "cls").alias("root"))
+    w = Window.partitionBy("token")
+    at = staged(at.select("*", (F.min("root").over(w) != F.max("root").over(w)).alias("_open")).filter("_open").drop("_open"), "shingle-open")
     pairs = None
     for k in (1, 2, 3):
         post = at.filter(f"in_{k}").select("token", "cls", "n", "root")
@@ -167,7 +194,7 @@ def open_pairs(marked: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
         both = live.join(some, "token").filter(f"root <> r2 and n * 100 >= n2 * {percent}L and n2 * 100 >= n * {percent}L")
         found = both.select(F.least("cls", "c2").alias("a"), F.greatest("cls", "c2").alias("b")).distinct()
         pairs = found if pairs is None else pairs.join(found, ["a", "b"])
-    return pairs
+    return staged(pairs, "shingle-pairs")
 
 
 def _agree(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -184,27 +211,37 @@ def _agree(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], names=["a", "b"])
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int, label: str) -> DataFrame:
-    """Those of the pairs whose whole sets link."""
-    left, right = sets.select(F.col("cls").alias("a"), F.col("set").alias("_x")), sets.select(F.col("cls").alias("b"), F.col("set").alias("_y"))
+def _in_filter(batches: Iterator[pa.RecordBatch], wanted, bits: int) -> Iterator[pa.RecordBatch]:
+    flags = np.unpackbits(np.frombuffer(wanted.value, np.uint8))
+    for batch in batches:
+        yield batch.filter(pa.array(_hits(batch.column(0).to_numpy().view(np.uint64), flags, bits)))
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int, bits: int, label: str) -> DataFrame:
+    """Those of the pairs whose whole sets link. Only sets that a pair may name are shuffled."""
+    names = pairs.select(F.explode(F.array("a", "b")).alias("cls"))
+    wanted = pairs.sparkSession.sparkContext.broadcast(bloom_of(names, "cls", bits))
+    some = sets.mapInArrow(partial(_in_filter, wanted=wanted, bits=bits), sets.schema)
+    left, right = some.select(F.col("cls").alias("a"), F.col("set").alias("_x")), some.select(F.col("cls").alias("b"), F.col("set").alias("_y"))
     full = pairs.join(left, "a").join(right, "b").select("a", "b", "_x", "_y")
     return staged(full.mapInArrow(partial(_agree, percent=percent), "a long, b long"), label)
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, partners: int = 2, bloom_bits: int = 24) -> DataFrame:
     """A row per document: doc_id, n_shingles, component_id."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    signed = staged(rows.mapInArrow(partial(_sign, size=size, percent=percent), SETS), "shingle-sets")
-    marked = staged(prefixes(shared_tokens(signed), percent), "shingle-prefixes")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
+    signed = staged(rows.mapInArrow(partial(_sign, size=size), SETS), "shingle-classes")
+    posts = rows.mapInArrow(partial(_post, size=size, percent=percent), POSTS)
+    marked = staged(prefixes(shared_tokens(posts), percent), "shingle-prefixes")
+    candidates = staged(marked.select("cls").distinct(), "shingle-candidates")
 
     pairs = staged(first_partners(marked, percent, partners), "shingle-partners")
-    spark = docs.sparkSession
-    wanted = spark.sparkContext.broadcast(bloom_of(marked.select("cls").distinct(), "cls", bloom_bits))
+    wanted = docs.sparkSession.sparkContext.broadcast(bloom_of(candidates, "cls", bloom_bits))
     sets = rows.mapInArrow(partial(_candidate_sets, size=size, wanted=wanted, bits=bloom_bits), "cls long, set binary")
-    sets = staged(sets.join(marked.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"]), "shingle-candidates")
-    links = verified(pairs, sets, percent, "shingle-links")
+    sets = staged(sets.join(candidates, "cls", "left_semi").dropDuplicates(["cls"]), "shingle-sets")
+    links = verified(pairs, sets, percent, bloom_bits, "shingle-links")
     roots = connected_components(links, "a", "b")
-    more = verified(open_pairs(marked, roots, percent), sets, percent, "shingle-links")
+    more = verified(open_pairs(marked, roots, percent), sets, percent, bloom_bits, "shingle-links")
     roots = connected_components(links.unionByName(more), "a", "b")
 
     classes = signed.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("_doc")).join(roots, F.col("cls") == F.col("node"), "left")
