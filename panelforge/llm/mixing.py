@@ -21,10 +21,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from panelforge.llm.common import n_words, numbered, staged, words
 
-ALL = Window.partitionBy(F.lit(0))
+def _all() -> WindowSpec:
+    """All rows of a table with one row a source or shard."""
+    return Window.partitionBy(F.lit(0))
 
 
 @dataclass(frozen=True)
@@ -47,17 +50,17 @@ def source_targets(documents: DataFrame, weights: tuple[float, ...], cap: float,
     sets the level; targets are then the lesser of cap and level * weight.
     """
     wheel = F.array(*[F.lit(float(w)) for w in weights])
-    by_name = ALL.orderBy(F.col("source").asc_nulls_last())
+    by_name = _all().orderBy(F.col("source").asc_nulls_last())
     s = documents.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_docs"))
     s = s.withColumn("_sid", F.row_number().over(by_name) - 1)
     s = s.withColumn("_w", F.element_at(wheel, (F.col("_sid") % len(weights) + 1).cast("int")))
     s = s.withColumn("_cap", F.col("source_size") * float(cap)).withColumn("_ratio", F.col("_cap") / F.col("_w"))
-    by_ratio = ALL.orderBy("_ratio", "_sid")
+    by_ratio = _all().orderBy("_ratio", "_sid")
     before = by_ratio.rowsBetween(Window.unboundedPreceding, -1)
-    left = F.sum("source_size").over(ALL) - F.coalesce(F.sum("_cap").over(before), F.lit(0.0))
-    rest = F.sum("_w").over(ALL) - F.coalesce(F.sum("_w").over(before), F.lit(0.0))
+    left = F.sum("source_size").over(_all()) - F.coalesce(F.sum("_cap").over(before), F.lit(0.0))
+    rest = F.sum("_w").over(_all()) - F.coalesce(F.sum("_w").over(before), F.lit(0.0))
     s = s.withColumn("_level", F.when(left / rest <= F.col("_ratio"), left / rest)).withColumn("_rank", F.row_number().over(by_ratio))
-    level = F.min(F.when(F.col("_level").isNotNull(), F.struct("_rank", "_level"))).over(ALL)["_level"]
+    level = F.min(F.when(F.col("_level").isNotNull(), F.struct("_rank", "_level"))).over(_all())["_level"]
     s = s.withColumn("target", F.coalesce(F.least(F.col("_cap"), level * F.col("_w")), F.lit(0.0)))
     s = s.withColumn("_blocks", F.ceil(F.col("source_size") / block_words))
     full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
@@ -70,7 +73,7 @@ def shard_counts(sources: DataFrame, total: int, shard_slots: int, seed: int) ->
     """Multinomial source counts for each shard, settled to the sources' quotas."""
     spark = sources.sparkSession
     width = max(1, -(-total // 1024))
-    hi = F.sum("_slots").over(ALL.orderBy("_sid"))
+    hi = F.sum("_slots").over(_all().orderBy("_sid"))
     spans = sources.select("_sid", "_slots", (hi - F.col("_slots")).alias("_lo"), hi.alias("_hi")).filter("_slots > 0")
     bins = spans.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("_lo") / width), F.floor((F.col("_hi") - 1) / width))))
     draws = spark.range(total).select(F.floor(F.col("id") / shard_slots).alias("_shard"), F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(max(1, total))).alias("_x"))
@@ -82,7 +85,7 @@ def shard_counts(sources: DataFrame, total: int, shard_slots: int, seed: int) ->
     drawn = staged(drawn.select("_shard", "_sid", "n", kept.alias("kept")), "mix-draws")
 
     def units(df: DataFrame, key: str, amount: str) -> DataFrame:
-        end = F.sum(amount).over(ALL.orderBy(key))
+        end = F.sum(amount).over(_all().orderBy(key))
         return df.select(key, amount, end.alias("_end")).filter(f"{amount} > 0").select(key, F.explode(F.sequence(F.col("_end") - F.col(amount), F.col("_end") - 1)).alias("_unit"))
 
     surplus = units(drawn.groupBy("_shard").agg(F.sum(F.col("n") - F.col("kept")).alias("_over")), "_shard", "_over")
