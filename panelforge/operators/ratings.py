@@ -63,7 +63,8 @@ def ridge_strength(games: DataFrame, prior_sd: float = 5.0, home_mean: float = 2
     """team, strength, home_advantage: the posterior mean of margin = strength gap + home advantage.
 
     Pairs of teams are summed first, so the sweeps run over pairs, not games. Each sweep sets all
-    strengths to half their old and half their best new value, and the residual deviation anew.
+    strengths to half their old and half their best new value, less their mean (the solution's is 0,
+    and sweeps alone come near it slowly), and the residual deviation anew.
     """
     spark = games.sparkSession
     pairs = games.groupBy("home_team", "away_team").agg(F.count("*").alias("n"), F.sum(F.col("home_score") - F.col("away_score")).cast("double").alias("s"), F.sum(F.pow(F.col("home_score") - F.col("away_score"), 2)).alias("q")).persist()
@@ -81,8 +82,8 @@ def ridge_strength(games: DataFrame, prior_sd: float = 5.0, home_mean: float = 2
         new = lift.groupBy("team").agg((F.sum("r") / (F.sum("n") + sigma2 / prior_sd**2)).alias("_new"))
         moved = theta.join(new, "team").select("team", (0.5 * F.col("strength") + 0.5 * F.col("_new")).alias("strength"), F.abs(F.col("strength") - F.col("_new")).alias("_d"))
         moved = moved.checkpoint()
-        far = moved.agg(F.max("_d")).first()[0]
-        theta = moved.drop("_d")
+        far, mean = moved.agg(F.max("_d"), F.avg("strength")).first()
+        theta = moved.select("team", (F.col("strength") - F.lit(mean or 0.0)).alias("strength"))
         if far is None or far < tolerance:
             break
     pairs.unpersist()

@@ -62,11 +62,35 @@ def test_elo_is_zero_sum_and_ties_move_nothing(spark):
     assert ratings.current_ratings(ratings.elo_history(df)).count() == 3
 
 
-def test_ridge_strength_orders_teams(spark):
-    rows = [("p", i, 1, i, a, b, x, 0) for i, (a, b, x) in enumerate([("a", "b", 10), ("b", "c", 8), ("a", "c", 15), ("c", "a", 0), ("b", "a", 1)])]
-    got = {r["team"]: r["strength"] for r in ratings.ridge_strength(spark.createDataFrame(rows, GAMES), sweeps=6).collect()}
-    assert got["a"] > got["b"] > got["c"]
-    assert sum(got.values()) == pytest.approx(0, abs=0.5)
+def swept(rows, sweeps):
+    """The same sweeps game by game: strengths, home advantage."""
+    theta, h = dict.fromkeys({t for r in rows for t in r[4:6]}, 0.0), 2.5
+    for _ in range(sweeps):
+        res = [(r[4], r[5], r[6] - r[7]) for r in rows]
+        s2 = max(1e-6, sum((m - theta[a] + theta[b] - h) ** 2 for a, b, m in res) / len(res))
+        h = (sum(m - theta[a] + theta[b] for a, b, m in res) + 2.5 * s2) / (len(res) + s2)
+        new = {}
+        for t in theta:
+            mine = [m - h + theta[b] for a, b, m in res if a == t] + [theta[a] + h - m for a, b, m in res if b == t]
+            new[t] = sum(mine) / (len(mine) + s2 / 25)
+        theta = {t: (theta[t] + new[t]) / 2 for t in theta}
+        mean = sum(theta.values()) / len(theta)
+        theta = {t: x - mean for t, x in theta.items()}
+    return theta, h
+
+
+def test_ridge_strength_matches_sweeps_by_hand(spark):
+    rows = [("p", i, 1, i, a, b, x, y) for i, (a, b, x, y) in enumerate([("a", "b", 10, 0), ("b", "c", 8, 0), ("a", "c", 15, 0), ("c", "a", 0, 0), ("b", "a", 1, 0)])]
+    got = {r["team"]: (r["strength"], r["home_advantage"]) for r in ratings.ridge_strength(spark.createDataFrame(rows, GAMES), sweeps=5).collect()}
+    theta, h = swept(rows, 5)
+    assert {t: v[0] for t, v in got.items()} == pytest.approx(theta)
+    assert next(iter(got.values()))[1] == pytest.approx(h)
+    # where the sweeps end, each team's residuals add up to its strength times the penalty
+    theta, h = swept(rows, 400)
+    left = [r[6] - r[7] - theta[r[4]] + theta[r[5]] - h for r in rows]
+    penalty = sum(x * x for x in left) / len(rows) / 25
+    for t in theta:
+        assert sum(x * ((r[4] == t) - (r[5] == t)) for x, r in zip(left, rows)) == pytest.approx(penalty * theta[t], abs=1e-5)
 
 
 def test_condition_impact_falls_back_to_the_season(spark):
