@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from panelforge.llm.textvec import mixed
 
@@ -338,7 +339,7 @@ def _encode(batches: Iterator[pa.RecordBatch], model_file: str) -> Iterator[pa.R
 def encoded(docs: DataFrame, keep: list[str], model_file: str = DEFAULT_MODEL) -> DataFrame:
     """The `keep` columns, _ids (array<int>) and _same (the ids decode to the text)."""
     rows = docs.select(F.col("text").cast("string").alias("_text"), *[F.col(f"`{c}`") for c in keep])
-    schema = rows.drop("_text").schema.add("_ids", "array<int>").add("_same", "boolean")
+    schema = rows.drop("_text").schema.add("_ids", ArrayType(IntegerType())).add("_same", "boolean")
     return rows.mapInArrow(partial(_encode, model_file=model_file), schema)
 
 
