@@ -85,9 +85,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, j in _slices(texts):
             grams, docs = [], []
             for h, d in ngram_hashes(*_code_points(texts[i:j])):
-                pairs = np.unique(np.stack((h, d.astype(np.uint64)), 1), axis=0) if len(h) else np.zeros((0, 2), np.uint64)
-                grams.append(pairs[:, 0])
-                docs.append(pairs[:, 1].astype(np.int64))
+                # a bijection of the n-gram for each text: equal keys are the same n-gram of the same text
+                _, once = np.unique(mixed(h + mixed(d.astype(np.uint64) + np.uint64(1))), return_index=True)
+                grams.append(h[once])
+                docs.append(d[once])
             if grams:
                 g, d = np.concatenate(grams), np.concatenate(docs)
                 keys, at = np.unique(g, return_inverse=True)
