@@ -15,7 +15,9 @@ Links are looked for in two passes. The first verifies, for each class, the two
 shares most of its rarest prefix tokens (neighbours by size and each token's hub), and unions them. The
 second verifies every candidate pair that isn't in one component yet, so no link between
 components is lost, while a group of thousands of alike texts isn't expanded into all its pairs.
-Verification compares whole sets.
+Verification compares whole sets. Before that a pair must pass a sketch: the parities of how many of a
+set's tokens fall into each of 512 buckets. Parities differ in no more buckets than the two sets
+differ in tokens, so no link fails it, while texts that share no more than a common passage do.
 
 Defined results: A-Z count as a-z; a text of 1 to 4 words has one shingle, all of them; a null text
 or one without words has none and links with nothing; a null doc_id takes part, and its component
@@ -43,6 +45,8 @@ FIRST = 5  # sixteenths of the hash space go first in every order
 SHORT = 48  # bits of a posted token; tokens alike in them tie in every order and share a posting
 
 
+SKETCH = 8  # words of 64 parities each
+SKETCH_COLUMNS = [f"s{i}" for i in range(SKETCH)]
 RAREST = 8  # prefix tokens of a class through which the first pass looks for partners
 
 
@@ -99,8 +103,17 @@ def _hits(keys: np.ndarray, flags: np.ndarray, bits: int) -> np.ndarray:
     return (flags[(keys & mask).astype(np.int64)] & flags[((keys >> np.uint64(32)) & mask).astype(np.int64)]) == 1
 
 
+def _sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """SKETCH words a set: whether an odd number of its tokens is in each bucket."""
+    bits = 64 * SKETCH
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    at = row * bits + (np.concatenate(sets) & np.uint64(bits - 1)).astype(np.int64)
+    odd = (np.bincount(at, minlength=len(sets) * bits) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(-1, bits), axis=1).view(np.int64)
+
+
 def _candidate_sets(batches: Iterator[pa.RecordBatch], size: int, wanted, bits: int) -> Iterator[pa.RecordBatch]:
-    """Class and set (as bytes) of texts whose class may be wanted, by a Bloom filter."""
+    """Class, set (as bytes) and sketch of texts whose class may be wanted, by a Bloom filter."""
     flags = np.unpackbits(np.frombuffer(wanted.value, np.uint8))
     for _, h, begin in _sets(batches, size):
         cls = _class_keys(h, begin)
@@ -109,9 +122,10 @@ def _candidate_sets(batches: Iterator[pa.RecordBatch], size: int, wanted, bits:
         for i in hit:
             if (c := int(cls[i])) not in seen:
                 seen.add(c)
-                out.append((c, h[begin[i] : begin[i + 1]].tobytes()))
+                out.append((c, h[begin[i] : begin[i + 1]]))
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in out], pa.int64()), pa.array([s for _, s in out], pa.binary())], names=["cls", "set"])
+            words = _sketches([s for _, s in out])
+            yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in out], pa.int64()), pa.array([s.tobytes() for _, s in out], pa.binary()), *[pa.array(w) for w in words.T.copy()]], names=["cls", "set", *SKETCH_COLUMNS])
 
 
 def bloom_of(keys: DataFrame, column: str, bits: int) -> bytes:
@@ -174,25 +188,28 @@ def first_partners(marked: DataFrame, percent: int, keep: int) -> DataFrame:
     return counted.withColumn("_rank", best).filter(F.col("_rank") <= keep).select(F.least("cls", "_b").alias("a"), F.greatest("cls", "_b").alias("b")).distinct()
 
 
-def open_pairs(marked: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+def open_pairs(marked: DataFrame, roots: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """a, b: pairs of classes of different components that share prefix tokens under every order.
 
     Tokens of one component have no such pair and go first. In the groups that are left only
     members outside a token's largest component start pairs, so a group that is one component, or
-    nearly, is not expanded.
+    nearly, is not expanded. Pairs that fail in size or by their sketches are dropped within the join.
     """
     at = marked.join(roots, F.col("cls") == F.col("node"), "left").select("token", "cls", "n", "in_1", "in_2", "in_3", F.coalesce("root", "cls").alias("root"))
     w = Window.partitionBy("token")
+    differ = sum((F.bit_count(F.col(f"x.{s}").bitwiseXOR(F.col(f"y.{s}"))) for s in SKETCH_COLUMNS), F.lit(0))
+    n, n2 = F.col("x.n").cast("long"), F.col("y.n").cast("long")
+    near = (n * 100 >= n2 * percent) & (n2 * 100 >= n * percent) & (differ * (100 + percent) <= (n + n2) * (100 - percent))
     at = staged(at.select("*", (F.min("root").over(w) != F.max("root").over(w)).alias("_open")).filter("_open").drop("_open"), "shingle-open")
     pairs = None
     for k in (1, 2, 3):
         post = at.filter(f"in_{k}").select("token", "cls", "n", "root")
         sized = post.groupBy("token", "root").agg(F.count("*").alias("_n"))
         main = sized.groupBy("token").agg(F.max_by("root", F.struct("_n", "root")).alias("_main"), F.count("*").alias("_roots")).filter("_roots > 1").select("token", "_main")
-        live = post.join(main, "token")
-        some = live.filter("root <> _main").select("token", F.col("cls").alias("c2"), F.col("n").alias("n2"), F.col("root").alias("r2"))
-        both = live.join(some, "token").filter(f"root <> r2 and n * 100 >= n2 * {percent}L and n2 * 100 >= n * {percent}L")
-        found = both.select(F.least("cls", "c2").alias("a"), F.greatest("cls", "c2").alias("b")).distinct()
+        live = post.join(main, "token").join(sketches, "cls")
+        some = live.filter("root <> _main")
+        both = live.alias("x").join(some.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & near)
+        found = both.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct()
         pairs = found if pairs is None else pairs.join(found, ["a", "b"])
     return staged(pairs, "shingle-pairs")
 
@@ -237,11 +254,12 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, partne
 
     pairs = staged(first_partners(marked, percent, partners), "shingle-partners")
     wanted = docs.sparkSession.sparkContext.broadcast(bloom_of(candidates, "cls", bloom_bits))
-    sets = rows.mapInArrow(partial(_candidate_sets, size=size, wanted=wanted, bits=bloom_bits), "cls long, set binary")
+    sets = rows.mapInArrow(partial(_candidate_sets, size=size, wanted=wanted, bits=bloom_bits), f"cls long, set binary, {', '.join(f'{s} long' for s in SKETCH_COLUMNS)}")
     sets = staged(sets.join(candidates, "cls", "left_semi").dropDuplicates(["cls"]), "shingle-sets")
+    sketches, sets = sets.select("cls", *SKETCH_COLUMNS), sets.select("cls", "set")
     links = verified(pairs, sets, percent, bloom_bits, "shingle-links")
     roots = connected_components(links, "a", "b")
-    more = verified(open_pairs(marked, roots, percent), sets, percent, bloom_bits, "shingle-links")
+    more = verified(open_pairs(marked, roots, sketches, percent), sets, percent, bloom_bits, "shingle-links")
     roots = connected_components(links.unionByName(more), "a", "b")
 
     classes = signed.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("_doc")).join(roots, F.col("cls") == F.col("node"), "left")
