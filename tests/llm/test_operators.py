@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from panelforge.llm.compact_windows import repeated_passages
 from panelforge.llm.hnsw import near_vectors
 from panelforge.llm.mixing import mix_sources, taken_words
-from panelforge.llm.ngram_join import jaccard_components, one_per_component
+from panelforge.llm.ngram_join import _sketches, jaccard_components, one_per_component
 from panelforge.llm.quality import quality_verdicts
 from panelforge.llm.secrets import redacted, secret_digests
 from panelforge.llm.sentencepiece import DEFAULT_MODEL, Encoder, Pieces, _viterbi, decode_all, encode_units
@@ -218,3 +218,32 @@ def test_empty_vectors_and_pages(spark):
 def test_columns_that_clash_ride_along(spark):
     df = docs(spark, [(1, "token = abcdefghij", "a")]).withColumn("_base", F.lit(1))
     assert redacted(df).columns == df.columns
+
+
+def test_sketches_differ_in_no_more_bits_than_sets_differ_in_tokens():
+    r = np.random.default_rng(5)
+    for n, edits in ((1, 0), (40, 3), (200, 30), (3000, 400)):
+        a = np.unique(r.integers(0, 1 << 63, n).astype(np.uint64))
+        b = np.unique(np.concatenate((a[edits:], r.integers(0, 1 << 63, edits).astype(np.uint64))))
+        x, y = _sketches([a, b])
+        assert sum(int(v).bit_count() for v in (x ^ y).view(np.uint64)) <= len(np.setxor1d(a, b))
+    assert (_sketches([a, a])[0] == _sketches([a])[0]).all()
+
+
+def test_shingle_join_keeps_every_link_among_texts_that_share_a_passage(spark):
+    passage, r = prose(40, 60), random.Random(6)
+    rows = []
+    for i in range(60):
+        own = prose(100 + i // 3, 30 + i // 3 * 4).split()  # three near copies each
+        own[r.randrange(len(own))] = f"w{i}"
+        rows.append((i, f"{passage} {' '.join(own)}", "a"))
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (t.split() for _, t, _ in rows)]
+    root = list(range(60))
+    for i in range(60):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if x == old else x for x in root]
+    got = {x["doc_id"]: x["component_id"] for x in jaccard_components(docs(spark, rows)).collect()}
+    assert got == dict(enumerate(root))
+    assert 20 <= len(set(root)) < 60
