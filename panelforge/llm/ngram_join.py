@@ -5,7 +5,11 @@ class and are joined as one. For a threshold t, two sets that link share a token
 n - ceil(t n) + 1 of each, whatever global order of tokens is used, so a pair must share such a
 prefix token under every one of several orders:
 
-* a fixed part of all tokens, by hash, goes first in every order, rarer tokens before others. Only
+* tokens seen in many texts go last in every order, so a passage that many texts share is no
+  prefix token of a text with enough words of its own. Any fixed set of tokens may go last without
+  losing a link; this one is a Bloom filter of fixed size over tokens that repeat within slices of
+  the table and add up to HOT times or more;
+* of the others a fixed part, by hash, goes first in every order, rarer tokens before others. Only
   those need frequencies, and only tokens that two classes have can be shared at all: one shuffle
   of that part finds them, and everything else stays where it is;
 * the orders differ in how they break ties: by exact frequency, by its magnitude, or not at all
@@ -39,9 +43,12 @@ from panelforge.llm.common import staged
 from panelforge.llm.components import connected_components
 from panelforge.llm.textvec import batches_of_bytes, distinct, mixed, shingle_hashes, word_hashes
 
-SETS = "doc_id long, n int, cls long"
-POSTS = "token long, cls long, n int, n_first int"
+SETS = "doc_id long, n int, cls long, often array<long>, times array<int>"
+POSTS = "token long, cls long, n int, n_first int, n_hot int, kind tinyint"
 FIRST = 5  # sixteenths of the hash space go first in every order
+HOT = 64  # repeats from which a token goes last in every order
+SALTS = 64  # parts of a frequent token's group in the first pass
+LEAD, REST, COMMON = 0, 1, 2  # kinds of posted tokens: first part, other rare ones, frequent ones
 SHORT = 48  # bits of a posted token; tokens alike in them tie in every order and share a posting
 
 
@@ -70,37 +77,61 @@ def _class_keys(h: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return mixed(total[begin[1:]] - total[begin[:-1]] + np.diff(begin).astype(np.uint64)).view(np.int64)
 
 
+def _hits(keys: np.ndarray, flags: np.ndarray, bits: int) -> np.ndarray:
+    mask = np.uint64((1 << bits) - 1)
+    return (flags[(keys & mask).astype(np.int64)] & flags[((keys >> np.uint64(32)) & mask).astype(np.int64)]) == 1
+
+
+def _often(h: np.ndarray, begin: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of short tokens that two classes of a slice have, and in how many of its classes."""
+    one = np.zeros(len(cls), bool)
+    one[np.unique(cls, return_index=True)[1]] = True
+    short = np.sort(h[np.repeat(one, np.diff(begin))] >> np.uint64(64 - SHORT))
+    at = np.flatnonzero(np.concatenate(([True], short[1:] != short[:-1]))) if len(short) else np.zeros(0, np.int64)
+    times = np.diff(np.concatenate((at, [len(short)])))
+    return mixed(short[at[times > 1]]).view(np.int64), times[times > 1].astype(np.int32)
+
+
 def _sign(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Set size and class of each text."""
+    """Set size and class of each text; with a slice's first row, the tokens that repeat in the slice."""
     for rows, h, begin in _sets(batches, size):
-        yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.diff(begin).astype(np.int32)), pa.array(_class_keys(h, begin))], names=["doc_id", "n", "cls"])
+        cls, gaps = _class_keys(h, begin), [None] * (rows.num_rows - 1)
+        key, times = _often(h, begin, cls)
+        often, times = pa.array([key, *gaps], pa.list_(pa.int64())), pa.array([times, *gaps], pa.list_(pa.int32()))
+        yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.diff(begin).astype(np.int32)), pa.array(cls), often, times], names=["doc_id", "n", "cls", "often", "times"])
+
 
+def frequent_tokens(signed: DataFrame) -> DataFrame:
+    """token: keys of tokens that repeat within slices, HOT times or more in all."""
+    rows = signed.filter("often is not null").select(F.explode(F.arrays_zip("often", "times")).alias("_o")).select(F.col("_o.often").alias("token"), F.col("_o.times").alias("_n"))
+    return rows.groupBy("token").agg(F.sum("_n").alias("_n")).filter(F.col("_n") >= HOT).select("token")
 
-def _post(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Postings of each text: all its tokens of the first part, in short.
 
-    If those don't fill the prefix, also the smallest of the rest, which is how every order goes on.
+def _post(batches: Iterator[pa.RecordBatch], size: int, percent: int, frequent, bits: int) -> Iterator[pa.RecordBatch]:
+    """Postings of each text, in short: all its tokens of the first part.
+
+    If those don't fill the prefix, also the smallest of its other rare tokens, then the smallest of
+    its frequent ones, which is how every order goes on.
     """
-    limit = np.uint64(FIRST << 60)
+    flags = np.unpackbits(np.frombuffer(frequent.value, np.uint8))
+    limit = np.uint64(FIRST << (SHORT - 4))
     for _, h, begin in _sets(batches, size):
         doc = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
         short = h >> np.uint64(64 - SHORT)
         new = np.ones(len(h), bool)
         new[1:] = (short[1:] != short[:-1]) | (doc[1:] != doc[:-1])
         at = np.concatenate(([0], np.cumsum(new)))[begin]
-        lead = np.concatenate(([0], np.cumsum(h[new] < limit)))  # sets are sorted: the first part leads
-        n, n_first, held = np.diff(begin), lead[at[1:]] - lead[at[:-1]], np.diff(at)
+        doc, short = doc[new], short[new]
+        kind = np.where(_hits(mixed(short), flags, bits), COMMON, np.where(short < limit, LEAD, REST))
+        order = np.argsort(doc * 3 + kind, kind="stable")
+        short, kind = short[order], kind[order]
+        n, held = np.diff(begin), np.diff(at)
+        n_first, n_hot = (np.bincount(doc[kind == k], minlength=len(n)) for k in (LEAD, COMMON))
         post = np.maximum(n_first, np.minimum(prefix_length(n, percent), held))
-        d = doc[new]
-        keep = np.arange(len(d)) - at[d] < post[d]
-        d, t = d[keep], short[new][keep]
-        cls = _class_keys(h, begin)
-        yield pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(cls[d]), pa.array(n[d].astype(np.int32)), pa.array(n_first[d].astype(np.int32))], names=["token", "cls", "n", "n_first"])
-
-
-def _hits(keys: np.ndarray, flags: np.ndarray, bits: int) -> np.ndarray:
-    mask = np.uint64((1 << bits) - 1)
-    return (flags[(keys & mask).astype(np.int64)] & flags[((keys >> np.uint64(32)) & mask).astype(np.int64)]) == 1
+        keep = np.arange(len(doc)) - at[doc] < post[doc]
+        d, cls = doc[keep], _class_keys(h, begin)
+        columns = [short[keep].view(np.int64), cls[d], *(x[d].astype(np.int32) for x in (n, n_first, n_hot)), kind[keep].astype(np.int8)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "cls", "n", "n_first", "n_hot", "kind"])
 
 
 def _sketches(sets: list[np.ndarray]) -> np.ndarray:
@@ -143,32 +174,37 @@ def bloom_of(keys: DataFrame, column: str, bits: int) -> bytes:
 
 
 def shared_tokens(posts: DataFrame) -> DataFrame:
-    """token, cls, n, n_first, df of posted tokens that two classes have; one shuffle of the postings.
+    """The posted tokens that two classes have, with df; one shuffle of the rare postings.
 
-    Copies of a class post the same rows: those are dropped after singletons have gone.
+    Copies of a class post the same rows: those are dropped after singletons have gone. Frequent
+    tokens are taken as shared, and count as HOT, so that their postings aren't gathered by token.
     """
     w = Window.partitionBy("token")
-    counted = posts.select("*", F.min("cls").over(w).alias("_lo"), F.max("cls").over(w).alias("_hi"), F.count("*").over(w).alias("df"))
-    return counted.filter("_lo <> _hi").drop("_lo", "_hi").dropDuplicates(["token", "cls"])
+    rare = posts.filter(F.col("kind") != COMMON)
+    counted = rare.select("*", F.min("cls").over(w).alias("_lo"), F.max("cls").over(w).alias("_hi"), F.count("*").over(w).alias("df"))
+    common = posts.filter(F.col("kind") == COMMON).withColumn("df", F.lit(HOT).cast("long"))
+    return counted.filter("_lo <> _hi").drop("_lo", "_hi").unionByName(common).dropDuplicates(["token", "cls"])
 
 
 def prefixes(shared: DataFrame, percent: int) -> DataFrame:
-    """Prefix tokens under each order: token, cls, n, in_1, in_2, in_3.
+    """Prefix tokens under each order: token, cls, n, kind, in_1, in_2, in_3, rarest, hub.
 
     A class's unshared tokens of the first part come before its shared ones in every order.
     """
     p = F.expr(f"n - cast(floor((n * {percent}L + 99) / 100) as int) + 1")
-    rest = F.shiftrightunsigned("token", SHORT - 4) >= FIRST
+    rest = F.col("kind") != LEAD
     df = F.when(rest, F.lit(0)).otherwise(F.col("df"))
-    lone = F.col("n_first") - F.sum((~rest).cast("int")).over(Window.partitionBy("cls"))
+    mine = Window.partitionBy("cls")
+    lone = F.col("n_first") - F.sum((~rest).cast("int")).over(mine)
+    rare = F.sum(F.when(F.col("kind") == COMMON, F.lit(0)).otherwise(F.col("df"))).over(mine)
     tie = lambda k: F.col("token") if k == 0 else F.xxhash64(F.lit(k), "token")
     # tokens of the rest are posted only as far as the prefix may reach, so their place among all of them is that of the posting
-    out = shared.withColumns({"_p": p, "_lone": lone, "hub": F.sum("df").over(Window.partitionBy("cls")) / F.col("n")})
+    out = shared.withColumns({"_p": p, "_lone": lone, "hub": (rare + F.col("n_hot") * HOT) / F.col("n")})
     for k, key in enumerate((df, F.when(rest, 0).otherwise(F.floor(F.log2("df"))), F.lit(0)), 1):
-        at = F.row_number().over(Window.partitionBy("cls").orderBy(rest.cast("int"), key, F.when(rest, F.col("token")).otherwise(tie(k)), "token"))
+        at = F.row_number().over(mine.orderBy("kind", key, F.when(rest, F.col("token")).otherwise(tie(k)), "token"))
         out = out.withColumn(f"in_{k}", rest | (at <= F.col("_p") - F.col("_lone")))
         out = out.withColumn("rarest", F.col("in_1") & (at <= RAREST)) if k == 1 else out
-    return out.filter("in_1 or in_2 or in_3").select("token", "cls", "n", "in_1", "in_2", "in_3", "rarest", "hub")
+    return out.filter("in_1 or in_2 or in_3").select("token", "cls", "n", "kind", "in_1", "in_2", "in_3", "rarest", "hub")
 
 
 def first_partners(marked: DataFrame, percent: int, keep: int) -> DataFrame:
@@ -176,13 +212,17 @@ def first_partners(marked: DataFrame, percent: int, keep: int) -> DataFrame:
 
     In a token's group a class meets its neighbour by size and the group's hub: the class whose
     tokens are common in the corpus for its size. Where texts are edits of one original, that is
-    the original, which is nearer to each of them than they are to each other.
+    the original, which is nearer to each of them than they are to each other. The group of a
+    frequent token is split by class for the neighbours; its hub joins the parts.
     """
-    w = Window.partitionBy("token").orderBy("n", "cls")
-    me = F.struct("cls", "n")
-    near = marked.filter("rarest").select("cls", "n", F.lag(me).over(w).alias("_near"), F.max(F.struct("hub", "cls", "n")).over(Window.partitionBy("token")).alias("_hub"))
-    near = near.withColumn("_hub", F.struct(F.col("_hub.cls").alias("cls"), F.col("_hub.n").alias("n")))
-    pairs = near.select("cls", "n", F.explode(F.array("_near", "_hub")).alias("_o")).filter(f"_o is not null and _o.cls <> cls and _o.n * 100 >= n * {percent}L and n * 100 >= _o.n * {percent}L")
+    part = F.when(F.col("kind") == COMMON, F.pmod("cls", F.lit(SALTS))).otherwise(F.lit(0))
+    w = Window.partitionBy("token", "_part").orderBy("n", "cls")
+    rare = marked.filter("rarest").select("token", "cls", "n", "hub", part.alias("_part"))
+    hubs = rare.groupBy("token").agg(F.max(F.struct("hub", "cls", "n")).alias("_h"), F.count("*").alias("_n")).filter("_n > 1")
+    hubs = hubs.select("token", F.struct(F.col("_h.cls").alias("cls"), F.col("_h.n").alias("n")).alias("_o"))
+    near = rare.select("cls", "n", F.lag(F.struct("cls", "n")).over(w).alias("_o"))
+    pairs = near.unionByName(rare.join(hubs.hint("merge"), "token").select("cls", "n", "_o"))
+    pairs = pairs.filter(f"_o is not null and _o.cls <> cls and _o.n * 100L >= n * {percent}L and n * 100L >= _o.n * {percent}L")
     counted = pairs.groupBy("cls", F.col("_o.cls").alias("_b")).agg(F.count("*").alias("_n"))
     best = F.row_number().over(Window.partitionBy("cls").orderBy(F.desc("_n"), "_b"))
     return counted.withColumn("_rank", best).filter(F.col("_rank") <= keep).select(F.least("cls", "_b").alias("a"), F.greatest("cls", "_b").alias("b")).distinct()
@@ -193,22 +233,24 @@ def open_pairs(marked: DataFrame, roots: DataFrame, sketches: DataFrame, percent
 
     Tokens of one component have no such pair and go first. In the groups that are left only
     members outside a token's largest component start pairs, so a group that is one component, or
-    nearly, is not expanded. Pairs that fail in size or by their sketches are dropped within the join.
+    nearly, is not expanded. The join is by token and size band: a pair's sizes are in the same band
+    or in adjacent ones. Pairs that fail in size or by their sketches are dropped within the join.
     """
     at = marked.join(roots, F.col("cls") == F.col("node"), "left").select("token", "cls", "n", "in_1", "in_2", "in_3", F.coalesce("root", "cls").alias("root"))
-    w = Window.partitionBy("token")
     differ = sum((F.bit_count(F.col(f"x.{s}").bitwiseXOR(F.col(f"y.{s}"))) for s in SKETCH_COLUMNS), F.lit(0))
     n, n2 = F.col("x.n").cast("long"), F.col("y.n").cast("long")
     near = (n * 100 >= n2 * percent) & (n2 * 100 >= n * percent) & (differ * (100 + percent) <= (n + n2) * (100 - percent))
-    at = staged(at.select("*", (F.min("root").over(w) != F.max("root").over(w)).alias("_open")).filter("_open").drop("_open"), "shingle-open")
+    band = F.floor(F.log("n") / float(np.log(100 / percent) * 1.001)) if percent < 100 else F.col("n").cast("long")
+    at = staged(at, "shingle-open")
     pairs = None
     for k in (1, 2, 3):
         post = at.filter(f"in_{k}").select("token", "cls", "n", "root")
         sized = post.groupBy("token", "root").agg(F.count("*").alias("_n"))
         main = sized.groupBy("token").agg(F.max_by("root", F.struct("_n", "root")).alias("_main"), F.count("*").alias("_roots")).filter("_roots > 1").select("token", "_main")
-        live = post.join(main, "token").join(sketches, "cls")
-        some = live.filter("root <> _main")
-        both = live.alias("x").join(some.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & near)
+        live = post.join(main.hint("merge"), "token").withColumn("_band", band).join(sketches, "cls")
+        some = live.filter("root <> _main").withColumn("_band", F.explode(F.array(*(F.col("_band") + i for i in (-1, 0, 1)))))
+        on = (F.col("x.token") == F.col("y.token")) & (F.col("x._band") == F.col("y._band")) & (F.col("x.root") != F.col("y.root"))
+        both = live.alias("x").join(some.alias("y").hint("merge"), on & near)
         found = both.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct()
         pairs = found if pairs is None else pairs.join(found, ["a", "b"])
     return staged(pairs, "shingle-pairs")
@@ -248,7 +290,8 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, partne
     """A row per document: doc_id, n_shingles, component_id."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
     signed = staged(rows.mapInArrow(partial(_sign, size=size), SETS), "shingle-classes")
-    posts = rows.mapInArrow(partial(_post, size=size, percent=percent), POSTS)
+    frequent = docs.sparkSession.sparkContext.broadcast(bloom_of(frequent_tokens(signed), "token", bloom_bits))
+    posts = rows.mapInArrow(partial(_post, size=size, percent=percent, frequent=frequent, bits=bloom_bits), POSTS)
     marked = staged(prefixes(shared_tokens(posts), percent), "shingle-prefixes")
     candidates = staged(marked.select("cls").distinct(), "shingle-candidates")
 

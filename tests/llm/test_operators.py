@@ -247,3 +247,10 @@ def test_shingle_join_keeps_every_link_among_texts_that_share_a_passage(spark):
     got = {x["doc_id"]: x["component_id"] for x in jaccard_components(docs(spark, rows)).collect()}
     assert got == dict(enumerate(root))
     assert 20 <= len(set(root)) < 60
+
+
+@pytest.mark.parametrize("hot", [2, 5])
+def test_shingle_join_with_frequent_tokens_last_matches_brute_force(spark, corpus, monkeypatch, hot):
+    monkeypatch.setattr("panelforge.llm.ngram_join.HOT", hot)
+    test_shingle_join_matches_brute_force(spark, corpus)
+    test_shingle_join_keeps_every_link_among_texts_that_share_a_passage(spark)
