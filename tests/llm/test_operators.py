@@ -63,6 +63,22 @@ def test_passages_that_repeat_are_found_and_others_left_alone(spark, corpus):
     assert abs(one["first_word"] - 80) <= 2
 
 
+@pytest.mark.parametrize("holders", [3, 10, 30])
+def test_exact_passages_of_popular_lines_are_found(spark, holders):
+    rows, pairs = [], []
+    for k in range(4):
+        lines = [prose(1000 + 10 * k + j, 20) for j in range(3)]
+        pairs.append({len(rows), len(rows) + 1})
+        for _ in range(2):
+            rows.append((len(rows), " ".join([prose(2000 + 2 * len(rows), 60), *lines, prose(2001 + 2 * len(rows), 60)]), "a"))
+        for line in lines * holders:
+            rows.append((len(rows), " ".join([prose(2000 + 2 * len(rows), 60), line, prose(2001 + 2 * len(rows), 60)]), "a"))
+    got = repeated_passages(docs(spark, rows)).collect()
+    assert [{(r["doc_id"], r["match_doc_id"]) for r in got if r["doc_id"] in p} for p in pairs] == [{tuple(sorted(p)), tuple(sorted(p, reverse=True))} for p in pairs]
+    assert {r["doc_id"] for r in got} == set().union(*pairs)
+    assert all(any(r["doc_id"] == i and r["first_word"] <= 60 and r["first_word"] + r["n_words"] >= 120 for r in got) for p in pairs for i in p)
+
+
 def test_mix_meets_targets_within_three_passes(spark):
     rows = [(i, prose(i, 120), s) for i, s in enumerate(["a"] * 12 + ["b"] * 3 + [None] * 10)] + [(99, None, "a"), (98, "", "a")]
     got = taken_words(mix_sources(docs(spark, rows), block_words=16)).collect()
