@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelforge.llm.compact_windows import repeated_passages
+from panelforge.llm.compact_windows import repeated_passages, verify_stretch
 from panelforge.llm.hnsw import near_vectors
 from panelforge.llm.mixing import mix_sources, taken_words
 from panelforge.llm.ngram_join import _sketches, jaccard_components, one_per_component
@@ -79,6 +79,19 @@ def test_exact_passages_of_popular_lines_are_found(spark, holders):
     assert all(any(r["doc_id"] == i and r["first_word"] <= 60 and r["first_word"] + r["n_words"] >= 120 for r in got) for p in pairs for i in p)
 
 
+@pytest.mark.parametrize("gaps", [(6, 14), (14, 6), (5, 14), (6, 18), (6, 20), (20, 6), (0, 14), (6, 6)])
+def test_passages_close_together_are_verified_whatever_the_gaps(gaps):
+    a, b = np.arange(56, dtype=np.uint32), np.arange(100, 156, dtype=np.uint32)
+    x, y = (np.concatenate((a, np.arange(k, k + n, dtype=np.uint32), b)) for k, n in zip((1000, 2000), gaps))
+    got = verify_stretch(x, y, 7, 9, 47, 80)
+    for p, r in ((0, 0), (56 + gaps[0], 56 + gaps[1])):
+        assert any(u <= 7 + p and 7 + p + 55 <= v and m <= 9 + r and 9 + r + 55 <= n for u, v, m, n, _ in got)
+    for u, v, m, n, sim in got:
+        one, two = set(x[u - 7 : v - 6].tolist()), set(y[m - 9 : n - 8].tolist())
+        assert sim == pytest.approx(len(one & two) / len(one | two))
+        assert sim >= 0.8
+
+
 def test_mix_meets_targets_within_three_passes(spark):
     rows = [(i, prose(i, 120), s) for i, s in enumerate(["a"] * 12 + ["b"] * 3 + [None] * 10)] + [(99, None, "a"), (98, "", "a")]
     got = taken_words(mix_sources(docs(spark, rows), block_words=16)).collect()
