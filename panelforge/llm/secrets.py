@@ -6,7 +6,7 @@ base32, base64), and a battery of tests asks whether it can be a random string o
 chi-squared uniformity over the alphabet, runs above and below the alphabet's middle, and serial
 correlation. Those that the battery doesn't reject are weighed against ordinary text: the ratio of
 the run's probability under a random string to that under the character frequencies of rejected
-runs. Such a ratio is an e-value: for ordinary text its mean is at most 1, and it grows with the
+runs, each run weighing the same, blended with those of English letters. Such a ratio is an e-value: for ordinary text its mean is at most 1, and it grows with the
 run's length. Benjamini and Hochberg's procedure on e-values over all candidates of the corpus keeps
 the false discovery rate below `rate`, whatever the dependence between them.
 DataFrame functions only.
@@ -29,6 +29,10 @@ HEX = r"[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "random")
 #: Order of characters in the alphabets; an encoding's characters are a slice of its string.
 HEX_SET, B32_SET, B64_SET = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+#: Characters of ordinary runs before any is seen: letters as in English (per 10,000), others as rare as in prose; and its weight in runs.
+ENGLISH = dict(zip("abcdefghijklmnopqrstuvwxyz", (817, 149, 278, 425, 1270, 223, 202, 609, 697, 15, 77, 403, 241, 675, 751, 193, 10, 599, 633, 906, 276, 98, 236, 15, 197, 7)))
+PRIOR = {c: 0.92 * ENGLISH[c] / sum(ENGLISH.values()) if c in ENGLISH else 0.04 / 26 if c.isupper() else 0.03 / 10 if c.isdigit() else 0.005 for c in B64_SET}
+PRIOR_RUNS = 16.0
 SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
 
 
@@ -110,13 +114,16 @@ def candidate_runs(text: Column, least: int) -> Column:
 
 
 def _frequencies(rejected: DataFrame) -> DataFrame:
-    """Log probabilities of characters in ordinary runs, one row: a map. Add-one over the alphabet."""
-    counts = rejected.select(F.explode(F.split("plain", "")).alias("c")).filter("c <> ''").groupBy("c").agg(F.count("*").alias("n"))
-    base = F.array(*[F.lit(c) for c in B64_SET])
-    pairs = F.map_from_entries(F.collect_list(F.struct("c", "n")))
-    one = counts.filter(F.array_contains(base, F.col("c"))).agg(pairs.alias("m"))
-    total = F.aggregate(F.map_values("m"), F.lit(0.0), lambda a, x: a + x) + len(B64_SET)
-    return one.select(F.map_from_entries(F.transform(base, lambda c: F.struct(c, F.log((F.coalesce(F.try_element_at("m", c), F.lit(0)) + 1) / total)))).alias("_logs"))
+    """Log probabilities of characters in ordinary runs, one row: a map.
+
+    The mean of the runs' own frequencies, so that no run weighs more for its length, with PRIOR
+    as PRIOR_RUNS runs more.
+    """
+    size = F.length("plain")
+    share = lambda c: (size - F.length(F.replace(F.col("plain"), F.lit(c), F.lit("")))) / size
+    sums = rejected.filter(size > 0).agg(F.count("*").alias("n"), *[F.sum(share(c)).alias(f"_{i}") for i, c in enumerate(B64_SET)])
+    entry = lambda i, c: F.struct(F.lit(c), F.log((F.coalesce(F.col(f"_{i}"), F.lit(0.0)) + PRIOR_RUNS * PRIOR[c]) / (F.col("n") + PRIOR_RUNS)))
+    return sums.select(F.map_from_entries(F.array(*[entry(i, c) for i, c in enumerate(B64_SET)])).alias("_logs"))
 
 
 def random_runs(spans: DataFrame, alpha: float, rate: float, step: float = 0.25, top: float = 400.0) -> DataFrame:

@@ -170,6 +170,19 @@ def test_secrets_match_brute_force_and_redact(spark):
     assert texts_out[0] is None
 
 
+@pytest.mark.parametrize("ordinary, blob", [(0, False), (0, True), (200, False), (200, True)])
+def test_random_keys_are_found_beside_any_other_runs(spark, ordinary, blob):
+    r = random.Random(11)
+    keys = ["".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=40)) for _ in range(5)]
+    rows = [(i, f"see {k} there", "a") for i, k in enumerate(keys)]
+    rows += [(100 + i, "_".join(r.choices("the annual report of state and local history page index section number".split(), k=6)), "a") for i in range(ordinary)]
+    if blob:  # bytes of a file: nearly, but not quite, uniform
+        rows.append((99, base64.b64encode(bytes(r.randrange(256) if r.random() < 0.9 else 0 for _ in range(45000))).decode(), "a"))
+    got = {x["doc_id"]: x["spans"] for x in secret_digests(docs(spark, rows)).collect()}
+    assert [got[i] for i in range(5)] == ["random:4:44"] * 5
+    assert not any(got[i] for i in got if i >= 99)
+
+
 def test_encoder_gives_the_library_s_ids():
     library = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=DEFAULT_MODEL)
     r = random.Random(3)
