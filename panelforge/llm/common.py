@@ -34,11 +34,20 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """Writes `df` as a table in the shared folder and reads it back.
 
     Cuts the lineage at files that outlive any executor. The folder is scratch space of the
-    cluster: its owner clears it after the application.
+    cluster: what isn't `dropped` its owner clears after the application.
     """
     path = scratch_path(df.sparkSession, f"staged-{label}")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes staged tables that nothing reads any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.staged_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -1,55 +1,85 @@
-"""Words, shingles and hashes of whole batches of texts at once, in numpy."""
+"""Words, shingles and hashes of whole batches of texts at once, in numpy.
+
+Work is cut into slices of some hundred kilobytes, and a longer text into parts at white space, so
+memory follows the slice: about 8 bytes a word of the longest text, and 50 a byte of its longest word.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+SLICE_BYTES = 1 << 18
+SLICE_TEXTS = 1 << 12
+TOKEN_BITS = 52  # bits of a set's token; the others number the texts of a slice
+BLANK = re.compile(rb"[\x20\x09-\x0D]")
+_IS_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_LETTER = np.arange(1, 257, dtype=np.uint64)
+_LETTER[65:91] += np.uint64(32)  # A-Z count as a-z
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit over all."""
     x = x ^ (x >> np.uint64(33))
-    x = x * _M1
-    x = x ^ (x >> np.uint64(33))
-    x = x * _M2
-    return x ^ (x >> np.uint64(33))
+    x *= _M1
+    x ^= x >> np.uint64(33)
+    x *= _M2
+    x ^= x >> np.uint64(33)
+    return x
 
 
 _KEPT: dict[int, np.ndarray] = {}
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
-    """base ** 0, 1, ... n-1; the longest so far is kept, up to that of one batch."""
+    """base ** 0, 1, ... n-1; those of a few slices' length are kept."""
     if len(kept := _KEPT.get(int(base), ())) >= n:
         return kept[:n]
     out = np.full(n, base, np.uint64)
     out[:1] = 1
     out = np.multiply.accumulate(out)
-    if n <= 1 << 23:
+    if n <= 4 * SLICE_BYTES:
         _KEPT[int(base)] = out
     return out
 
 
+def prefix_sums(x: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(x) + 1, x.dtype)
+    np.cumsum(x, out=out[1:])
+    return out
+
+
+def _parts(text: bytes) -> Iterator[bytes]:
+    """The text in parts of about a slice, cut at white space."""
+    at = 0
+    while len(text) - at > SLICE_BYTES and (cut := BLANK.search(text, at + SLICE_BYTES)):
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:]
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of the texts, and where each text's words begin (one more at the end).
 
     Words are runs of bytes other than ASCII white space; A-Z count as a-z.
     """
-    joined = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+    if len(texts) == 1 and len(texts[0]) > 2 * SLICE_BYTES and BLANK.search(texts[0], SLICE_BYTES):
+        h = np.concatenate([word_hashes([p])[0] for p in _parts(texts[0])])
+        return h, np.array([0, len(h)], np.int64)
+    joined = np.frombuffer(b" ".join([b"", *texts, b""]), np.uint8)
     ends = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64) if texts else np.zeros(0, np.int64)
-    blank = (joined == 32) | ((joined >= 9) & (joined <= 13))
-    lower = joined + np.where((joined >= 65) & (joined <= 90), 32, 0).astype(np.uint8)
-    edge = np.diff(np.concatenate(([True], blank)).astype(np.int8))
-    starts, stops = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    value = (lower.astype(np.uint64) + np.uint64(1)) * _powers(_ODD, len(joined))
-    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)))
-    h = (total[stops] - total[starts]) * _powers(_INV, len(joined))[starts] if len(joined) else np.zeros(0, np.uint64)
-    h = mixed(h + (stops - starts).astype(np.uint64))
+    blank = _IS_BLANK[joined]
+    edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1  # the first byte is blank, so words begin and end in turn
+    starts, stops = edge[::2], edge[1::2]
+    value = _LETTER[joined]
+    value *= _powers(_ODD, len(joined))
+    total = prefix_sums(value)
+    h = mixed((total[stops] - total[starts]) * _powers(_INV, len(joined))[starts] + (stops - starts).astype(np.uint64))
     return h, np.concatenate(([0], np.searchsorted(starts, ends))).astype(np.int64)
 
 
@@ -61,34 +91,50 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, size: int = 5) -> tuple
     n = np.diff(first)
     counts = np.where(n >= size, n - size + 1, (n > 0).astype(np.int64))
     begin = np.concatenate(([0], np.cumsum(counts)))
-    doc = np.repeat(np.arange(len(n)), counts)
-    at = first[doc] + np.arange(begin[-1]) - begin[doc]
-    out = np.zeros(len(at), np.uint64)
+    factors = [mixed(np.full(1, k + 1, np.uint64))[0] | np.uint64(1) for k in range(size)]
+    m = max(len(words) - size + 1, 0)
+    total = np.zeros(m, np.uint64)
     for k in range(size):
-        inside = at + k < first[doc + 1]
-        w = np.where(inside, words[np.minimum(at + k, max(len(words) - 1, 0))], np.uint64(0)) if len(words) else out
-        out = mixed(out * _ODD + w + np.uint64(k + 1))
+        total += words[k : k + m] * factors[k]
+    ends = np.repeat(first[1:], n)
+    out = mixed(total[np.arange(m) + size <= ends[:m]])
+    few = np.flatnonzero((n > 0) & (n < size))
+    if len(few):
+        short = n[few].astype(np.uint64) * _ODD
+        for k in range(size - 1):
+            has = n[few] > k
+            short[has] += words[first[few[has]] + k] * factors[k]
+        whole = np.empty(begin[-1], np.uint64)
+        rest = np.ones(len(whole), bool)
+        rest[begin[few]] = False
+        whole[rest], whole[begin[few]] = out, mixed(short)
+        out = whole
     return out, begin
 
 
 def distinct(hashes: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each text's distinct hashes, sorted, and where they begin."""
-    doc = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
-    order = np.lexsort((hashes, doc))
-    h, d = hashes[order], doc[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
-    h, d = h[new], d[new]
-    return h, np.searchsorted(d, np.arange(len(begin))).astype(np.int64)
-
-
-def batches_of_bytes(texts: list[bytes], limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about `limit` bytes; a longer text is alone in its range."""
+    """Each text's distinct tokens (the hashes' upper TOKEN_BITS), sorted, and where they begin.
+
+    Text and token share a word, so one plain sort does; at most SLICE_TEXTS texts.
+    """
+    n = len(begin) - 1
+    bits = np.uint64(TOKEN_BITS)
+    key = hashes >> np.uint64(64 - TOKEN_BITS)
+    key |= np.repeat(np.arange(n, dtype=np.uint64) << bits, np.diff(begin))
+    key.sort()
+    if len(key):
+        key = key[np.concatenate(([True], key[1:] != key[:-1]))]
+    at = np.searchsorted(key, np.arange(1, n, dtype=np.uint64) << bits) if n > 1 else np.zeros(0, np.int64)
+    return key & np.uint64((1 << TOKEN_BITS) - 1), np.concatenate(([0], at, [len(key)] if n else [])).astype(np.int64)
+
+
+def batches_of_bytes(lengths: Sequence[int], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about `limit` bytes, SLICE_TEXTS at most; a longer text is alone in its range."""
     at = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > limit:
+    for i, n in enumerate(lengths):
+        if i > at and (size + n > limit or i - at == SLICE_TEXTS):
             yield at, i
             at, size = i, 0
-        size += len(t) + 1
-    if at < len(texts):
-        yield at, len(texts)
+        size += n + 1
+    if at < len(lengths):
+        yield at, len(lengths)

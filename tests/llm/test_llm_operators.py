@@ -6,13 +6,14 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from panelforge.llm.compact_windows import repeated_passages, verify_stretch
 from panelforge.llm.hnsw import near_vectors
 from panelforge.llm.mixing import mix_sources, taken_words
-from panelforge.llm.ngram_join import _sketches, jaccard_components, one_per_component
+from panelforge.llm.ngram_join import _may_link, jaccard_components, one_per_component, sketches, wide_sketch
 from panelforge.llm.quality import quality_verdicts
 from panelforge.llm.secrets import redacted, secret_digests
 from panelforge.llm.sentencepiece import DEFAULT_MODEL, Encoder, Pieces, _viterbi, decode_all, encode_units
@@ -52,6 +53,40 @@ def test_shingle_join_matches_brute_force(spark, corpus):
     assert [by_id[i][0] for i in (1, 6, 7, 8)] == [196, 0, 0, 1]
     kept = {r["doc_id"] for r in one_per_component(docs(spark, corpus)).collect()}
     assert kept == {1, 4, 5, 6, 7, 8, None, 10}
+    assert one_per_component(docs(spark, corpus)).count() == 8
+
+
+def test_one_row_of_each_component_stays(spark):
+    text, other = prose(60, 40), prose(61, 40)
+    rows = [(None, text, "a"), (None, text, "b"), (3, text, "a"), (3, text.upper(), "a"), (3, other, "a"), (3, other, "b"), (None, prose(62, 9), "a"), (None, prose(62, 9), "a"), (5, None, "a"), (5, None, "a"), (None, "", "a")]
+    got = sorted((r["doc_id"] or -1, (r["text"] or "").lower()) for r in one_per_component(docs(spark, rows)).collect())
+    assert got == sorted([(3, text), (3, other), (-1, prose(62, 9)), (5, ""), (5, ""), (-1, "")])
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_shingle_join_matches_brute_force_on_edits_of_edits(spark, seed):
+    """Families whose members are edited more and more, so that links and near misses lie close together."""
+    r, rows = random.Random(seed), []
+    for f in range(12):
+        family = [prose(100 * seed + f, r.choice([12, 40, 90, 200])).split()]
+        for _ in range(14):
+            own = list(r.choice(family))
+            for _ in range(r.randint(0, max(1, len(own) // 25))):
+                own[r.randrange(len(own))] = f"x{r.randrange(99)}"
+            family.append(own)
+        rows += [(len(rows) + i, " ".join(w), "a") for i, w in enumerate(family)]
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (t.split() for _, t, _ in rows)]
+    root, links = list(range(len(rows))), 0
+    for i in range(len(rows)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                links += 1
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if x == old else x for x in root]
+    got = {x["doc_id"]: x["component_id"] for x in jaccard_components(docs(spark, rows)).collect()}
+    assert got == dict(enumerate(root))
+    assert len(set(root)) > 12
+    assert links > 50
 
 
 def test_passages_that_repeat_are_found_and_others_left_alone(spark, corpus):
@@ -265,11 +300,21 @@ def test_columns_that_clash_ride_along(spark):
 def test_sketches_differ_in_no_more_bits_than_sets_differ_in_tokens():
     r = np.random.default_rng(5)
     for n, edits in ((1, 0), (40, 3), (200, 30), (3000, 400)):
-        a = np.unique(r.integers(0, 1 << 63, n).astype(np.uint64))
-        b = np.unique(np.concatenate((a[edits:], r.integers(0, 1 << 63, edits).astype(np.uint64))))
-        x, y = _sketches([a, b])
-        assert sum(int(v).bit_count() for v in (x ^ y).view(np.uint64)) <= len(np.setxor1d(a, b))
-    assert (_sketches([a, a])[0] == _sketches([a])[0]).all()
+        a = np.unique(r.integers(0, 1 << 52, n).astype(np.uint64))
+        b = np.unique(np.concatenate((a[edits:], r.integers(0, 1 << 52, edits).astype(np.uint64))))
+        for bits in (512, 4096):
+            x, y = sketches([a, b], bits)
+            assert int(np.bitwise_count(x ^ y).sum()) <= len(np.setxor1d(a, b))
+            assert (sketches([a, a], bits)[0] == sketches([a], bits)[0]).all()
+
+
+@pytest.mark.parametrize("n, m", [(100, 100), (120, 135), (500, 520), (3000, 3700), (40000, 45000)])
+def test_wide_sketches_of_unequal_size_never_drop_a_link(n, m):
+    r = np.random.default_rng(n)
+    a = np.unique(r.integers(0, 1 << 52, n).astype(np.uint64))
+    b = np.unique(np.concatenate((a, r.integers(0, 1 << 52, m - n).astype(np.uint64))))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 1]), pa.array([2, 3]), pa.array([n, n]), pa.array([len(b), n]), pa.array([wide_sketch(a)] * 2), pa.array([wide_sketch(b), wide_sketch(a[: n // 2])])], names=["a", "b", "na", "nb", "wa", "wb"])
+    assert next(_may_link([batch], 80)).column(1).to_pylist() == [2]
 
 
 def test_shingle_join_keeps_every_link_among_texts_that_share_a_passage(spark):
