@@ -54,6 +54,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def carried(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """row (a struct of the `keep` columns, so that no name clashes) and text (as a string)."""
+    columns = [F.col(f"`{c}`").alias(c) for c in keep]
+    return docs.select((F.struct(*columns) if keep else F.struct(F.lit(None).alias("_"))).alias("row"), F.col("text").cast("string").alias("text"))
+
+
+def unpacked(rows: DataFrame, columns: list[str], *more: Column) -> DataFrame:
+    """The columns of the struct `row`, and `more`."""
+    return rows.select(*[F.col(f"row.`{c}`").alias(c) for c in columns], *more)
+
+
 def let(value: Column, body) -> Column:
     """`body(value)` with `value` computed once a row (a lambda variable is bound to it)."""
     return F.transform(F.array(value), body)[0]

@@ -1,27 +1,31 @@
-"""SentencePiece encoding and decoding of whole texts, batched in numpy.
-
-A text is cut into units, blanks followed by other characters; no piece spans two units. Distinct units of a batch are encoded together, all
-of one length at a time: their characters are the rows of a matrix and advance in lockstep.
-
-* Unigram models: Viterbi. At each end position the hashes of all substrings that end there probe
-  the sorted piece keys; the maximum over starts is stored with its backpointer; paths are then read
-  from the last position back.
-* BPE models: the best path by score is not what the model means (a merge's score is its rank, so
-  sums of scores say nothing). There, hashes of adjacent symbols probe the sorted keys, the maximum
-  over positions is merged in every row, and rows drop out when nothing is left to merge. Long
-  units (a text without blanks) go through a heap instead, as lockstep would be quadratic.
-
-Both give the ids that the library gives. The model file is a parameter; it is read where it is
+"""SentencePiece encoding and decoding of whole texts, by Viterbi in lockstep, batched in numpy.
+
+A text is cut into units, blanks followed by other characters; no piece spans two units. Distinct units
+of a batch are encoded together, all of one length at a time: their characters are the rows of a
+matrix and advance in lockstep. At each end position the hashes of all substrings that end there
+probe the sorted piece keys; the maximum over starts is stored with its backpointer; paths are then
+read from the last position back. The two kinds of model differ in what a start scores:
+
+* unigram: the piece's score and the best score up to its start;
+* BPE, where a score is the rank of a merge and sums of scores mean nothing: 0 if the merges would leave the
+  piece beside the one that ends at its start, and minus infinity if not. A sequence is what the
+  merges make of a text if and only if each two neighbours are what they make of these two, so one
+  start scores 0 at every end, and the path is the merges' result. Neighbours are looked
+  at by undoing their merges, the latest first: each time the symbols at the border must not merge before.
+
+Long units and those alone at their length go through the same steps one by one, by dictionary. Both
+models give the ids that the library gives. The model file is a parameter; it is read where it is
 used and never copied. Decoding restores the text; a U+2581 in a text comes back as a blank, and
 an unpaired surrogate cannot occur in a Spark string.
 
-Defined results: a null or empty text has no ids and decodes to an empty text; rows are independent
-of each other; other columns are carried or ignored, whatever their names.
+Defined results: a null or empty text has no ids and decodes to an empty text; null ids decode to an
+empty text; rows are independent of each other, so repeated ones get the same ids; a very long text is encoded
+whole, in memory of some 100 bytes a character; an empty table gives no rows; other columns are
+carried or ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache, partial
@@ -31,19 +35,44 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructType
 
+from panelforge.llm.common import carried, unpacked
 from panelforge.llm.textvec import mixed
 
 MARK = "▁"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-LONG_UNIT = 96
+LONG_UNIT = 128
+FEW_UNITS = 16
+STEP = 0x9E3779B97F4A7C15
 BLOCK_UNITS = 1 << 15
 UNITS = re.compile(f"{MARK}+[^{MARK}]*")
 
 
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a.astype(np.uint64) << np.uint64(32)) | b.astype(np.uint64)
+    """A hash of two symbols, different for different pairs."""
+    return mixed((a.astype(np.uint64) << np.uint64(32)) | b.astype(np.uint64))
+
+
+class _Table:
+    """Sorted keys, which are hashes, with their values. A table of one bit per hash spares most misses the search."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
+        self.flags = np.zeros(1 << 20, bool)
+        self.flags[(self.keys >> np.uint64(44)).astype(np.int64)] = True
+
+    def look_up(self, keys: np.ndarray) -> np.ndarray:
+        """The value of each key, or -1."""
+        out = np.full(keys.shape, -1, np.int64)
+        if not len(self.keys):
+            return out
+        near = np.flatnonzero(self.flags[(keys >> np.uint64(44)).astype(np.int64)])
+        at = np.minimum(np.searchsorted(self.keys, keys[near]), len(self.keys) - 1)
+        hit = self.keys[at] == keys[near]
+        out[near[hit]] = self.values[at[hit]]
+        return out
 
 
 class Pieces:
@@ -65,43 +94,98 @@ class Pieces:
                 self.bytes[int(p[3:5], 16)] = i
         self.fallback = "byte" in kinds
         self.longest = max((len(p) for p in self.ids), default=1)
+        self.lowest = min((self.scores[i] for i in self.ids.values()), default=0.0) - 10.0  # of a character that is no piece
         if any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids):
             raise ValueError("a piece goes on after a blank; units of such a model can't be encoded alone")
         self.symbol = np.arange(0x110000, dtype=np.int32) + len(pieces)
         for p, i in self.ids.items():
             if len(p) == 1:
                 self.symbol[ord(p)] = i
-        if unigram:
-            keys = np.array([self._string_key(p) for p in self.ids], np.uint64)
-            values = np.array(list(self.ids.values()), np.int64)
-        else:
-            one = lambda x: int(self.symbol[ord(x)]) if len(x) == 1 else self.ids.get(x)
-            self.pairs = {(one(p[:k]), one(p[k:])): i for p, i in self.ids.items() for k in range(1, len(p)) if one(p[:k]) is not None and one(p[k:]) is not None}
-            both = np.array(list(self.pairs), np.int64).reshape(-1, 2)
-            keys, values = _pair(both[:, 0], both[:, 1]), np.array(list(self.pairs.values()), np.int64)
-        order = np.argsort(keys)
-        self.keys, self.values = keys[order], values[order]
-        # a table of one bit per hash spares most misses the search
-        self.flags = np.zeros(1 << 20, bool)
-        self.flags[(mixed(self.keys) >> np.uint64(44)).astype(np.int64)] = True
+        # pieces, and with value -2 what is only the beginning of a piece
+        begun = {p[:k] for p in self.ids for k in range(1, len(p))}.difference(self.ids)
+        self.table = _Table(self._string_keys([*self.ids, *begun]), np.array([*self.ids.values(), *[-2] * len(begun)], np.int64))
+        if not unigram:
+            self._learn_merges()
+
+    def _learn_merges(self) -> None:
+        """Which two symbols make a piece, each piece's rank (-1: no merge), and the two halves of its last merge.
+
+        From short pieces to long ones: the halves are those that the merges ranked before the piece
+        leave side by side. A piece without such halves is never made.
+        """
+        n = len(self.pieces)
+        one = lambda x: int(self.symbol[ord(x)]) if len(x) == 1 else self.ids.get(x)
+        cuts = [(len(p), i, one(p[:k]), one(p[k:])) for p, i in self.ids.items() for k in range(1, len(p)) if one(p[:k]) is not None and one(p[k:]) is not None]
+        cuts = np.array(cuts, np.int64).reshape(-1, 4)
+        self.pair_table = _Table(_pair(cuts[:, 2], cuts[:, 3]), cuts[:, 1])
+        self.rank = np.full(n, -1, np.int64)
+        whole = [i for p, i in self.ids.items() if len(p) > 1]
+        self.rank[whole] = np.round(-self.scores[whole]).astype(np.int64)
+        self.halves = np.full((n, 2), -1, np.int64)
+        self.made = np.zeros(n, bool)
+        self.made[[i for p, i in self.ids.items() if len(p) == 1]] = True
+        for size in np.unique(cuts[:, 0]):
+            _, i, a, b = cuts[cuts[:, 0] == size].T
+            ok = self._is_made(a) & self._is_made(b)
+            i, a, b = i[ok], a[ok], b[ok]
+            ok = self.stay_apart(a, b, self.rank[i])
+            self.halves[i[ok]] = np.stack((a[ok], b[ok]), 1)
+            self.made[i[ok]] = True
+        self.known, self.known_apart = np.zeros(1 << 20, np.uint64), np.zeros(1 << 20, bool)
+        self.apart = lru_cache(maxsize=1 << 18)(lambda a, b: bool(self.stay_apart(np.array([a]), np.array([b]))[0]))
+
+    def are_apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """`stay_apart` by way of a table of the pairs met last."""
+        key = _pair(a, b)
+        slot = (key >> np.uint64(44)).astype(np.int64)
+        new = np.flatnonzero(self.known[slot] != key)
+        out = self.known_apart[slot]
+        if len(new):
+            out[new] = self.stay_apart(a[new], b[new])
+            self.known[slot[new]] = key[new]
+            # of pairs that share a slot the one that was written last is kept
+            last = self.known[slot[new]] == key[new]
+            self.known_apart[slot[new[last]]] = out[new[last]]
+        return out
+
+    def _is_made(self, symbols: np.ndarray) -> np.ndarray:
+        return (symbols >= len(self.pieces)) | self.made[np.minimum(symbols, len(self.pieces) - 1)]
+
+    def _rank(self, symbols: np.ndarray) -> np.ndarray:
+        return np.where(symbols < len(self.pieces), self.rank[np.minimum(symbols, len(self.pieces) - 1)], -1)
+
+    def stay_apart(self, a: np.ndarray, b: np.ndarray, before: np.ndarray | None = None) -> np.ndarray:
+        """Whether the merges (those ranked before `before`, if given) leave a and b side by side.
+
+        A merge over the border counts if its rank comes before the event that takes one of its sides
+        away; among equal ranks the left one is first.
+        """
+        out, live = np.ones(len(a), bool), np.arange(len(a))
+        limit = np.full(len(a), np.iinfo(np.int64).max) if before is None else before
+        while len(live):
+            over = self.pair_table.look_up(_pair(a, b))
+            joins = (over >= 0) & (self.rank[over] < limit)
+            out[live[joins]] = False
+            x, y = self._rank(a), self._rank(b)
+            on = ~joins & ((x >= 0) | (y >= 0))
+            live, a, b, x, y = live[on], a[on], b[on], x[on], y[on]
+            left = x > y  # what was made last is undone first
+            limit = np.where(left, x, y + 1)
+            a, b = np.where(left, self.halves[np.where(left, a, 0), 1], a), np.where(left, b, self.halves[np.where(left, 0, b), 0])
+        return out
 
     @staticmethod
     def load(path: str) -> Pieces:
         return _load(path)
 
-    def _string_key(self, piece: str) -> int:
-        h = np.zeros(1, np.uint64)
-        for c in piece:
-            h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + np.uint64(ord(c) + 1))
-        return int(h[0])
-
-    def look_up(self, keys: np.ndarray) -> np.ndarray:
-        """The piece of each key, or -1."""
-        out = np.full(keys.shape, -1, np.int64)
-        near = np.flatnonzero(self.flags[(mixed(keys) >> np.uint64(44)).astype(np.int64)])
-        at = np.minimum(np.searchsorted(self.keys, keys[near]), len(self.keys) - 1)
-        hit = self.keys[at] == keys[near]
-        out[near[hit]] = self.values[at[hit]]
+    @staticmethod
+    def _string_keys(strings: list[str]) -> np.ndarray:
+        sizes = np.array([len(x) for x in strings], np.int64)
+        out, at = np.zeros(len(strings), np.uint64), np.concatenate(([0], np.cumsum(sizes)))[:-1]
+        points = np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
+        for k in range(int(sizes.max(initial=0))):
+            on = np.flatnonzero(sizes > k)
+            out[on] = mixed(out[on] * np.uint64(STEP) + points[at[on] + k])
         return out
 
     def spelled(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -135,91 +219,77 @@ def _load(path: str) -> Pieces:
     return Pieces(pieces, scores, kinds, unigram)
 
 
-def _merge_rows(model: Pieces, rows: np.ndarray) -> np.ndarray:
-    """Merges in lockstep; rows: symbols. Returns rows with -1 behind what is left of each."""
-    n, width = rows.shape
-    done = np.full((n, width), -1, np.int64)
-    index = np.arange(n)
-    ranks = np.append(model.scores, -np.inf)  # -1, no piece, has the last
-    found = model.look_up(_pair(rows[:, :-1], rows[:, 1:]).ravel()).reshape(n, width - 1)
-    score = ranks[found]
-    while rows.shape[1] > 1:
-        at = score.argmax(1)
-        live = score[np.arange(len(index)), at] > -np.inf
-        if not live.all():
-            done[index[~live], : rows.shape[1]] = rows[~live]
-            rows, found, score, index, at = rows[live], found[live], score[live], index[live], at[live]
-        if not len(index):
-            return done
-        r, w = np.arange(len(index)), rows.shape[1]
-        rows[r, at] = found[r, at]
-        # what stands to the right of the merged pair moves one place to the left
-        rows = np.where(np.arange(w - 1) > at[:, None], rows[:, 1:], rows[:, :-1])
-        later = np.arange(w - 2) >= at[:, None]
-        found, score = np.where(later, found[:, 1:], found[:, :-1]), np.where(later, score[:, 1:], score[:, :-1])
-        for side in (-1, 0):  # the pairs that end and begin with the new symbol
-            ok = np.flatnonzero((at + side >= 0) & (at + side < w - 2))
-            c = at[ok] + side
-            found[ok, c] = both = model.look_up(_pair(rows[ok, c], rows[ok, c + 1]))
-            score[ok, c] = ranks[both]
-    done[index, :1] = rows[:, :1]
-    return done
-
-
-def _merge_long(model: Pieces, symbols: list[int]) -> list[int]:
-    """The same merges by a heap: best score first, leftmost among equals."""
-    n = len(symbols)
-    left, right = list(range(-1, n - 1)), [*range(1, n), -1]
-    heap: list[tuple[float, int, int, int, int]] = []
-
-    def offer(i: int, j: int) -> None:
-        if i >= 0 and j >= 0 and (p := model.pairs.get((symbols[i], symbols[j]))) is not None:
-            heapq.heappush(heap, (-model.scores[p], i, j, symbols[i], symbols[j]))
-
-    for i in range(n - 1):
-        offer(i, i + 1)
-    while heap:
-        _, i, j, a, b = heapq.heappop(heap)
-        if symbols[i] != a or symbols[j] != b or right[i] != j:
-            continue
-        symbols[i], symbols[j] = model.pairs[(a, b)], -1
-        right[i] = right[j]
-        if right[j] >= 0:
-            left[right[j]] = i
-        offer(left[i], i)
-        offer(i, right[i])
-    return [s for s in symbols if s >= 0]
-
-
 def _viterbi(model: Pieces, rows: np.ndarray, points: np.ndarray) -> np.ndarray:
-    """The best paths of units of one length; points: their code points. Rows end in -1."""
+    """The best paths of units of one length; rows: symbols, points: code points. Rows end in -1."""
     n, width = points.shape
     best = np.full((n, width + 1), -np.inf)
     best[:, 0] = 0
-    back, piece = np.zeros((n, width + 1), np.int64), np.zeros((n, width + 1), np.int64)
-    lowest = model.scores[[i for i, k in enumerate(model.kinds) if k == "normal"]].min() - 10.0
-    hashes: list[np.ndarray] = []  # by start, of the substring up to the current end
+    back, piece = np.zeros((n, width + 1), np.int64), np.full((n, width + 1), -1, np.int64)
+    r = np.arange(n)
+    # substrings up to the current end that begin a piece: unit, start, hash
+    unit, start, h = (np.zeros(0, t) for t in (np.int64, np.int64, np.uint64))
     for end in range(1, width + 1):
-        c = points[:, end - 1].astype(np.uint64) + np.uint64(1)
-        hashes = [*hashes, np.zeros(n, np.uint64)][-model.longest :]
-        hashes = [mixed(h * np.uint64(0x9E3779B97F4A7C15) + c) for h in hashes]
-        first = end - len(hashes)
-        ids = model.look_up(np.stack(hashes, 1).ravel()).reshape(n, -1)
-        gain = np.where(ids >= 0, model.scores[ids], -np.inf) + best[:, first:end]
-        alone = best[:, end - 1] + np.where(ids[:, -1] >= 0, -np.inf, lowest)  # a character that is no piece
-        gain[:, -1] = np.maximum(gain[:, -1], alone)
-        at = gain.argmax(1)
-        r = np.arange(n)
-        best[:, end], back[:, end] = gain[r, at], first + at
-        piece[:, end] = np.where(ids[r, at] >= 0, ids[r, at], rows[:, end - 1])
+        unit, start, h = np.concatenate((unit, r)), np.concatenate((start, np.full(n, end - 1))), np.concatenate((h, np.zeros(n, np.uint64)))
+        h = mixed(h * np.uint64(STEP) + points[unit, end - 1] + np.uint64(1))
+        ids = model.table.look_up(h)
+        single = np.arange(len(ids)) >= len(ids) - n
+        piece_here = np.flatnonzero((ids >= 0) | single)
+        u, s, i = unit[piece_here], start[piece_here], np.where(single[piece_here], rows[unit[piece_here], end - 1], ids[piece_here])
+        if model.unigram:
+            gain = best[u, s] + np.where(i < len(model.pieces), model.scores[np.minimum(i, len(model.pieces) - 1)], model.lowest)
+        else:
+            ok = model._is_made(i)
+            u, s, i = u[ok], s[ok], i[ok]
+            gain = np.zeros(len(u))
+            inner = np.flatnonzero(s > 0)
+            gain[inner[~model.are_apart(piece[u[inner], s[inner]], i[inner])]] = -np.inf
+        gains = np.full((n, min(end, model.longest)), -np.inf)
+        gains[u, end - 1 - s] = gain
+        at = gains.argmax(1)
+        chosen = np.flatnonzero(at[u] == end - 1 - s)
+        best[:, end], back[:, end] = gains[r, at], end - 1 - at
+        piece[u[chosen], end] = i[chosen]
+        live = np.flatnonzero((ids != -1) & (end - start < model.longest))
+        unit, start, h = unit[live], start[live], h[live]
+    return _paths(piece, back)
+
+
+def _paths(piece: np.ndarray, back: np.ndarray) -> np.ndarray:
+    """Pieces by their last position, from the last position back, all paths at once; -1 elsewhere."""
+    n, width = piece.shape[0], piece.shape[1] - 1
     out, r, at = np.full((n, width), -1, np.int64), np.arange(n), np.full(n, width)
-    for k in range(width - 1, -1, -1):  # from the last position back, all paths at once
-        on = at > 0
-        out[r[on], k] = piece[r[on], at[on]]
+    while (on := at > 0).any():
+        out[r[on], at[on] - 1] = piece[r[on], at[on]]
         at = np.where(on, back[r, at], 0)
     return out
 
 
+def _viterbi_one(model: Pieces, unit: str, symbols: list[int]) -> list[int]:
+    """The same for one unit."""
+    best, back, piece = [0.0], [0], [-1]
+    for end in range(1, len(unit) + 1):
+        found = (-np.inf, end - 1, symbols[end - 1])
+        for start in range(max(0, end - model.longest), end):
+            i = symbols[start] if start == end - 1 else model.ids.get(unit[start:end], -1)
+            if i < 0:
+                continue
+            if model.unigram:
+                score = best[start] + (model.scores[i] if i < len(model.pieces) else model.lowest)
+            else:
+                if i < len(model.pieces) and not model.made[i] or start and not model.apart(piece[start], i):
+                    continue
+                score = 0.0
+            if score > found[0]:
+                found = (score, start, i)
+        for held, x in zip((best, back, piece), found):
+            held.append(x)
+    out, at = [], len(unit)
+    while at > 0:
+        out.append(piece[at])
+        at = back[at]
+    return out[::-1]
+
+
 def encode_units(model: Pieces, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of units, end to end, how many each has, and the order of the units in which they come.
 
@@ -235,15 +305,13 @@ def encode_units(model: Pieces, units: list[str]) -> tuple[np.ndarray, np.ndarra
         part = MARK + MARK.join([units[i] for i in order[at:stop]])
         points = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32).reshape(stop - at, width)
         rows = model.symbol[points].astype(np.int64)
-        if model.unigram:
-            done = _viterbi(model, rows, points)
-        elif width > LONG_UNIT:
+        if width > LONG_UNIT or stop - at <= FEW_UNITS:
             done = np.full(rows.shape, -1, np.int64)
             for i, r in enumerate(rows.tolist()):
-                merged = _merge_long(model, r)
-                done[i, : len(merged)] = merged
+                path = _viterbi_one(model, MARK + units[order[at + i]], r)
+                done[i, : len(path)] = path
         else:
-            done = _merge_rows(model, rows)
+            done = _viterbi(model, rows, points)
         kept = done >= 0
         ids, n = model.spelled(done[kept], kept.sum(1))
         flat.append(ids)
@@ -322,44 +390,45 @@ def _pieces_of_texts(texts: list[str], limit: int = 1 << 21) -> Iterator[tuple[i
 
 
 def _encode(batches: Iterator[pa.RecordBatch], model_file: str) -> Iterator[pa.RecordBatch]:
-    """Column 0 is the text; the others stay, and ids and what they decode to follow."""
+    """Columns: the row and its text. Gives the row, ids and whether they decode to the text."""
     model = Pieces.load(model_file)
     encoder, tables = Encoder(model), decoding_tables(model)
     for batch in batches:
-        texts = [t or "" for t in batch.column(0).to_pylist()]
+        texts = [t or "" for t in batch.column(1).to_pylist()]
         for i, j in _pieces_of_texts(texts):
             ids, begin = encoder.encode(texts[i:j])
             back = decode_all(model, ids, begin, tables)
             same = [x == y for x, y in zip(back, texts[i:j])]
             lists = pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(ids.astype(np.int32)))
-            rest = batch.slice(i, j - i)
-            yield pa.RecordBatch.from_arrays([*rest.columns[1:], lists, pa.array(same)], names=[*batch.schema.names[1:], "_ids", "_same"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), lists, pa.array(same)], names=["row", "ids", "same"])
 
 
 def encoded(docs: DataFrame, keep: list[str], model_file: str = DEFAULT_MODEL) -> DataFrame:
-    """The `keep` columns, _ids (array<int>) and _same (the ids decode to the text)."""
-    rows = docs.select(F.col("text").cast("string").alias("_text"), *[F.col(f"`{c}`") for c in keep])
-    schema = rows.drop("_text").schema.add("_ids", ArrayType(IntegerType())).add("_same", "boolean")
+    """row (a struct of the `keep` columns), ids (array<int>) and same (the ids decode to the text)."""
+    rows = carried(docs, keep)
+    schema = StructType().add(rows.schema["row"]).add("ids", ArrayType(IntegerType())).add("same", BooleanType())
     return rows.mapInArrow(partial(_encode, model_file=model_file), schema)
 
 
 def _decode(batches: Iterator[pa.RecordBatch], model_file: str) -> Iterator[pa.RecordBatch]:
+    """Columns: the row and its ids. Gives the row and the text."""
     model = Pieces.load(model_file)
     tables = decoding_tables(model)
     for batch in batches:
-        lists = batch.column(0)
-        sizes = np.array([len(x) if x is not None else 0 for x in lists.to_pylist()], np.int64)
-        ids = np.array([v for x in lists.to_pylist() for v in (x or [])], np.int64)
-        texts = decode_all(model, ids, np.concatenate(([0], np.cumsum(sizes))), tables)
-        yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(texts, pa.string())], names=[*batch.schema.names[1:], "_text"])
+        lists = [x or [] for x in batch.column(1).to_pylist()]
+        begin = np.concatenate(([0], np.cumsum([len(x) for x in lists], dtype=np.int64)))
+        texts = decode_all(model, np.fromiter(chain.from_iterable(lists), np.int64, int(begin[-1])), begin, tables)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "text"])
 
 
 def decoded(rows: DataFrame, ids: str, keep: list[str], model_file: str = DEFAULT_MODEL) -> DataFrame:
-    """The `keep` columns and _text, what the column `ids` decodes to."""
-    rows = rows.select(F.col(ids).alias("_ids"), *[F.col(f"`{c}`") for c in keep])
-    return rows.mapInArrow(partial(_decode, model_file=model_file), rows.drop("_ids").schema.add("_text", "string"))
+    """row (a struct of the `keep` columns) and text, what the column `ids` decodes to."""
+    rows = rows.select(F.struct(*[F.col(f"`{c}`").alias(c) for c in keep]).alias("row"), F.col(f"`{ids}`").cast("array<int>").alias("ids"))
+    schema = StructType().add(rows.schema["row"]).add("text", StringType())
+    return rows.mapInArrow(partial(_decode, model_file=model_file), schema)
 
 
 def token_ids(docs: DataFrame, model_file: str = DEFAULT_MODEL) -> DataFrame:
     """A row per document: doc_id, n_tokens, ids, round_trip."""
-    return encoded(docs, ["doc_id"], model_file).select("doc_id", F.size("_ids").cast("long").alias("n_tokens"), F.col("_ids").alias("ids"), F.col("_same").alias("round_trip"))
+    rows = encoded(docs, ["doc_id"], model_file)
+    return unpacked(rows, ["doc_id"], F.size("ids").cast("long").alias("n_tokens"), F.col("ids"), F.col("same").alias("round_trip"))

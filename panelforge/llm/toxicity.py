@@ -10,8 +10,11 @@ Labels: a document's label is its largest non-null `toxic`; rows that are held o
 for training. At most `max_rows` labelled documents, the smallest by hash of doc_id, are fitted.
 
 Defined results: a null text is empty; an empty text gets the model's score without any feature;
-without training rows of both labels every score is 0; a null doc_id is not held out and has no
-label; other columns are ignored.
+without training rows of both labels every score is 0; where no n-gram is in `min_texts` sample
+texts every score is the share of label 1; a null doc_id is not held out and has no label; labels of
+absent documents and null labels are ignored, repeated ones count once; repeated rows get one score;
+very long texts are scored whole, at some 100 bytes a character while they are; an empty table gives
+no rows; other columns are carried or ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,11 +26,12 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructType
 
-from panelforge.llm.common import staged
+from panelforge.llm.common import carried, staged, unpacked
 from panelforge.llm.textvec import mixed
 
 ORDERS = (3, 4, 5)
@@ -106,6 +110,8 @@ def _filter_of(keys: np.ndarray) -> np.ndarray:
 def _found(texts: list[str], keys: np.ndarray, flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (text, index of a feature that it has)."""
     out = []
+    if not len(keys):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     for h, d in ngram_hashes(*_code_points(texts)):
         near = flags[(h & np.uint64(len(flags) - 1)).astype(np.int64)]
         h, d = h[near], d[near]
@@ -116,14 +122,17 @@ def _found(texts: list[str], keys: np.ndarray, flags: np.ndarray) -> tuple[np.nd
     return pairs // len(keys), pairs % len(keys)
 
 
-def _features(batches: Iterator[pa.RecordBatch], keys: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _features(batches: Iterator[pa.RecordBatch], keys: np.ndarray, ratios: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """label and the sparse vector of ratios at the features that the text has; texts are columns 0, labels 1."""
     flags = _filter_of(keys)
     for batch in batches:
         texts, labels = [t or "" for t in batch.column(0).to_pylist()], batch.column(1)
         for i, j in _slices(texts):
             doc, at = _found(texts[i:j], keys, flags)
-            offsets = np.searchsorted(doc, np.arange(j - i + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([labels.slice(i, j - i), pa.ListArray.from_arrays(pa.array(offsets), pa.array(at.astype(np.int32)))], names=["label", "at"])
+            offsets = pa.array(np.searchsorted(doc, np.arange(j - i + 1)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(v)) for v in (at.astype(np.int32), ratios[at])]
+            sparse = [pa.array(np.zeros(j - i, np.int8)), pa.array(np.full(j - i, len(keys), np.int32)), *lists]  # the layout of VectorUDT
+            yield pa.RecordBatch.from_arrays([labels.slice(i, j - i).cast(pa.float64()), pa.StructArray.from_arrays(sparse, ["type", "size", "indices", "values"])], names=["label", "features"])
 
 
 def labelled(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
@@ -135,58 +144,69 @@ def labelled(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
     return staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(some, "doc_id").select("text", "label"), "toxic-sample")
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = 16000, max_features: int = 8192, alpha: float = 1.0, l2: float = 1e-3) -> Model | None:
+def ranked_ngrams(sample: DataFrame, ones: int, zeros: int, alpha: float, min_texts: int) -> DataFrame:
+    """gram, ratio (log of its smoothed shares among texts of label 1 and 0), strength (ratio times their difference)."""
+    counts = sample.mapInArrow(_count, "gram long, ones long, zeros long").groupBy("gram").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
+    p, q = (F.col("ones") + alpha) / (ones + 2 * alpha), (F.col("zeros") + alpha) / (zeros + 2 * alpha)
+    return counts.filter(F.col("ones") + F.col("zeros") >= min_texts).select("gram", F.log(p / q).alias("ratio"), F.abs(F.log(p / q) * (p - q)).alias("strength"))
+
+
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = 16000, max_features: int = 8192, min_texts: int = 3, alpha: float = 1.0, l2: float = 1e-3) -> Model | None:
     sample = labelled(docs, labels, max_rows)
     n = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not n.get(0) or not n.get(1):
         return None
     spread = sample.repartition(max(8, sample.rdd.getNumPartitions()))
-    counts = spread.mapInArrow(_count, "gram long, ones long, zeros long").groupBy("gram").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
-    # shares among the documents of each label; strength: the log ratio times the difference of shares
-    p, q = (F.col("ones") + alpha) / (n[1] + 2 * alpha), (F.col("zeros") + alpha) / (n[0] + 2 * alpha)
-    ranked = counts.filter("ones + zeros >= 3").select("gram", F.log(p / q).alias("ratio"), F.abs(F.log(p / q) * (p - q)).alias("strength"))
+    ranked = ranked_ngrams(spread, n[1], n[0], alpha, min_texts)
     best = ranked.orderBy(F.desc("strength"), "gram").limit(max_features).toPandas()  # the model: bounded by max_features
     keys = best["gram"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
     keys, ratios = keys[order], best["ratio"].to_numpy(np.float64)[order]
+    if not len(keys):
+        return Model(keys, ratios, float(np.log(n[1] / n[0])))
 
-    width = len(keys)
-    vector = F.udf(lambda at: SparseVector(width, at, [float(ratios[i]) for i in at]), VectorUDT())  # the bounded sample only
-    rows = staged(spread.mapInArrow(partial(_features, keys=keys), "label int, at array<int>"), "toxic-features")
-    rows = rows.coalesce(4).select(F.col("label").cast("double").alias("label"), vector("at").alias("features")).persist()
+    vectors = StructType().add("label", DoubleType()).add("features", VectorUDT())
+    rows = spread.mapInArrow(partial(_features, keys=keys, ratios=ratios), vectors).persist()
     fitted = LogisticRegression(maxIter=40, regParam=l2, standardization=False).fit(rows)
     rows.unpersist()
     return Model(keys, fitted.coefficients.toArray() * ratios, float(fitted.intercept))
 
 
+def scores_of(texts: list[str], model: Model | None, flags: np.ndarray | None = None) -> np.ndarray:
+    out = np.zeros(len(texts))
+    if model is None:
+        return out
+    flags = _filter_of(model.keys) if flags is None else flags
+    for i, j in _slices(texts):
+        doc, at = _found(texts[i:j], model.keys, flags)
+        z = np.bincount(doc, model.weights[at], j - i) + model.bias
+        out[i:j] = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+    return out
+
+
 def _score(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
-    """Appends the score to the batches; column 0 is the text."""
+    """Columns: the row and its text. Gives the row and its score."""
     model = sent.value
     flags = _filter_of(model.keys) if model else None
     for batch in batches:
-        texts, scores = [t or "" for t in batch.column(0).to_pylist()], np.zeros(batch.num_rows)
-        if model:
-            for i, j in _slices(texts):
-                doc, at = _found(texts[i:j], model.keys, flags)
-                z = np.bincount(doc, model.weights[at], j - i) + model.bias
-                scores[i:j] = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-        yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(scores)], names=[*batch.schema.names[1:], "_score"])
+        texts = [t or "" for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores_of(texts, model, flags))], names=["row", "score"])
 
 
 def scored(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
-    """The `keep` columns of docs, and _score."""
+    """row (a struct of the `keep` columns of docs) and score."""
+    rows = carried(docs, keep)
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.col("text").cast("string").alias("_text"), *[F.col(f"`{c}`") for c in keep])
-    schema = rows.drop("_text").schema.add("_score", "double")
-    return rows.mapInArrow(partial(_score, sent=sent), schema)
+    return rows.mapInArrow(partial(_score, sent=sent), StructType().add(rows.schema["row"]).add("score", DoubleType()))
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **options) -> DataFrame:
     s = scored(docs, train(docs, labels, **options), ["doc_id"])
-    return s.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= threshold).cast("int").alias("predicted"))
+    doc_id = F.col("row.doc_id")
+    return s.select(doc_id.alias("doc_id"), held_out(doc_id).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **options) -> DataFrame:
     """`docs` less the rows that the classifier rejects; all columns stay as they are."""
     s = scored(docs, train(docs, labels, **options), docs.columns)
-    return s.filter(F.col("_score") < threshold).drop("_score")
+    return unpacked(s.filter(F.col("score") < threshold), docs.columns)
