@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import scratch_path, table
+from panelforge.llm.common import scratch_path, table, unpacked
 from panelforge.llm.mixing import mix_sources, mixed_documents
 from panelforge.llm.ngram_join import one_per_component
 from panelforge.llm.secrets import redacted
@@ -41,8 +41,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether they decode to its text."""
-    rows = encoded(docs, ["doc_id", "lang", "source"])
-    return rows.select("doc_id", "lang", "source", F.size("_ids").cast("long").alias("n_tokens"), F.col("_ids").alias("ids"), F.col("_same").alias("round_trip"))
+    keep = ["doc_id", "lang", "source"]
+    return unpacked(encoded(docs, keep), keep, F.size("ids").cast("long").alias("n_tokens"), F.col("ids"), F.col("same").alias("round_trip"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
