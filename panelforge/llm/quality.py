@@ -1,18 +1,23 @@
 """Quality rules whose thresholds come from the corpus.
 
 Each signal of a document is compared with fences of its own language and source. The fences come
-from quantile sketches (KLL): one per language and source, merged to one per language for groups
-with few rows. A fence lies `reach` times the distance between median and outer quartile beyond
+from quantile sketches: counts of values in logarithmic buckets, 1 % apart, one sketch per language,
+source and signal, merged to one per language for groups with few rows. Such counts add up in any
+order, so the same rows always give the same fences. A fence lies `reach` times the distance between median and outer quartile beyond
 that quartile, and at least `slack` beyond it, so that a group of alike documents loses none of
 them. DataFrame functions only.
 
 Defined results: a null text has no words and fails the base rule; null languages and sources form
-groups of their own; an empty table gives no rows; other columns are ignored.
+groups of their own; very long texts are taken whole, in arrays of their words within one row;
+repeated rows count as often as they occur and get equal verdicts; an empty table gives no rows;
+other columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.llm.common import BLANKS, let, staged, without, words
@@ -20,6 +25,7 @@ from panelforge.llm.common import BLANKS, let, staged, without, words
 #: Fixed value.
 SYMBOLS = "#*$%&|<>"
 #: Signal: lower fence, upper fence, least distance of a fence from its quartile.
+BASE, NONE = 1.01, -(1 << 30)
 RULES = {"word_len": (True, True, 1.5), "symbol_rate": (False, True, 0.1), "dup_line_rate": (False, True, 0.25), "repeat_rate": (False, True, 0.25)}
 
 
@@ -59,28 +65,39 @@ def with_rates(signals: DataFrame) -> DataFrame:
     return signals.withColumns({"word_len": F.col("word_chars") / n, "symbol_rate": F.col("n_symbols") / n, "dup_line_rate": F.col("n_dup_lines") / n * 10, "repeat_rate": F.col("n_repeat_words") / n})
 
 
-def _fence(quartiles: Column, slack: float, reach: float) -> tuple[Column, Column]:
-    lo = let(quartiles, lambda v: v[0] - F.greatest(F.lit(slack), reach * (v[1] - v[0])))
-    hi = let(quartiles, lambda v: v[2] + F.greatest(F.lit(slack), reach * (v[2] - v[1])))
-    return lo, hi
+def bucket_counts(rated: DataFrame) -> DataFrame:
+    """lang, source, signal, bucket, n: the sketches. Bucket k holds values from BASE ** k up to the next; NONE holds 0."""
+    bucket = lambda v: F.when(v > 0, F.floor(F.log(v) / math.log(BASE)).cast("int")).otherwise(NONE)
+    items = F.array(*[F.struct(F.lit(s).alias("signal"), bucket(F.col(s)).alias("bucket")) for s in RULES])
+    return rated.select("lang", "source", F.inline(items)).groupBy("lang", "source", "signal", "bucket").agg(F.count("*").alias("n"))
+
+
+def quartiles(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, signal, rows, q1, q2, q3 of sketches: the middles of the buckets that hold the quartiles."""
+    whole = Window.partitionBy(*keys, "signal")
+    upto, total = F.sum("n").over(whole.orderBy("bucket")), F.sum("n").over(whole)
+    value = F.when(F.col("bucket") == NONE, 0.0).otherwise(F.pow(F.lit(BASE), F.col("bucket") + 0.5))
+    placed = counts.select(*keys, "signal", upto.alias("_upto"), total.alias("_total"), value.alias("_value"))
+    return placed.groupBy(*keys, "signal").agg(F.max("_total").alias("rows"), *[F.min(F.when(4 * F.col("_upto") >= k * F.col("_total"), F.col("_value"))).alias(f"q{k}") for k in (1, 2, 3)])
 
 
-def fences(rated: DataFrame, reach: float, least_rows: int, k: int) -> DataFrame:
+def fences(rated: DataFrame, reach: float, least_rows: int) -> DataFrame:
     """A row per language and source: <signal>_lo, <signal>_hi of its own sketch, or of its language's."""
-    by_group = rated.groupBy("lang", "source").agg(F.count("*").alias("_n"), *[F.kll_sketch_agg_double(s, F.lit(k)).alias(s) for s in RULES])
-    by_group = staged(by_group, "quality-sketches")
-    by_lang = by_group.groupBy("lang").agg(*[F.kll_merge_agg_double(s, F.lit(k)).alias(f"_{s}") for s in RULES]).withColumnRenamed("lang", "_lang")
-    both = by_group.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang")))
-    out = [F.col("lang").alias("_lang"), F.col("source").alias("_source")]
+    counts = staged(bucket_counts(rated), "quality-sketches")
+    own = quartiles(counts, ["lang", "source"])
+    wider = quartiles(counts.groupBy("lang", "signal", "bucket").agg(F.sum("n").alias("n")), ["lang"])
+    wider = wider.select(F.col("lang").alias("_lang"), F.col("signal").alias("_signal"), *[F.col(f"q{k}").alias(f"_q{k}") for k in (1, 2, 3)])
+    both = own.join(wider, F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("signal") == F.col("_signal")))
+    q1, q2, q3 = (F.when(F.col("rows") >= least_rows, F.col(f"q{k}")).otherwise(F.col(f"_q{k}")) for k in (1, 2, 3))
+    out = []
     for s, (low, high, slack) in RULES.items():
-        sketch = F.when(F.col("_n") >= least_rows, F.col(s)).otherwise(F.col(f"_{s}"))
-        q = F.kll_sketch_get_quantile_double(sketch, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        lo, hi = _fence(q, slack, reach)
-        out += [(lo if low else F.lit(float("-inf"))).alias(f"{s}_lo"), (hi if high else F.lit(float("inf"))).alias(f"{s}_hi")]
-    return both.select(*out)
+        mine = F.col("signal") == s
+        lo, hi = q1 - F.greatest(F.lit(slack), reach * (q2 - q1)), q3 + F.greatest(F.lit(slack), reach * (q3 - q2))
+        out += [F.max(F.when(mine, lo if low else F.lit(float("-inf")))).alias(f"{s}_lo"), F.max(F.when(mine, hi if high else F.lit(float("inf")))).alias(f"{s}_hi")]
+    return both.groupBy(F.col("lang").alias("_lang"), F.col("source").alias("_source")).agg(*out)
 
 
-def quality_verdicts(docs: DataFrame, reach: float = 6.0, least_rows: int = 50, least_words: int = 50, k: int = 400) -> DataFrame:
+def quality_verdicts(docs: DataFrame, reach: float = 6.0, least_rows: int = 50, least_words: int = 50) -> DataFrame:
     """Base signals and verdict of every document.
 
     base_failed: fewer than `least_words` words, or more than half of them in repeated windows.
@@ -89,7 +106,7 @@ def quality_verdicts(docs: DataFrame, reach: float = 6.0, least_rows: int = 50,
     """
     rated = staged(with_rates(text_signals(docs)), "quality-signals")
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    limits = fences(rated.filter(~failed), reach, least_rows, k)
+    limits = fences(rated.filter(~failed), reach, least_rows)
     on = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
     judged = rated.withColumn("base_failed", failed).join(limits, on, "left")
     ok = F.lit(True)
