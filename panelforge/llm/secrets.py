@@ -4,15 +4,19 @@ The three fixed kinds are found by pattern. Beyond them every unbroken run of `l
 characters of the base64 alphabet is a candidate. Its encoding is inferred from its characters (hex,
 base32, base64), and a battery of tests asks whether it can be a random string of that encoding:
 chi-squared uniformity over the alphabet, runs above and below the alphabet's middle, and serial
-correlation. Those that the battery doesn't reject are weighed against ordinary text: the ratio of
-the run's probability under a random string to that under the character frequencies of rejected
-runs, each run weighing the same, blended with those of English letters. Such a ratio is an e-value: for ordinary text its mean is at most 1, and it grows with the
-run's length. Benjamini and Hochberg's procedure on e-values over all candidates of the corpus keeps
-the false discovery rate below `rate`, whatever the dependence between them.
+correlation. Every run is then weighed against ordinary text: the ratio of
+its probability under a random string to that under the character frequencies of runs that a test
+rejects at `alpha`, each run weighing the same, blended with those of English letters. Such a ratio is an e-value: for
+ordinary text its mean is at most 1, and it grows with the run's length. Each test multiplies it by
+p / alpha where that is less than 1, so the battery's p-values (upper bounds of them, exp(-z * z / 2))
+enter with the length, and what remains is an e-value still. Benjamini and Hochberg's procedure on
+these over all candidates of the corpus keeps the false discovery rate below `rate`, whatever the dependence between them.
 DataFrame functions only.
 
 Defined results: a null text is empty and has no spans; offsets are code points, end exclusive;
-rows are independent of each other, so repeated rows are fine; other columns are ignored.
+in a table without rejected runs the prior of English letters alone stands for ordinary text;
+repeated rows are candidates of their own and get equal spans; very long texts are scanned whole, and the time for
+one grows with the square of its matches; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -131,10 +135,11 @@ def random_runs(spans: DataFrame, alpha: float, rate: float, step: float = 0.25,
     tested = staged(spans.withColumn("_b", battery(F.col("run.match"))).select("_uid", "run.start", "run.end", "_b.*"), "secret-runs")
     passes = (F.col("p_chi") >= alpha) & (F.col("p_runs") >= alpha) & (F.col("p_serial") >= alpha)
     logs = F.broadcast(_frequencies(tested.filter(~passes)))  # one row of 64 numbers
-    scored = tested.filter(passes).select("*", F.lit(1).alias("_one")).join(logs.withColumn("_one", F.lit(1)), "_one")
+    battered = sum((F.least(F.lit(0.0), F.log(F.greatest(F.col(p), F.lit(1e-300)) / alpha)) for p in ("p_chi", "p_runs", "p_serial")), F.lit(0.0))
+    scored = tested.select("*", F.lit(1).alias("_one")).join(logs.withColumn("_one", F.lit(1)), "_one")
     ordinary = F.aggregate(F.filter(F.split("plain", ""), lambda c: c != ""), F.lit(0.0), lambda a, c: a + F.element_at("_logs", c))
     size = F.when(F.col("coding") == 0, 16.0).when(F.col("coding") == 1, 32.0).otherwise(64.0)
-    scored = scored.select("_uid", "start", "end", F.greatest(F.lit(0.0), F.least(F.lit(top), -F.col("n") * F.log(size) - ordinary)).alias("_log_e"))
+    scored = scored.select("_uid", "start", "end", F.greatest(F.lit(0.0), F.least(F.lit(top), -F.col("n") * F.log(size) - ordinary + battered)).alias("_log_e"))
     scored = scored.withColumn("_bin", F.floor(F.col("_log_e") / step))
     # the step-up threshold: the lowest bin b with exp(b * step) >= candidates / (rate * runs at or above b)
     total = tested.groupBy().agg(F.count("*").alias("_m"))
@@ -153,7 +158,7 @@ def secret_spans(docs: DataFrame, keep: list[str], least: int = 20, alpha: float
     outside = lambda x: ~F.exists("_base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
     runs = found.select("_uid", F.explode(F.filter("_runs", outside)).alias("run"))
     added = random_runs(runs, alpha, rate).groupBy("_uid").agg(F.collect_list(F.struct("start", F.lit(3).alias("kind"), "end")).alias("_added"))
-    out = found.join(added, "_uid", "left")
+    out = found.join(added.hint("merge"), "_uid", "left")  # grows with the corpus
     return out.select("_row", "_base", F.array_sort(F.concat("_base", F.coalesce("_added", F.array().cast(SPAN)))).alias("_all"))
 
 
