@@ -5,11 +5,14 @@ slots as its targets have blocks, dealt to output shards; each slot of a shard d
 a shard's source counts are multinomial. Draws beyond a source's quota pass to sources below
 theirs, so that the totals meet the targets. The slots of a source are then mapped through a
 pseudorandom permutation of its block indexes, a new one each time the source has been used up,
-and blocks are joined by index. DataFrame functions only.
+and blocks are joined by index. A source's last slot takes only as many of its block's words as the target still
+lacks, so every source is met to the word; a pass over part of a source takes its short last block last.
+DataFrame functions only.
 
 Defined results: a null text has no words; a source of null is a source of its own, last in order;
 documents of size 0 are never taken; rows that are equal in doc_id and size are interchangeable;
-an empty table gives an empty mix. Other columns are ignored, whatever their names.
+a very long text is cut into blocks like any other; an empty table gives an empty mix. Other columns are
+ignored, whatever their names.
 
 Rows that `explode` makes don't count in Spark's size estimates, so joins with them say that they
 are to be merged; otherwise a side that grows with the data would be broadcast.
@@ -33,8 +36,8 @@ def _all() -> WindowSpec:
 @dataclass(frozen=True)
 class Mix:
     """documents: _uid, doc_id, source, size (and the kept columns). sources: _sid, source,
-    source_size, target, _blocks, _slots. counts: _shard, _sid, n. slots: _shard, _sid, _epoch, _block.
-    pieces: _sid, _block, _uid, _first (word of the document), _words."""
+    source_size, target, _blocks, _slots. counts: _shard, _sid, n. slots: _shard, _sid, _epoch, _block, _take
+    (words of the block, from its first). pieces: _sid, _block, _uid, _first (word of the document), _from (word of the block), _words."""
 
     documents: DataFrame
     sources: DataFrame
@@ -63,10 +66,11 @@ def source_targets(documents: DataFrame, weights: tuple[float, ...], cap: float,
     level = F.min(F.when(F.col("_level").isNotNull(), F.struct("_rank", "_level"))).over(_all())["_level"]
     s = s.withColumn("target", F.coalesce(F.least(F.col("_cap"), level * F.col("_w")), F.lit(0.0)))
     s = s.withColumn("_blocks", F.ceil(F.col("source_size") / block_words))
-    full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    part = F.round((F.col("target") - full * F.col("source_size")) / block_words)
-    s = s.withColumn("_slots", (full * F.col("_blocks") + F.least(part, F.col("_blocks"))).cast("long"))
-    return s.select("_sid", "source", "source_size", "target", "_docs", "_blocks", "_slots")
+    words = F.round("target").cast("long")
+    s = s.withColumn("_full", F.when(F.col("source_size") > 0, F.floor(words / F.col("source_size"))).otherwise(0))
+    s = s.withColumn("_rest", words - F.col("_full") * F.col("source_size"))  # words of the last pass
+    s = s.withColumn("_slots", (F.col("_full") * F.col("_blocks") + F.ceil(F.col("_rest") / block_words)).cast("long"))
+    return s.select("_sid", "source", "source_size", "target", "_docs", "_blocks", "_full", "_rest", "_slots")
 
 
 def shard_counts(sources: DataFrame, total: int, shard_slots: int, seed: int) -> DataFrame:
@@ -121,12 +125,16 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: fl
 
     counts = staged(shard_counts(sources, total, shard_slots, seed), "mix-counts")
     first = F.coalesce(F.sum("n").over(Window.partitionBy("_sid").orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    runs = counts.withColumn("_first", first).join(sources.select("_sid", "_blocks"), "_sid").filter("n > 0")
+    runs = counts.withColumn("_first", first).join(sources.select("_sid", "_blocks", "_full", "_rest", F.floor(F.col("source_size") / block_words).alias("_even")), "_sid").filter("n > 0")
     runs = runs.repartition(max(12, -(-total // 100_000)), "_sid", "_shard")
     slots = runs.withColumn("_slot", F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("n") - 1)))
     slots = slots.withColumn("_epoch", F.floor(F.col("_slot") / F.col("_blocks")))
-    block = permuted(F.col("_slot") - F.col("_epoch") * F.col("_blocks"), F.col("_blocks"), F.xxhash64(F.lit(seed), "_sid", "_epoch"))
-    slots = slots.select("_shard", "_sid", "_epoch", block.alias("_block"))
+    slots = slots.withColumn("_at", F.col("_slot") - F.col("_epoch") * F.col("_blocks"))
+    part = F.col("_epoch") == F.col("_full")
+    among = F.greatest(F.when(part, F.col("_even")).otherwise(F.col("_blocks")), F.lit(1))
+    block = F.when(part & (F.col("_at") >= F.col("_even")), F.col("_at")).otherwise(permuted(F.col("_at"), among, F.xxhash64(F.lit(seed), "_sid", "_epoch")))
+    take = F.when(part, F.least(F.lit(block_words), F.col("_rest") - F.col("_at") * block_words)).otherwise(block_words)
+    slots = slots.select("_shard", "_sid", "_epoch", block.alias("_block"), take.cast("long").alias("_take"))
 
     placed = documents.select("_uid", "doc_id", "source", "size").filter("size > 0")
     placed = numbered(placed, ["source"], [F.xxhash64(F.lit(seed), "doc_id", "size"), F.col("doc_id"), F.col("size"), F.col("_uid")], n_docs, 20_000, "_start", F.col("size"))
@@ -135,14 +143,19 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: fl
     pieces = placed.select("_sid", "_uid", "_start", "size", b.alias("_block"))
     lo = F.greatest(F.col("_start"), F.col("_block") * block_words)
     hi = F.least(F.col("_start") + F.col("size"), (F.col("_block") + 1) * block_words)
-    pieces = pieces.select("_sid", "_block", "_uid", (lo - F.col("_start")).alias("_first"), (hi - lo).alias("_words"))
+    pieces = pieces.select("_sid", "_block", "_uid", (lo - F.col("_start")).alias("_first"), (lo - F.col("_block") * block_words).alias("_from"), (hi - lo).alias("_words"))
     return Mix(documents, sources, counts, slots, pieces)
 
 
+def _taken() -> Column:
+    """Words of a piece that a slot takes."""
+    return F.greatest(F.lit(0).cast("long"), F.least(F.col("_words"), F.col("_take") - F.col("_from")))
+
+
 def taken_words(mix: Mix) -> DataFrame:
     """A row per document: doc_id, size, source_size, target, taken, source."""
-    times = mix.slots.groupBy("_sid", "_block").agg(F.count("*").alias("_times"))
-    taken = mix.pieces.join(times.hint("merge"), ["_sid", "_block"]).groupBy("_uid").agg(F.sum(F.col("_words") * F.col("_times")).alias("taken"))
+    times = mix.slots.groupBy("_sid", "_block", "_take").agg(F.count("*").alias("_times"))
+    taken = mix.pieces.join(times.hint("merge"), ["_sid", "_block"]).groupBy("_uid").agg(F.sum(_taken() * F.col("_times")).alias("taken"))
     out = mix.documents.select("_uid", "doc_id", "source", "size").join(taken.hint("merge"), "_uid", "left")
     names = mix.sources.select(F.col("source").alias("_name"), "source_size", "target")
     out = out.join(names, F.col("source").eqNullSafe(F.col("_name")))
@@ -154,8 +167,8 @@ def mixed_blocks(mix: Mix) -> DataFrame:
 
     `mix` must have been made with keep=["text"].
     """
-    rows = mix.slots.join(mix.pieces.hint("merge"), ["_sid", "_block"]).join(mix.documents.select("_uid", F.col("_row.text").alias("_text")).hint("merge"), "_uid")
-    piece = F.slice(words(F.col("_text")), (F.col("_first") + 1).cast("int"), F.col("_words").cast("int"))
+    rows = mix.slots.join(mix.pieces.hint("merge"), ["_sid", "_block"]).withColumn("_got", _taken()).filter("_got > 0").join(mix.documents.select("_uid", F.col("_row.text").alias("_text")).hint("merge"), "_uid")
+    piece = F.slice(words(F.col("_text")), (F.col("_first") + 1).cast("int"), F.col("_got").cast("int"))
     return rows.select(F.col("_shard").alias("shard"), F.col("_sid").alias("source_id"), F.col("_epoch").alias("epoch"), F.col("_block").alias("block"), F.col("_first").alias("first_word"), piece.alias("words"))
 
 
@@ -165,8 +178,8 @@ def mixed_documents(mix: Mix, columns: list[str]) -> DataFrame:
     A document that a pass took whole keeps its text; of others the taken words are joined by
     blanks. Documents of which nothing was taken are out. `mix` must keep `columns`.
     """
-    took = mix.slots.join(mix.pieces.hint("merge"), ["_sid", "_block"]).groupBy("_uid", "_epoch")
-    took = took.agg(F.sum("_words").alias("_got"), F.sort_array(F.collect_list(F.struct("_first", "_words"))).alias("_parts"))
+    took = mix.slots.join(mix.pieces.hint("merge"), ["_sid", "_block"]).withColumn("_w", _taken()).filter("_w > 0").groupBy("_uid", "_epoch")
+    took = took.agg(F.sum("_w").alias("_got"), F.sort_array(F.collect_list(F.struct("_first", F.col("_w").alias("_words")))).alias("_parts"))
     out = mix.documents.join(took.hint("merge"), "_uid")
     split = words(F.col("_row.text"))
     part = F.transform(F.array(split), lambda w: F.flatten(F.transform(F.col("_parts"), lambda p: F.slice(w, (p["_first"] + 1).cast("int"), p["_words"].cast("int")))))[0]
