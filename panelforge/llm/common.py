@@ -50,6 +50,11 @@ def dropped(*tables: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Lets Arrow batches hold 4 MB rather than Spark's 64 MB, so that a Python worker's memory follows a row's size."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

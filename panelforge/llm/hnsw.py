@@ -2,17 +2,21 @@
 
 Vectors are dealt to shards by hash and each shard builds a hierarchical graph over its own, in
 numpy: points enter in batches that search the graph in lockstep, neighbours are chosen for
-diversity. Before a graph is used it is audited: members with known links (by brute force over a
-bounded sample of the shard) are searched for, and the beam doubles until the recall passes. Then
-every vector queries every shard; the beam of a query whose hits fill it doubles until they don't,
-so a group of alike vectors is found whole however large it is. Hits are verified by their cosine in
+diversity. Before a graph is used it is audited: a bounded sample of its own members and one of all
+vectors, each with its links in the shard by brute force, are searched for, and the beam widens until
+the mean recall over them passes. If no beam that is worth its cost passes, the shard is searched by
+plain scans instead, so the audit cannot fail in silence; its figure is kept with the graph. Then
+every vector queries every shard; the beam of a query whose hits fill it widens until they don't, and
+beyond an eighth of the shard a scan takes its place, so a group of alike vectors is found whole
+however large it is. Hits come in blocks of bounded size; they are verified by their cosine in
 double precision. Tasks report counts of links, and of the links themselves only a spanning forest,
 which is all that the union into components needs.
 
 Equal vectors are one node with a multiplicity. Defined results: null or empty vectors, zero
 vectors and those with null or non-finite components link with nothing; vectors of different
 length don't link; repeated vec_ids are rows of their own; a null vec_id never names a component
-unless all members have none; an empty table gives no rows; other columns are ignored.
+unless all members have none; vectors are as long as they come, a shard's must fit a task's memory several
+times; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.llm.common import staged
@@ -30,6 +34,7 @@ from panelforge.llm.components import connected_components
 
 #: A hit needs the threshold in double precision; the beam ranks by single precision.
 SLACK = 1e-4
+BLOCK = 1 << 21  # numbers in a block of similarities
 
 
 class Graph:
@@ -167,50 +172,97 @@ class Graph:
 
     # audits and range queries ---------------------------------------------------
 
-    def hits(self, q: np.ndarray, least: float, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(query, point, similarity) of all points found with at least `least`, beams as wide as it takes."""
-        out, left = [], np.arange(len(q))
+    def scan(self, q: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(query, point) of all pairs with at least `least`, a block of queries at a time."""
+        step = max(1, BLOCK // max(1, len(self.x)))
+        for k in range(0, len(q), step):
+            r, c = np.nonzero(q[k : k + step] @ self.x.T >= least)
+            yield r + k, c
+
+    def hits(self, q: np.ndarray, least: float, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(query, point) found with at least `least`, in blocks; beams as wide as it takes. Width 0: by scans."""
+        left, most = np.arange(len(q)), len(self.x) // 8
         while len(left):
-            ids, sims = self.search(q[left], width)
-            full = ((sims >= least).sum(1) >= 0.75 * ids.shape[1]) & (ids.shape[1] < len(self.x))
-            r, c = np.nonzero((sims >= least) & ~full[:, None])
-            out.append((left[r], ids[r, c], sims[r, c]))
-            left, width = left[full], min(4 * width, max(4, len(self.x)))
-        return tuple(np.concatenate(p) for p in zip(*out)) if out else (np.zeros(0, int), np.zeros(0, int), np.zeros(0, np.float32))
-
-    def audited_width(self, least: float, start: int, goal: float, sample: int = 1024) -> tuple[int, float]:
-        """The beam at which members' known links are found, and the recall there."""
-        members = np.arange(len(self.x))[:: max(1, len(self.x) // sample)][:sample]
-        truth = self.x[members] @ self.x.T >= least
-        truth[np.arange(len(members)), members] = False
-        tested = np.flatnonzero(truth.any(1))
-        if not len(tested):
-            return start, 1.0
+            if not 0 < width <= most:
+                for r, c in self.scan(q[left], least):
+                    yield left[r], c
+                return
+            full, step = [], max(1, BLOCK // (8 * width))
+            for k in range(0, len(left), step):
+                part = left[k : k + step]
+                ids, sims = self.search(q[part], width)
+                over = (sims >= least).sum(1) >= 0.75 * ids.shape[1]
+                r, c = np.nonzero((sims >= least) & ~over[:, None])
+                yield part[r], ids[r, c]
+                full.append(part[over])
+            left, width = np.concatenate(full), 4 * width
+
+    def audited_width(self, least: float, start: int, goal: float, others: np.ndarray, sample: int = 512) -> tuple[int, float]:
+        """The beam at which queries with links find them, and the mean recall there; 0 if only scans do."""
+        own = np.arange(len(self.x))[:: max(1, len(self.x) // sample)][:sample]
+        q = np.concatenate((self.x[own], others.astype(np.float32).reshape(-1, self.x.shape[1])))
+        truth = [np.zeros(0, np.int64)] * len(q)
+        for r, c in self.scan(q, least):
+            for i, points in zip(*_grouped(r, c)):
+                truth[i] = points
+        for i, p in enumerate(own.tolist()):
+            truth[i] = truth[i][truth[i] != p]
+        tested = np.array([i for i, t in enumerate(truth) if len(t)], np.int64)
         width = start
-        while True:
-            q, p, _ = self.hits(self.x[members[tested]], least, width)
-            recall = truth[tested[q], p].sum() / truth[tested].sum()
-            if recall >= goal or width >= len(self.x):
-                return width, float(recall)
+        while len(tested) and width <= len(self.x) // 8:
+            found = np.zeros(len(tested))
+            for r, c in self.hits(q[tested], least, width):
+                for i, points in zip(*_grouped(r, c)):
+                    found[i] += np.isin(points, truth[tested[i]]).sum()
+            if (recall := float(np.mean(found / [len(truth[i]) for i in tested]))) >= goal:
+                return width, recall
             width *= 2
+        return (0, 1.0) if len(tested) or width > len(self.x) // 8 else (width, 1.0)
+
 
+def _grouped(r: np.ndarray, c: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
+    """The values of r, and c's at each."""
+    if not len(r):
+        return [], []
+    order = np.argsort(r, kind="stable")
+    values, first = np.unique(r[order], return_index=True)
+    return values.tolist(), np.split(c[order], first[1:])
 
-def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """Those of the links that join two trees: as many as nodes at most."""
-    root: dict[int, int] = {}
 
-    def find(x: int) -> int:
-        while (p := root.get(x, x)) != x:
-            root[x] = root.get(p, p)
-            x = p
-        return x
+class _Forest:
+    """Those of the links between queries and points that join two trees: fewer than nodes."""
 
-    out = []
-    for x, y in zip(a.tolist(), b.tolist()):
-        if (p := find(x)) != (q := find(y)):
-            root[max(p, q)] = min(p, q)
-            out.append((x, y))
-    return out
+    def __init__(self, queries: np.ndarray, points: np.ndarray):
+        self.nodes = np.concatenate((queries, points))
+        _, self.tree = np.unique(self.nodes, return_inverse=True)  # a query that is a point too is one node
+        self.points_from, self.links = len(queries), []
+
+    def add(self, q: np.ndarray, p: np.ndarray) -> None:
+        """Links of queries and points by their places. In rounds: one link for each tree, then the trees are merged."""
+        p = p + self.points_from
+        while True:
+            apart = self.tree[q] != self.tree[p]
+            if not apart.any():
+                return
+            q, p = q[apart], p[apart]
+            x, y = self.tree[q], self.tree[p]
+            chosen = np.unique(np.concatenate([np.unique(side, return_index=True)[1] for side in (x, y)]))
+            root: dict[int, int] = {}
+
+            def find(t: int) -> int:
+                while (r := root.get(t, t)) != t:
+                    root[t] = root.get(r, r)
+                    t = r
+                return t
+
+            for i in chosen.tolist():
+                if (a := find(int(x[i]))) != (b := find(int(y[i]))):
+                    root[max(a, b)] = min(a, b)
+                    self.links.append((int(self.nodes[q[i]]), int(self.nodes[p[i]])))
+            known = np.array(sorted(root), np.int64)
+            now = np.arange(int(self.tree.max()) + 1)
+            now[known] = [find(t) for t in known.tolist()]
+            self.tree = now[self.tree]
 
 
 def _normalised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,12 +280,12 @@ def _normalised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())], names=["_uid", "vec_id", "unit"])
 
 
-def _build(links: int, beam: int, start: int, least: float, goal: float):
+def _build(links: int, beam: int, start: int, least: float, goal: float, others: dict[int, bytes]):
     def build(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("node")
         x = np.stack([np.frombuffer(u, np.float64) for u in group["unit"]])
         g = Graph.build(x, links=links, beam=beam)
-        width, recall = g.audited_width(least - SLACK, start, goal)
+        width, recall = g.audited_width(least - SLACK, start, goal, np.frombuffer(others.get(x.shape[1], b""), np.float64))
         graph = b"".join(layer.astype(np.int32).tobytes() for layer in g.layers)
         return pd.DataFrame({
             "dim": [x.shape[1]], "shard": [group["shard"].iloc[0]], "entry": [g.entry], "layers": [len(g.layers)], "graph": [graph], "vectors": [x.tobytes()],
@@ -260,28 +312,32 @@ def _query(links: int, least: float, lockstep: int):
             g.layers.append(raw[at : at + len(x) * width].reshape(len(x), width))
             at += len(x) * width
         g.entry = int(r["entry"])
-        rows, a, b = [], [], []
         ids = queries["node"].to_numpy(np.int64)
+        rows, tree = [], _Forest(ids, nodes)
         for k in range(0, len(ids), lockstep):
             q = np.stack([np.frombuffer(u, np.float64) for u in queries["unit"].iloc[k : k + lockstep]])
-            i, p, _ = g.hits(q.astype(np.float32), least - SLACK, int(r["beam"]))
-            mine = ids[k : k + lockstep]
-            sure = (np.einsum("nd,nd->n", q[i], x[p]) >= least) & (mine[i] != nodes[p])
-            i, p = i[sure], p[sure]
-            n = np.bincount(i, times[p], len(q)).astype(np.int64)
+            mine, n = ids[k : k + lockstep], np.zeros(len(q), np.int64)
+            for i, p in g.hits(q.astype(np.float32), least - SLACK, int(r["beam"])):
+                for j in range(0, len(i), part := max(1, BLOCK // r["dim"])):
+                    u, v = i[j : j + part], p[j : j + part]
+                    sure = (np.einsum("nd,nd->n", q[u], x[v]) >= least) & (mine[u] != nodes[v])
+                    u, v = u[sure], v[sure]
+                    n += np.bincount(u, times[v], len(q)).astype(np.int64)
+                    tree.add(u + k, v)
             on = np.flatnonzero(n)
             rows.append(pd.DataFrame({"node": mine[on], "other": pd.array([None] * len(on), "Int64"), "n": n[on]}))
-            a.append(mine[i])
-            b.append(nodes[p])
-        tree = _forest(np.concatenate(a), np.concatenate(b))
-        rows.append(pd.DataFrame({"node": [x for x, _ in tree], "other": pd.array([y for _, y in tree], "Int64"), "n": [0] * len(tree)}, columns=names))
+        rows.append(pd.DataFrame({"node": [x for x, _ in tree.links], "other": pd.array([y for _, y in tree.links], "Int64"), "n": [0] * len(tree.links)}, columns=names))
         return pd.concat(rows, ignore_index=True).astype({"node": "int64", "n": "int64"})
 
     return query
 
 
-def near_vectors(vectors: DataFrame, least: float = 0.95, shard_rows: int = 32768, block_rows: int = 16384, links: int = 12, beam: int = 32, start: int = 16, goal: float = 0.99, lockstep: int = 1024) -> DataFrame:
-    """A row per vector: vec_id, n_links, component_id, kept."""
+def near_vectors(vectors: DataFrame, least: float = 0.95, shard_rows: int = 32768, block_rows: int = 16384, links: int = 12, beam: int = 32, start: int = 16, goal: float = 0.999, lockstep: int = 1024, audit_rows: int = 512) -> DataFrame:
+    """A row per vector: vec_id, n_links, component_id, kept.
+
+    audit_rows: vectors of each length, the first by hash, that every shard's audit searches for
+    besides its own members; they alone go to the driver and to all tasks.
+    """
     rows = vectors.select(F.monotonically_increasing_id().alias("_uid"), F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     rows = staged(rows.mapInArrow(_normalised, "_uid long, vec_id long, unit binary"), "vectors")
     nodes = rows.filter("unit is not null").groupBy("unit").agg(F.min("_uid").alias("node"), F.count("*").alias("times"), F.min("vec_id").alias("least_id"))
@@ -290,7 +346,12 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, shard_rows: int = 3276
     shards, blocks = max(4, -(-total // shard_rows)), -(-max(total, 1) // block_rows)
     dim = (F.octet_length("unit") / 8).cast("int")
     placed = nodes.select("node", "unit", "times", dim.alias("dim"), F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int").alias("shard"))
-    graphs = staged(placed.groupBy("dim", "shard").applyInPandas(_build(links, beam, start, least, goal), GRAPH_SCHEMA), "vector-graphs")
+    mixed = F.row_number().over(Window.partitionBy("dim").orderBy(F.xxhash64("node", F.lit(2)), "node"))
+    chosen = placed.withColumn("_rank", mixed).filter(F.col("_rank") <= audit_rows).select("dim", "unit").collect()
+    others: dict[int, bytes] = {}
+    for c in chosen:
+        others[c["dim"]] = others.get(c["dim"], b"") + bytes(c["unit"])
+    graphs = staged(placed.groupBy("dim", "shard").applyInPandas(_build(links, beam, start, least, goal, others), GRAPH_SCHEMA), "vector-graphs")
 
     block = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(blocks)).cast("int")
     queries = placed.select("node", "unit", "dim", block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))

@@ -44,7 +44,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import dropped, staged
+from panelforge.llm.common import bounded_batches, dropped, staged
 from panelforge.llm.components import connected_components, merged_components
 from panelforge.llm.textvec import TOKEN_BITS, batches_of_bytes, distinct, mixed, prefix_sums, shingle_hashes, word_hashes
 
@@ -361,6 +361,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, label: str) -> Dat
 def signed_rows(docs: DataFrame, size: int = 5, percent: int = 80, partners: int = 2) -> DataFrame:
     """A row per document: doc_id, row (a hash of doc_id and text), n, root (null without shingles), id (the component's)."""
     sc = docs.sparkSession.sparkContext
+    bounded_batches(docs.sparkSession)
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("doc_id").cast("long"), text).alias("row"), text.cast("binary").alias("text"))
     signed = staged(rows.mapInArrow(partial(_sign, size=size), SETS), "shingle-classes")

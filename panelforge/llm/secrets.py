@@ -21,6 +21,8 @@ one grows with the square of its matches; an empty table gives no rows; other co
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,12 +75,12 @@ def spelled(spans: Column) -> Column:
 
 
 def _tail(z: Column) -> Column:
-    """Two-sided normal tail of |z|, by the Chernoff-like bound exp(-z*z/2)."""
-    return F.exp(-z * z / 2)
+    """Logarithm of a bound of the two-sided normal tail beyond |z|: exp(-z*z/2)."""
+    return -z * z / 2
 
 
 def battery(run: Column) -> Column:
-    """Encoding, length, and the p-values of the three tests of one run, as a struct.
+    """Encoding, length, and the logarithms of the p-values of the three tests of one run, as a struct.
 
     Symbols are numbered by their place in the alphabet; url-safe characters count as their twins.
     """
@@ -133,9 +135,9 @@ def _frequencies(rejected: DataFrame) -> DataFrame:
 def random_runs(spans: DataFrame, alpha: float, rate: float, step: float = 0.25, top: float = 400.0) -> DataFrame:
     """spans: _uid, run (start, kind, end, match). Returns _uid, start, end of the runs taken for secrets."""
     tested = staged(spans.withColumn("_b", battery(F.col("run.match"))).select("_uid", "run.start", "run.end", "_b.*"), "secret-runs")
-    passes = (F.col("p_chi") >= alpha) & (F.col("p_runs") >= alpha) & (F.col("p_serial") >= alpha)
-    logs = F.broadcast(_frequencies(tested.filter(~passes)))  # one row of 64 numbers
-    battered = sum((F.least(F.lit(0.0), F.log(F.greatest(F.col(p), F.lit(1e-300)) / alpha)) for p in ("p_chi", "p_runs", "p_serial")), F.lit(0.0))
+    against = [F.least(F.lit(0.0), F.col(p) - math.log(alpha)) for p in ("p_chi", "p_runs", "p_serial")]
+    battered = against[0] + against[1] + against[2]
+    logs = F.broadcast(_frequencies(tested.filter(battered < 0)))  # one row of 64 numbers
     scored = tested.select("*", F.lit(1).alias("_one")).join(logs.withColumn("_one", F.lit(1)), "_one")
     ordinary = F.aggregate(F.filter(F.split("plain", ""), lambda c: c != ""), F.lit(0.0), lambda a, c: a + F.element_at("_logs", c))
     size = F.when(F.col("coding") == 0, 16.0).when(F.col("coding") == 1, 32.0).otherwise(64.0)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructType
 
-from panelforge.llm.common import carried, unpacked
+from panelforge.llm.common import bounded_batches, carried, unpacked
 from panelforge.llm.textvec import mixed
 
 MARK = "▁"
@@ -405,6 +405,7 @@ def _encode(batches: Iterator[pa.RecordBatch], model_file: str) -> Iterator[pa.R
 
 def encoded(docs: DataFrame, keep: list[str], model_file: str = DEFAULT_MODEL) -> DataFrame:
     """row (a struct of the `keep` columns), ids (array<int>) and same (the ids decode to the text)."""
+    bounded_batches(docs.sparkSession)
     rows = carried(docs, keep)
     schema = StructType().add(rows.schema["row"]).add("ids", ArrayType(IntegerType())).add("same", BooleanType())
     return rows.mapInArrow(partial(_encode, model_file=model_file), schema)

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from panelforge.llm.common import carried, staged, unpacked
+from panelforge.llm.common import bounded_batches, carried, staged, unpacked
 from panelforge.llm.textvec import mixed
 
 ORDERS = (3, 4, 5)
@@ -152,6 +152,7 @@ def ranked_ngrams(sample: DataFrame, ones: int, zeros: int, alpha: float, min_te
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = 16000, max_features: int = 8192, min_texts: int = 3, alpha: float = 1.0, l2: float = 1e-3) -> Model | None:
+    bounded_batches(docs.sparkSession)
     sample = labelled(docs, labels, max_rows)
     n = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not n.get(0) or not n.get(1):
@@ -195,6 +196,7 @@ def _score(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
 
 def scored(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
     """row (a struct of the `keep` columns of docs) and score."""
+    bounded_batches(docs.sparkSession)
     rows = carried(docs, keep)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     return rows.mapInArrow(partial(_score, sent=sent), StructType().add(rows.schema["row"]).add("score", DoubleType()))

@@ -9,7 +9,7 @@ name it and have no payload of their own. Archives are gzip files, one member a
 writes its archive under a name of its own attempt, and only archives that a finished task reported
 are read, so a lost executor leaves no half archive behind.
 
-Defined results: a null html is an empty payload; a null page_id sorts last; of rows equal in
+Defined results: a very long html is one row of the input, of which chunks are cut one after another; a null html is an empty payload; a null page_id sorts last; of rows equal in
 page_id and payload one is the response and the rest revisit it; a null url has no target header;
 an empty table gives no archives and no rows; other columns are ignored.
 """
@@ -28,7 +28,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import scratch_path, staged
+from panelforge.llm.common import bounded_batches, scratch_path, staged
 
 #: Fixed values of the format.
 VERSION = b"WARC/1.1"
@@ -58,6 +58,7 @@ def record_chunks(pages: DataFrame, chunk_bytes: int = 1 << 16, batch_bytes: int
 
     rows = pages.select(F.monotonically_increasing_id().alias("_uid"), F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").cast("binary").alias("html"))
     schema = to_arrow_schema(_parse_datatype_string(CHUNK_SCHEMA))
+    bounded_batches(pages.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -101,7 +102,7 @@ def _record_head(kind: str, uid: int, page_id: int | None, url: str | None, date
     return VERSION + b"\r\n" + "\r\n".join(lines).encode() + b"\r\n\r\n" + http
 
 
-def write_archives(chunks: DataFrame, plan: DataFrame, folder: str, date: str = "1970-01-01T00:00:00Z", level: int = 6, oversized_files: int = 12) -> DataFrame:
+def write_archives(chunks: DataFrame, plan: DataFrame, folder: str, date: str = "1970-01-01T00:00:00Z", level: int = 6, file_bytes: int = 64 << 20) -> DataFrame:
     """Writes the records; returns a table of the archives: path, records, bytes.
 
     The record's head needs its length and digest before its first byte, so they come along with
@@ -132,6 +133,9 @@ def write_archives(chunks: DataFrame, plan: DataFrame, folder: str, date: str =
             out.close()
             yield pa.RecordBatch.from_pydict({"path": [f"{folder}/{path.rsplit('/', 1)[1]}"], "records": [n], "bytes": [size]})
 
+    # oversized records are dealt by their bytes, to as many archives as `file_bytes` asks for
+    total = chunks.filter("last and chunk_no > 0").agg(F.sum("upto")).first()[0] or 0
+    oversized = max(4, -(-total // file_bytes))
     single = chunks.filter("chunk_no = 0 and last").select("_uid", "page_id", "url", "chunk_no", "last", F.col("upto").alias("_size"), F.col("sha1").alias("_digest"), "data")
     many = chunks.filter("chunk_no > 0 or not last")
     ends = many.filter("last").select("_uid", F.col("upto").alias("_size"), F.col("sha1").alias("_digest"))
@@ -139,7 +143,7 @@ def write_archives(chunks: DataFrame, plan: DataFrame, folder: str, date: str =
     # a revisit needs its head only, so the bytes of its chunks stay behind
     known = plan.select("_uid", "_first_uid", "_first_page")
     heads = lambda df: df.join(known, "_uid", "left").filter("_first_uid is null or chunk_no = 0").withColumn("data", F.when(F.col("_first_uid").isNull(), F.col("data")))
-    many = heads(many).repartition(oversized_files, "_uid").sortWithinPartitions("_uid", "chunk_no")
+    many = heads(many).repartition(oversized, "_uid").sortWithinPartitions("_uid", "chunk_no")
     done = heads(single).mapInArrow(write, ARCHIVE_SCHEMA).unionByName(many.mapInArrow(write, ARCHIVE_SCHEMA))
     return staged(done, "warc-archives")
 
