@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.functions.columns import bucket, c, conditional_rate, indicator
+from panelforge.functions.columns import bucket, c, conditional_rate, confidence, indicator, logistic, recommendation
 
 
 def directional(p: Column | str, a: Column | str, ties: bool = True) -> Column:
@@ -32,10 +32,11 @@ def by_confidence(df: DataFrame, p: str = "prediction", a: str = "actual", cut:
     return sides.join(found, "side", "left").fillna(0, ["n"])
 
 
-def cv_metrics(df: DataFrame, season: str, p: str = "prediction", a: str = "actual") -> DataFrame:
-    """Per season and over all (a null season), in one roll-up."""
+def cv_metrics(df: DataFrame, season: str, p: str = "prediction", a: str = "actual", line: str | None = None) -> DataFrame:
+    """Per season and over all (a null season), in one roll-up; ats is over rows with a line, if one is named."""
     e = F.col(p) - F.col(a)
-    return df.rollup(season).agg(F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), conditional_rate(directional(p, a)).alias("direction"), F.count("*").alias("n"))
+    more = [conditional_rate((F.col(p) > F.col(line)) == (F.col(a) > F.col(line)), F.col(line).isNotNull()).alias("ats")] if line else []
+    return df.rollup(season).agg(F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), conditional_rate(directional(p, a)).alias("direction"), F.count("*").alias("n"), *more)
 
 
 def _bets(df: DataFrame, p: str, line: str, edge: float) -> DataFrame:
@@ -68,14 +69,19 @@ def brier(df: DataFrame, p: str, y: str, by: Sequence[str] = ()) -> DataFrame:
     return df.groupBy(*by).agg(F.avg(F.pow(F.col(p) - F.col(y), 2)).alias("brier"), F.count("*").alias("n"))
 
 
-def model_comparison(df: DataFrame, models: Sequence[str], a: str = "actual", line: str = "line") -> DataFrame:
-    """A row per model from one wide table: mae, rmse, ats, and whether it is best by mae."""
+def model_comparison(df: DataFrame, models: Sequence[str], a: str = "actual", line: str = "line", edge: float = 3.0) -> DataFrame:
+    """A row per model from one wide table: errors, ats, Brier score, bets and return at `edge`, best by mae and by ats."""
     long = df.unpivot([a, line], list(models), "model", "prediction")
-    e = F.col("prediction") - F.col(a)
+    e, known = F.col("prediction") - F.col(a), F.col(line).isNotNull()
     right = (F.col("prediction") > F.col(line)) == (F.col(a) > F.col(line))
-    out = long.groupBy("model").agg(F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), conditional_rate(right, F.col(line).isNotNull()).alias("ats"), F.count("*").alias("n"))
+    bet, push = known & (F.abs(F.col("prediction") - F.col(line)) >= edge), F.col(a) == F.col(line)
+    out = long.groupBy("model").agg(
+        F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), conditional_rate(right, known).alias("ats"), F.count("*").alias("n"),
+        F.avg(F.pow(logistic("prediction") - indicator(F.col(a) > 0), 2)).alias("brier"), F.count_if(bet).alias("bets"), F.count_if(bet & ~push & right).alias("wins"), F.count_if(bet & ~push & ~right).alias("losses"),
+    )
+    out = out.withColumn("roi", F.coalesce((F.col("wins") * (100 / 110) - F.col("losses")) / F.nullif(F.col("bets"), F.lit(0)), F.lit(0.0)))
     w = Window.partitionBy(F.lit(0))  # a row per model
-    return out.withColumn("best", indicator(F.col("mae") == F.min("mae").over(w)))
+    return out.withColumns({"best": indicator(F.col("mae") == F.min("mae").over(w)), "best_by_ats": indicator(F.col("ats") == F.max("ats").over(w))})
 
 
 def market_comparison(df: DataFrame, p: str = "prediction", a: str = "actual", line: str = "line") -> DataFrame:
@@ -97,6 +103,59 @@ def season_report(df: DataFrame, season: str = "season", p: str = "prediction",
     })
 
 
+def formula_predictions(games: DataFrame) -> DataFrame:
+    """Two spreads and three totals by fixed formulas over a matchup's features.
+
+    Fixed values: the weights, and 42 points as the level of a total.
+    """
+    x = F.col
+    base = 42 + 25 * x("value_l4_sum") - 15 * x("def_value_l4_sum")
+    return games.withColumns({
+        "plain_spread": 14 * x("value_l4_diff") + x("home_advantage"),
+        "full_spread": 12 * x("value_l4_diff") + 8 * x("success_l4_diff") + 0.5 * x("matchup_gap") + x("home_advantage") + 0.3 * x("total_adjustment"),
+        "base_total": base, "weather_total": base + x("total_adjustment"),
+        "full_total": 42 + 20 * x("value_l4_sum") - 12 * x("def_value_l4_sum") + 15 * x("explosive_l4_sum") + 8 * x("near_td_l4_sum") + x("total_adjustment") - F.when(x("same_group") == 1, 2.5).otherwise(0.0),
+    })
+
+
+SPREADS, TOTALS, LEVEL = ("plain_spread", "full_spread"), ("base_total", "weather_total", "full_total"), 47
+
+
+def graded(games: DataFrame) -> DataFrame:
+    """Errors, sides (of 0 for spreads, of LEVEL for totals; a tie is wrong) and confidence of each formula."""
+    spread, total = F.col("home_score") - F.col("away_score"), F.col("home_score") + F.col("away_score")
+    right = lambda p, a, level: indicator((F.col(p) - level) * (a - level) > 0)
+    return games.withColumns(
+        {f"{p}_error": F.abs(F.col(p) - spread) for p in SPREADS} | {f"{p}_error": F.abs(F.col(p) - total) for p in TOTALS}
+        | {f"{p}_right": right(p, spread, 0) for p in SPREADS} | {f"{p}_right": right(p, total, LEVEL) for p in TOTALS}
+        | {"spread_confidence": bucket(F.abs("plain_spread"), ((7, "High"), (3, "Medium")), "Low", below=False), "total_confidence": bucket(F.abs(F.col("full_total") - LEVEL), ((6, "High"), (3, "Medium")), "Low", below=False)}
+    )
+
+
+def validation_report(rows: DataFrame, season: str = "season", stake: float = 100.0, pay: float = 90.91, even: float = 0.5238) -> DataFrame:
+    """One row a season of `graded` games: accuracy overall and by confidence, weather, group, closeness and feature strength; returns; verdicts.
+
+    All of it is conditional aggregation over one grouping, so nothing is joined back.
+    """
+    s, t = F.col("full_spread_right").cast("double"), F.col("full_total_right").cast("double")
+    when = lambda x, test: F.avg(F.when(test, x))
+    level = lambda kind, name: F.col(f"{kind}_confidence") == name
+    out = rows.groupBy(season).agg(
+        F.count("*").alias("games"), *[F.avg(F.col(f"{p}_right").cast("double")).alias(f"{p}_accuracy") for p in (*SPREADS, "base_total", "full_total")], *[F.avg(f"{p}_error").alias(f"{p}_error") for p in (*SPREADS, "base_total", "full_total")],
+        *[when(x, level(k, n)).alias(f"{n.lower()}_{k}_accuracy") for k, x in (("spread", s), ("total", t)) for n in ("High", "Medium", "Low")], *[F.count_if(level(k, n)).alias(f"{n.lower()}_{k}_games") for k in ("spread", "total") for n in ("High", "Medium")],
+        when(t, F.col("wind") >= 15).alias("windy_total_accuracy"), when(t, F.col("temp") <= 32).alias("cold_total_accuracy"),
+        when(s, F.col("same_group") == 1).alias("group_spread_accuracy"), when(t, F.col("same_group") == 1).alias("group_total_accuracy"), when(s, F.abs("value_l4_diff") < 0.1).alias("close_spread_accuracy"),
+        when(s, F.abs("value_l4_diff") >= 0.15).alias("large_gap_accuracy"), when(s, F.abs("value_l4_diff") < 0.05).alias("small_gap_accuracy"), when(t, F.col("value_l4_sum") >= 0.2).alias("strong_offense_accuracy"), when(t, F.col("value_l4_sum") <= -0.1).alias("weak_offense_accuracy"),
+        when(t, F.abs("total_adjustment") >= 2).alias("weather_accuracy"), when(t, F.col("total_adjustment") == 0).alias("fair_weather_accuracy"), when(s, F.col("matchup_gap") >= 2).alias("strong_matchup_accuracy"), when(s, F.abs("matchup_gap") < 0.5).alias("even_matchup_accuracy"),
+        *[F.count_if(x == 1).alias(f"{k}_wins") for k, x in (("spread", s), ("total", t))],
+    )
+    profit = lambda k: F.col(f"{k}_wins") * pay - (F.col("games") - F.col(f"{k}_wins")) * stake
+    calibrated = lambda k: F.when(F.col(f"high_{k}_accuracy") > F.col(f"low_{k}_accuracy"), "Well_Calibrated").otherwise("Poorly_Calibrated")
+    status = lambda k: bucket(f"full_{k}_accuracy", ((even, "Profitable"), (0.5, "Break_Even")), "Losing", below=False, strict=True)
+    advice = F.when((F.col("high_spread_accuracy") > 0.6) & (F.col("high_spread_games") >= 20), "Focus_High_Confidence_Spreads").when(F.col("full_spread_accuracy") > F.col("full_total_accuracy"), "Focus_Spreads").when(F.col("full_total_accuracy") > 0.53, "Focus_Totals").otherwise("Model_Needs_Improvement")
+    return out.withColumns({f"{k}_{n}": f(k) for k in ("spread", "total") for n, f in (("profit", profit), ("calibration", calibrated), ("status", status))} | {"advice": advice})
+
+
 def weekly_trend(df: DataFrame, season: str = "season", week: str = "week", p: str = "prediction", a: str = "actual") -> DataFrame:
     """Weekly accuracy and its mean over the last four weeks of the season."""
     one = df.groupBy(season, week).agg(F.count("*").alias("games"), F.avg(F.abs(F.col(p) - F.col(a))).alias("mae"), conditional_rate(directional(p, a, ties=False)).alias("accuracy"))
@@ -122,6 +181,22 @@ def residual_histogram(df: DataFrame, p: str = "prediction", a: str = "actual",
     return r.withColumn("_k", F.lit(1)).join(ends, "_k").groupBy(F.coalesce(at, F.lit(0)).cast("long").alias("bin")).agg(F.count("*").alias("n"), F.min("r").alias("least"))
 
 
+def normal_quantiles(df: DataFrame, p: str = "prediction", a: str = "actual") -> DataFrame:
+    """Pairs for a Q-Q view of residuals: percentiles 1 to 99 of the residuals, exact, and the probability each stands for."""
+    r = df.select((F.col(a) - F.col(p)).alias("r")).filter("r is not null")
+    levels = [k / 100 for k in range(1, 100)]
+    found = r.agg(F.percentile("r", F.array(*[F.lit(x) for x in levels])).alias("v"))
+    return found.select(F.posexplode("v").alias("_i", "residual")).select((F.col("_i") + 1).alias("percent"), "residual")
+
+
+def scored_with_fallback(games: DataFrame, models: Sequence[str], line: str = "line", least: float = 3.0) -> DataFrame:
+    """The first model in order that has a prediction, its edge over the line, win probability, and what to do."""
+    found = F.coalesce(*[F.when(F.col(m).isNotNull(), F.struct(F.lit(m).alias("model"), F.col(m).cast("double").alias("spread"))) for m in models])
+    out = games.withColumn("_found", found).withColumns({"model": F.col("_found.model"), "predicted_spread": F.col("_found.spread")}).drop("_found")
+    out = out.withColumn("edge", F.col("predicted_spread") - F.col(line))
+    return out.withColumns({"home_win_probability": logistic("predicted_spread"), "recommendation": recommendation("edge", least), "confidence": confidence("edge")})
+
+
 def strength_ranking(df: DataFrame, entity: str, value: str, top: int | None = None) -> DataFrame:
     """Entities by value; df has one row per entity, so the one sort is small."""
     out = df.select(entity, value, F.row_number().over(Window.orderBy(F.desc(value), entity)).cast("long").alias("rank"))

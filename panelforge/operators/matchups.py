@@ -93,6 +93,21 @@ def baselines(games: DataFrame) -> DataFrame:
     })
 
 
+def upcoming(games: DataFrame, score: str = "home_score", names: Mapping[str, str] = {}) -> DataFrame:
+    """Games without a score, columns renamed, and the late-season flag."""
+    return games.filter(F.col(score).isNull()).withColumnsRenamed(dict(names)).withColumn("is_playoff", indicator(F.col("week") >= 18))
+
+
+def consistency(features: DataFrame, panel: DataFrame, entity: str, season: str, period: str, column: str, lag: int = 1) -> DataFrame:
+    """Per season: matchups, and those in which a side's feature isn't what the panel has `lag` periods before."""
+    out = features
+    for p in ("home", "away"):
+        side = panel.select(F.col(entity).alias(f"{p}_team"), F.col(season), (F.col(period) + lag).alias(period), F.col(column).alias(f"_{p}"))
+        out = out.join(side, [f"{p}_team", season, period], "left")
+    differs = ~F.col(f"home_{column}").eqNullSafe(F.col("_home")) | ~F.col(f"away_{column}").eqNullSafe(F.col("_away"))
+    return out.groupBy(season).agg(F.count("*").alias("games"), F.count_if(differs).alias("mismatches"))
+
+
 def complete_rows(games: DataFrame, features: Sequence[str], period: str, least: int = 2) -> DataFrame:
     ok = F.col(period) >= least
     for x in features:

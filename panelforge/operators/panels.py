@@ -95,6 +95,11 @@ def weekly_panel(events: DataFrame, s: EventSpec, by: str | None = None) -> Data
         F.sum(F.when(live, F.col(s.gain))).alias("total_gain"), F.avg(F.when(live, F.col(s.gain))).alias("gain_per_play"),
         on(F.col("yardline") <= 20).alias("near_plays"), F.avg(F.when(near, F.when(F.col("touchdown") == 1, 1.0).otherwise(0.0))).alias("near_td_rate"),
         F.avg(F.when(near, value)).alias("near_value"),
+        rate((F.col("is_pass") == 1) & (F.col(s.gain) >= 15)).alias("explosive_pass_rate"), rate((F.col("is_rush") == 1) & (F.col(s.gain) >= 10)).alias("explosive_rush_rate"),
+        F.avg(F.when(live & (F.col("is_pass") == 1), F.col(s.gain))).alias("gain_per_pass"), F.avg(F.when(live & (F.col("is_rush") == 1), F.col(s.gain))).alias("gain_per_rush"),
+        on(F.col("down") == 3).alias("third_downs"), on(F.col("third_conv") == 1).alias("third_conversions"), F.avg(F.when(live & (F.col("down") == 3), F.col("third_conv").cast("double"))).alias("third_rate"),
+        on((F.col("is_pass") == 1) & (F.col("touchdown") == 1)).alias("pass_touchdowns"), on((F.col("is_rush") == 1) & (F.col("touchdown") == 1)).alias("rush_touchdowns"),
+        on(F.col("sack") == 1).alias("sacks"), F.avg(F.when(live & ((F.col("is_pass") == 1) | (F.col("sack") == 1)), F.col("sack").cast("double"))).alias("sack_rate"),
         F.count_distinct(F.when(F.col(s.subgroup).isNotNull(), drive)).alias("drives"),
         F.sum(F.when(F.col(s.subgroup).isNotNull(), 6 * F.col("touchdown") + 3 * F.col("field_goal"))).alias("_points"),
         F.sum(F.when(F.col(s.subgroup).isNotNull(), F.col(s.gain))).alias("_gain"),
@@ -122,16 +127,21 @@ def period_ranks(panel: DataFrame, columns: Mapping[str, tuple[str, bool]], seas
 
 
 def situational_panel(events: DataFrame, s: EventSpec, situations: Mapping[str, Column]) -> DataFrame:
-    """Wide panel of plays, mean value, success rate and touchdowns per subgroup in each situation; one pass."""
-    value, drive = F.col(s.value), F.struct(s.group, s.subgroup)
-    aggs = []
+    """Wide panel of plays, mean value, success rate and touchdowns per subgroup in each situation.
+
+    Events are summed by subgroup first, which leaves one row a subgroup to count; distinct counts
+    over the events themselves would copy every event once a situation.
+    """
+    value, inner, outer = F.col(s.value), [], []
     for name, test in situations.items():
-        aggs += [
-            F.sum(F.when(test, 1).otherwise(0)).cast("long").alias(f"{name}_plays"), F.avg(F.when(test, value)).alias(f"{name}_value"),
-            F.avg(F.when(test, F.col("is_success").cast("double"))).alias(f"{name}_success_rate"),
-            ratio(F.sum(F.when(test, F.col("touchdown"))), F.count_distinct(F.when(test, drive))).alias(f"{name}_td_rate"),
+        p, v, g, t = (f"_{name}_{x}" for x in ("plays", "value", "good", "td"))
+        inner += [F.count_if(test).alias(p), F.sum(F.when(test, value)).alias(v), F.sum(F.when(test, F.col("is_success"))).alias(g), F.sum(F.when(test, F.col("touchdown"))).alias(t)]
+        # a subgroup whose group or number is null is no subgroup, but its events count
+        outer += [
+            F.sum(p).cast("long").alias(f"{name}_plays"), ratio(F.sum(v), F.sum(p)).alias(f"{name}_value"), ratio(F.sum(g), F.sum(p)).alias(f"{name}_success_rate"),
+            ratio(F.sum(t), F.count_if((F.col(p) > 0) & F.col(s.group).isNotNull() & F.col(s.subgroup).isNotNull())).alias(f"{name}_td_rate"),
         ]
-    rows = events.filter(value.isNotNull() & F.col(s.entity).isNotNull()).groupBy(*s.keys).agg(*aggs)
+    rows = events.filter(value.isNotNull() & F.col(s.entity).isNotNull()).groupBy(*s.keys, s.group, s.subgroup).agg(*inner).groupBy(*s.keys).agg(*outer)
     return rows.filter(" + ".join(f"{n}_plays" for n in situations) + " > 0")
 
 

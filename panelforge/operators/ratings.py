@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import math
-import tempfile
 
 import pandas as pd
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,32 +60,38 @@ def entity_universe(games: DataFrame) -> DataFrame:
     return games.select(F.col("home_team").alias("team")).union(games.select("away_team")).distinct()
 
 
-def ridge_strength(games: DataFrame, prior_sd: float = 5.0, home_mean: float = 2.5, sweeps: int = 60, tolerance: float = 1e-6) -> DataFrame:
+def ridge_strength(games: DataFrame, prior_sd: float = 5.0, home_mean: float = 2.5, home_sd: float = 1.0, rounds: int = 50, tolerance: float = 1e-6) -> DataFrame:
     """team, strength, home_advantage: the posterior mean of margin = strength gap + home advantage.
 
-    Pairs of teams are summed first, so the sweeps run over pairs, not games. Each sweep sets all
-    strengths to half their old and half their best new value, less their mean (the solution's is 0,
-    and sweeps alone come near it slowly), and the residual deviation anew.
+    Given the residual deviation this is a ridge regression on the teams' indicators, which Spark
+    solves by its normal equations (one pass over the games; at most 4,096 teams). The home column
+    is scaled so that one penalty serves both priors, and every game also counts as seen from the
+    other side, as Spark gives constant columns no weight. Deviation and solution take turns until they settle.
     """
     spark = games.sparkSession
-    pairs = games.groupBy("home_team", "away_team").agg(F.count("*").alias("n"), F.sum(F.col("home_score") - F.col("away_score")).cast("double").alias("s"), F.sum(F.pow(F.col("home_score") - F.col("away_score"), 2)).alias("q")).persist()
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/checkpoints"
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(base)
-    theta, h, sigma2 = entity_universe(games).withColumn("strength", F.lit(0.0)), home_mean, None
-    for i in range(sweeps):
-        both = pairs.join(theta.withColumnsRenamed({"team": "home_team", "strength": "th"}), "home_team").join(theta.withColumnsRenamed({"team": "away_team", "strength": "ta"}), "away_team")
-        gap = F.col("th") - F.col("ta")
-        facts = both.agg(F.sum("n"), F.sum(F.col("s") - F.col("n") * gap), F.sum(F.col("q") - 2 * F.col("s") * (gap + h) + F.col("n") * F.pow(gap + h, 2))).first()
-        sigma2 = max(1e-6, facts[2] / facts[0])
-        h = (facts[1] + home_mean * sigma2) / (facts[0] + sigma2)
-        lift = both.select(F.col("home_team").alias("team"), "n", (F.col("s") - F.col("n") * (h - F.col("ta"))).alias("r")).unionByName(both.select(F.col("away_team").alias("team"), "n", (F.col("n") * (h + F.col("th")) - F.col("s")).alias("r")))
-        new = lift.groupBy("team").agg((F.sum("r") / (F.sum("n") + sigma2 / prior_sd**2)).alias("_new"))
-        moved = theta.join(new, "team").select("team", (0.5 * F.col("strength") + 0.5 * F.col("_new")).alias("strength"), F.abs(F.col("strength") - F.col("_new")).alias("_d"))
-        moved = moved.checkpoint()
-        far, mean = moved.agg(F.max("_d"), F.avg("strength")).first()
-        theta = moved.select("team", (F.col("strength") - F.lit(mean or 0.0)).alias("strength"))
-        if far is None or far < tolerance:
+    teams = [r["team"] for r in entity_universe(games).orderBy("team").limit(4096).collect()]  # bounded: the normal equations are too
+    if len(teams) > 4095:
+        raise ValueError("more teams than the normal equations hold")
+    if not teams:
+        return spark.createDataFrame([], "team string, strength double, home_advantage double")
+    places = F.create_map(*[F.lit(x) for t, i in zip(teams, range(len(teams))) for x in (t, i)])
+    scale, n = home_sd / prior_sd, len(teams)
+    unit = lambda c, v: F.transform(F.sequence(F.lit(0), F.lit(n)), lambda i: F.when(i == c, v).otherwise(0.0))
+    home, away = places[F.col("home_team")], places[F.col("away_team")]
+    row = F.zip_with(unit(home, 1.0), unit(away, -1.0), lambda x, y: x + y)
+    row = F.transform(row, lambda x, i: F.when(i == n, F.lit(scale)).otherwise(x))
+    margin = (F.col("home_score") - F.col("away_score")).cast("double")
+    both = games.filter(margin.isNotNull()).select(row.alias("x"), (margin - home_mean).alias("y"), F.explode(F.array(F.lit(1.0), F.lit(-1.0))).alias("side"))
+    frame = both.select(array_to_vector(F.transform("x", lambda x: x * F.col("side"))).alias("x"), (F.col("y") * F.col("side")).alias("y")).persist()
+    count, deviation, sigma2 = frame.agg(F.count("*") / 2, F.stddev_pop("y"), F.greatest(F.var_pop("y"), F.lit(1e-6))).first()
+    beta = [0.0] * (n + 1)
+    for _ in range(rounds if count and deviation else 0):
+        # Spark's penalty is per row, and in units of the label's deviation
+        fit = LinearRegression(featuresCol="x", labelCol="y", regParam=sigma2 / prior_sd**2 / count * deviation, fitIntercept=False, standardization=False, solver="normal").fit(frame)
+        beta, before = fit.coefficients.toArray().tolist(), sigma2
+        sigma2 = max(1e-6, fit.summary.meanSquaredError)
+        if abs(sigma2 - before) <= tolerance * before:
             break
-    pairs.unpersist()
-    return theta.withColumn("home_advantage", F.lit(float(h)))
+    frame.unpersist()
+    h = home_mean + beta[n] * scale
+    return spark.createDataFrame([(t, float(b), float(h)) for t, b in zip(teams, beta)], "team string, strength double, home_advantage double")

@@ -20,6 +20,8 @@ p AS (
     CASE WHEN l_linestatus = 'F' AND l_quantity > 45 THEN 1 ELSE 0 END AS field_goal,
     CASE WHEN l_quantity = 17 THEN NULL ELSE CAST(l_quantity * 2 AS INTEGER) END AS yardline, CAST(l_linenumber AS INTEGER) AS down,
     CAST(round(l_tax * 200) AS INTEGER) + 1 AS togo, CAST(p_size - 25 AS INTEGER) AS margin, CAST(l_partkey % 900 AS INTEGER) AS half_seconds, 75 AS start_yardline,
+    CASE WHEN l_linenumber = 3 AND l_quantity > 25 THEN 1 ELSE 0 END AS third_conv, CASE WHEN l_linenumber % 2 = 1 AND l_quantity <= 3 THEN 1 ELSE 0 END AS sack,
+    CASE WHEN l_quantity = 50 THEN NULL WHEN l_quantity = 49 THEN 'qb_kneel' WHEN l_quantity = 48 THEN 'no_play' WHEN l_linenumber % 2 = 1 THEN 'pass' ELSE 'run' END AS kind,
     CAST(p_size % 25 AS INTEGER) AS wind, CAST((p_size * 2) % 100 AS INTEGER) AS temp, CASE WHEN l_linestatus = 'O' THEN 'dome' ELSE 'outdoors' END AS roof
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation cn ON c_nationkey = cn.n_nationkey
     JOIN supplier ON l_suppkey = s_suppkey JOIN nation sn ON s_nationkey = sn.n_nationkey JOIN part ON l_partkey = p_partkey
@@ -55,6 +57,8 @@ def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
         flag("l_linenumber % 2 = 1").alias("is_pass"), flag("l_linenumber in (2, 4)").alias("is_rush"), flag("l_returnflag = 'A'").alias("touchdown"), flag("l_returnflag = 'R'").alias("turnover"), flag("l_linestatus = 'F' and l_quantity > 45").alias("field_goal"),
         F.expr("case when l_quantity = 17 then null else cast(l_quantity * 2 as int) end").alias("yardline"), F.col("l_linenumber").cast("int").alias("down"), F.expr("cast(round(l_tax * 200) as int) + 1").alias("togo"),
         F.expr("cast(p_size - 25 as int)").alias("margin"), F.expr("cast(l_partkey % 900 as int)").alias("half_seconds"), F.lit(75).alias("start_yardline"),
+        flag("l_linenumber = 3 and l_quantity > 25").alias("third_conv"), flag("l_linenumber % 2 = 1 and l_quantity <= 3").alias("sack"),
+        F.expr("case when l_quantity = 50 then null when l_quantity = 49 then 'qb_kneel' when l_quantity = 48 then 'no_play' when l_linenumber % 2 = 1 then 'pass' else 'run' end").alias("kind"),
         F.expr("cast(p_size % 25 as int)").alias("wind"), F.expr("cast((p_size * 2) % 100 as int)").alias("temp"), F.expr("case when l_linestatus = 'O' then 'dome' else 'outdoors' end").alias("roof"),
     ), SPEC)
 
@@ -73,7 +77,13 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return games(spark, sf_dir).filter("prediction is not null").withColumn("actual", (F.col("home_score") - F.col("away_score")).cast("double"))
 
 
-OFFENSE = {"value_l4": "avg(value_per_play)", "success_l4": "avg(success_rate)", "pass_value_l4": "avg(pass_value)", "turnovers_l4": "sum(turnovers)"}
+#: Rolling columns of both panels: name, and the aggregate over the entity's last four periods.
+OFFENSE = {
+    "value_l4": "avg(value_per_play)", "pass_value_l4": "avg(pass_value)", "rush_value_l4": "avg(rush_value)", "success_l4": "avg(success_rate)", "pass_success_l4": "avg(pass_success_rate)",
+    "rush_success_l4": "avg(rush_success_rate)", "explosive_l4": "avg(explosive_rate)", "third_l4": "avg(third_rate)", "near_td_l4": "avg(near_td_rate)", "turnover_l4": "avg(turnover_rate)",
+    "gain_l4": "avg(gain_per_play)", "points_l4": "avg(approx_points_per_drive)", "plays_l4": "sum(plays)", "turnovers_l4": "sum(turnovers)",
+}
+DEFENSE = OFFENSE | {"sack_l4": "avg(sack_rate)"}
 
 
 def offense(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,4 +93,4 @@ def offense(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def defense(spark: SparkSession, sf_dir: str) -> DataFrame:
     panel = weekly_panel(plays(spark, sf_dir), SPEC, by="opp")
-    return rolling(panel, OFFENSE, "team", "season", "week")
+    return rolling(panel, DEFENSE, "team", "season", "week")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from panelforge.functions import columns as C
 from panelforge.operators import backtest, conditions, folds, learn, matchups, panels, quality, ratings
-from panelforge.plans.adapter import GAMES_SQL, PLAYS_SQL, SPEC, defense, games, offense, plays, results
+from panelforge.plans.adapter import DEFENSE, GAMES_SQL, OFFENSE, PLAYS_SQL, SPEC, defense, games, offense, plays, results
 from panelforge.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,17 +49,26 @@ SELECT {me} AS team, season, week, count(*) FILTER ({LIVE}) AS plays, sum(epa) F
   {_agg(LIVE, 'is_explosive')} AS explosive_rate, count(*) FILTER (is_pass = 1) AS pass_plays, count(*) FILTER (is_rush = 1) AS rush_plays, {_agg('is_pass = 1', 'epa')} AS pass_value, {_agg('is_rush = 1', 'epa')} AS rush_value,
   {_agg(LIVE, 'CASE WHEN is_pass = 1 AND is_success = 1 THEN 1.0 ELSE 0.0 END')} AS pass_success_rate, {_agg(LIVE, 'CASE WHEN is_rush = 1 AND is_success = 1 THEN 1.0 ELSE 0.0 END')} AS rush_success_rate,
   count(*) FILTER ({LIVE} AND touchdown = 1) AS touchdowns, count(*) FILTER ({LIVE} AND turnover = 1) AS turnovers, {_agg(LIVE, 'turnover')} AS turnover_rate, sum(yards) FILTER ({LIVE}) AS total_gain, {_agg(LIVE, 'yards')} AS gain_per_play,
+  {_agg(LIVE, 'CASE WHEN is_pass = 1 AND yards >= 15 THEN 1.0 ELSE 0.0 END')} AS explosive_pass_rate, {_agg(LIVE, 'CASE WHEN is_rush = 1 AND yards >= 10 THEN 1.0 ELSE 0.0 END')} AS explosive_rush_rate,
+  {_agg('is_pass = 1', 'yards')} AS gain_per_pass, {_agg('is_rush = 1', 'yards')} AS gain_per_rush, count(*) FILTER ({LIVE} AND down = 3) AS third_downs, count(*) FILTER ({LIVE} AND third_conv = 1) AS third_conversions,
+  {_agg(LIVE + ' AND down = 3', 'third_conv')} AS third_rate, count(*) FILTER (is_pass = 1 AND touchdown = 1) AS pass_touchdowns, count(*) FILTER (is_rush = 1 AND touchdown = 1) AS rush_touchdowns,
+  count(*) FILTER ({LIVE} AND sack = 1) AS sacks, {_agg('is_pass = 1 OR (is_rush = 1 AND sack = 1)', 'sack')} AS sack_rate,
   count(*) FILTER ({LIVE} AND yardline <= 20) AS near_plays, {_agg(LIVE + ' AND yardline <= 20', 'touchdown')} AS near_td_rate, {_agg(LIVE + ' AND yardline <= 20', 'epa')} AS near_value,
   count(DISTINCT (game_id, drive)) AS drives, count(*) FILTER (is_pass = 1) / NULLIF(CAST(count(*) FILTER ({LIVE}) AS DOUBLE), 0) AS pass_share,
   sum(6 * touchdown + 3 * field_goal) / NULLIF(CAST(count(DISTINCT (game_id, drive)) AS DOUBLE), 0) AS approx_points_per_drive, sum(yards) / NULLIF(CAST(count(DISTINCT (game_id, drive)) AS DOUBLE), 0) AS gain_per_drive
 FROM plays GROUP BY {me}, season, week HAVING count(*) FILTER ({LIVE}) > 0"""
 
 
-PANEL_DOUBLES = "total_value value_per_play success_rate explosive_rate pass_value rush_value pass_success_rate rush_success_rate turnover_rate total_gain gain_per_play near_td_rate near_value pass_share approx_points_per_drive gain_per_drive"
-PANEL_COUNTS = "team season week plays pass_plays rush_plays touchdowns turnovers near_plays drives"
+PANEL_DOUBLES = "total_value value_per_play success_rate explosive_rate pass_value rush_value pass_success_rate rush_success_rate turnover_rate total_gain gain_per_play near_td_rate near_value explosive_pass_rate explosive_rush_rate gain_per_pass gain_per_rush third_rate sack_rate pass_share approx_points_per_drive gain_per_drive"
+PANEL_COUNTS = "team season week plays pass_plays rush_plays touchdowns turnovers third_downs third_conversions pass_touchdowns rush_touchdowns sacks near_plays drives"
 FRAME = "ORDER BY season, week ROWS BETWEEN 3 PRECEDING AND CURRENT ROW"
-OFFENSE_SQL = f"offense_panel AS ({panel_sql('team')}), offense AS (SELECT *, avg(value_per_play) OVER w AS value_l4, avg(success_rate) OVER w AS success_l4, avg(pass_value) OVER w AS pass_value_l4, CAST(sum(turnovers) OVER w AS BIGINT) AS turnovers_l4, value_per_play - avg(value_per_play) OVER w AS trend FROM offense_panel WINDOW w AS (PARTITION BY team {FRAME}))"
-DEFENSE_SQL = f"defense_panel AS ({panel_sql('opp')}), defense AS (SELECT *, avg(value_per_play) OVER w AS value_l4, avg(success_rate) OVER w AS success_l4, avg(pass_value) OVER w AS pass_value_l4 FROM defense_panel WINDOW w AS (PARTITION BY team {FRAME}))"
+
+def _rolled(columns: dict[str, str]) -> str:
+    return ", ".join(f"CAST({e} OVER w AS BIGINT) AS {n}" if e.startswith("sum") else f"{e} OVER w AS {n}" for n, e in columns.items())
+
+
+OFFENSE_SQL = f"offense_panel AS ({panel_sql('team')}), offense AS (SELECT *, {_rolled(OFFENSE)}, value_per_play - avg(value_per_play) OVER w AS trend FROM offense_panel WINDOW w AS (PARTITION BY team {FRAME}))"
+DEFENSE_SQL = f"defense_panel AS ({panel_sql('opp')}), defense AS (SELECT *, {_rolled(DEFENSE)} FROM defense_panel WINDOW w AS (PARTITION BY team {FRAME}))"
 
 
 @query("s3_text_round_trip", "SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END AS returned FROM lineitem", "l_quantity l_extendedprice", "l_orderkey l_linenumber returned")
@@ -80,14 +89,19 @@ def _s12(spark, d):
     return tables.freshness(e, "events", "at", "season", "week")
 
 
-@query("s18_profile", "SELECT 'n_name' AS column_name, 'string' AS type, count(*) AS row_count, count(*) FILTER (n_name IS NULL) AS null_count, min(n_name) AS least, max(n_name) AS largest FROM nation UNION ALL SELECT 'n_nationkey', 'int', count(*), count(*) FILTER (n_nationkey IS NULL), min(CAST(n_nationkey AS VARCHAR)), max(CAST(n_nationkey AS VARCHAR)) FROM nation", "", "column_name type row_count null_count least largest")
+def _profile_sql(table: str, columns: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{c}' AS column_name, '{t}' AS type, count(*) AS row_count, count(*) FILTER ({c} IS NULL) AS null_count, min(CAST({c} AS VARCHAR)) AS least, max(CAST({c} AS VARCHAR)) AS largest FROM {table}" for c, t in columns.items())
+
+
+@query("s18_profile", _profile_sql("nation", {"n_nationkey": "int", "n_name": "string", "n_regionkey": "int"}), "", "column_name type row_count null_count least largest")
 def _s18(spark, d):
-    return tables.profile(tables.read_table(spark, d, "nation").select("n_name", F.col("n_nationkey").cast("int").alias("n_nationkey")))
+    n = tables.read_table(spark, d, "nation")
+    return tables.profile(n.select([F.col(c).cast("int").alias(c) if t == "bigint" else F.col(c) for c, t in n.dtypes]))
 
 
-@query("p20_classified", "SELECT game_id, drive, part, supp, is_success, is_explosive, CASE WHEN touchdown = 1 OR field_goal = 1 THEN 1 ELSE 0 END AS is_scoring, CASE WHEN yardline <= 10 THEN 'Goal Line' WHEN yardline <= 20 THEN 'Red Zone' WHEN yardline <= 50 THEN 'Opponent Territory' WHEN yardline <= 80 THEN 'Own Territory' ELSE 'Deep Own Territory' END AS field_zone, CASE WHEN down = 3 AND togo <= 3 THEN 'Third and Short' WHEN down = 3 AND togo BETWEEN 4 AND 7 THEN 'Third and Medium' WHEN down = 3 AND togo > 7 THEN 'Third and Long' WHEN down = 4 THEN 'Fourth Down' ELSE 'Early Down' END AS down_distance, CASE WHEN abs(margin) <= 7 THEN 'One Score' WHEN abs(margin) <= 14 THEN 'Two Score' ELSE 'Blowout' END AS score_situation, abs(start_yardline - yardline) AS progress FROM plays WHERE season >= 1997", "", "game_id drive part supp is_success is_explosive is_scoring field_zone down_distance score_situation progress")
+@query("p20_classified", "SELECT game_id, drive, part, supp, is_success, is_explosive, CASE WHEN touchdown = 1 OR field_goal = 1 THEN 1 ELSE 0 END AS is_scoring, CASE WHEN yardline <= 10 THEN 'Goal Line' WHEN yardline <= 20 THEN 'Red Zone' WHEN yardline <= 50 THEN 'Opponent Territory' WHEN yardline <= 80 THEN 'Own Territory' ELSE 'Deep Own Territory' END AS field_zone, CASE WHEN down = 3 AND togo <= 3 THEN 'Third and Short' WHEN down = 3 AND togo BETWEEN 4 AND 7 THEN 'Third and Medium' WHEN down = 3 AND togo > 7 THEN 'Third and Long' WHEN down = 4 THEN 'Fourth Down' ELSE 'Early Down' END AS down_distance, CASE WHEN abs(margin) <= 7 THEN 'One Score' WHEN abs(margin) <= 14 THEN 'Two Score' ELSE 'Blowout' END AS score_situation, abs(start_yardline - yardline) AS progress FROM plays WHERE season >= 1997 AND kind IS NOT NULL AND kind NOT IN ('no_play', 'qb_kneel')", "", "game_id drive part supp is_success is_explosive is_scoring field_zone down_distance score_situation progress")
 def _p20(spark, d):
-    p = panels.cleaned(plays(spark, d).withColumn("kind", F.lit("pass")), ["no_play", "qb_kneel"], "kind", "season", 1997)
+    p = panels.cleaned(plays(spark, d), ["no_play", "qb_kneel"], "kind", "season", 1997)
     return p.select("game_id", "drive", "part", "supp", "is_success", "is_explosive", "is_scoring", "field_zone", "down_distance", "score_situation", "progress")
 
 
@@ -122,9 +136,26 @@ def _a4(spark, d):
     return panels.weekly_panel(plays(spark, d), SPEC, by="opp")
 
 
-@query("w4_rolling4", "SELECT * FROM offense", "value_l4 success_l4 pass_value_l4 trend", "team season week turnovers_l4", OFFENSE_SQL)
+ROLLED = " ".join(n for n, e in OFFENSE.items() if e.startswith("avg"))
+
+
+@query("w4_rolling4", "SELECT * FROM offense", f"{ROLLED} trend", "team season week plays_l4 turnovers_l4", OFFENSE_SQL)
 def _w4(spark, d):
-    return offense(spark, d).select("team", "season", "week", "value_l4", "success_l4", "pass_value_l4", "turnovers_l4", "trend")
+    return offense(spark, d).select("team", "season", "week", *OFFENSE, "trend")
+
+
+@query("w5_rolling_defense", "SELECT * FROM defense", f"{ROLLED} sack_l4", "team season week plays_l4 turnovers_l4", DEFENSE_SQL)
+def _w5(spark, d):
+    return defense(spark, d).select("team", "season", "week", *DEFENSE)
+
+
+RANKS = {"value_rank": ("value_l4", True), "gain_rank": ("gain_l4", True), "points_rank": ("points_l4", True), "turnover_rank": ("turnover_l4", False)}
+
+
+@query("w7_defense_ranks", "SELECT team, season, week, " + ", ".join(f"rank() OVER (PARTITION BY season, week ORDER BY round({x}, 9) {'ASC NULLS LAST' if up else 'DESC NULLS FIRST'}) AS {n}" for n, (x, up) in RANKS.items()) + " FROM defense", "", "team season week value_rank gain_rank points_rank turnover_rank", DEFENSE_SQL)
+def _w7d(spark, d):
+    rounded = defense(spark, d).withColumns({x: F.round(x, 9) for x, _ in RANKS.values()})
+    return panels.period_ranks(rounded, RANKS, "season", "week").select("team", "season", "week", *RANKS)
 
 
 @query("w9_rolling_prior", "SELECT team, season, week, avg(value_per_play) OVER (PARTITION BY team, season ORDER BY week ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS prior FROM offense", "prior", "team season week", OFFENSE_SQL)
@@ -162,9 +193,12 @@ def _a7(spark, d):
     return panels.situational_panel_by_pivot(plays(spark, d), SPEC, {n: F.expr(t) for n, t in SITUATIONS.items()})
 
 
-@query("w6_situational_rolling", "SELECT team, season, week, avg(red_zone_value) OVER (PARTITION BY team, season ORDER BY week ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS red_zone_l4 FROM s", "red_zone_l4", "team season week", f"s AS ({_situational_sql()})")
+SIT_L4 = {f"{n}_l4": f"avg({n}_value)" for n in SITUATIONS}
+
+
+@query("w6_situational_rolling", f"SELECT team, season, week, {', '.join(f'{e} OVER w AS {n}' for n, e in SIT_L4.items())} FROM s WINDOW w AS (PARTITION BY team, season ORDER BY week ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)", " ".join(SIT_L4), "team season week", f"s AS ({_situational_sql()})")
 def _w6(spark, d):
-    return panels.rolling(_a6(spark, d), {"red_zone_l4": "avg(red_zone_value)"}, "team", "season", "week", reset=True).select("team", "season", "week", "red_zone_l4")
+    return panels.rolling(_a6(spark, d), SIT_L4, "team", "season", "week", reset=True).select("team", "season", "week", *SIT_L4)
 
 
 @query("j2_team_features", "SELECT o.team, o.season, o.week, o.value_l4, d.value_l4 AS def_value_l4, o.trend, CASE WHEN o.value_l4 > 0.15 THEN 'elite' WHEN o.value_l4 > 0.05 THEN 'good' WHEN o.value_l4 > -0.05 THEN 'average' ELSE 'poor' END AS efficiency_tier, CASE WHEN d.value_l4 < -0.1 THEN 'elite' WHEN d.value_l4 < 0 THEN 'good' WHEN d.value_l4 < 0.1 THEN 'average' ELSE 'poor' END AS def_strength_tier FROM offense o LEFT JOIN defense d ON o.team = d.team AND o.season = d.season AND o.week = d.week", "value_l4 def_value_l4 trend", "team season week efficiency_tier def_strength_tier", f"{OFFENSE_SQL}, {DEFENSE_SQL}")
@@ -262,9 +296,9 @@ def _a15(spark, d):
 RIGHT = "CASE WHEN prediction * actual > 0 THEN 1.0 ELSE 0.0 END"
 
 
-@query("a21_season_report", f"SELECT *, bold_wins * 90.91 - (bold_bets - bold_wins) * 100 AS profit, CASE WHEN accuracy >= 0.55 THEN 'Strong' WHEN accuracy >= 0.5238 THEN 'Marginal' ELSE 'Avoid' END AS verdict FROM (SELECT season, count(*) AS games, avg(abs(prediction - actual)) AS mae, avg({RIGHT}) AS accuracy, avg({RIGHT}) FILTER (abs(prediction) >= 7) AS bold_accuracy, avg({RIGHT}) FILTER (NOT abs(prediction) >= 7) AS cautious_accuracy, avg({RIGHT}) FILTER (abs(actual) <= 7) AS close_accuracy, count(*) FILTER (abs(prediction) >= 7) AS bold_bets, count(*) FILTER (abs(prediction) >= 7 AND prediction * actual > 0) AS bold_wins FROM results GROUP BY season)", "mae accuracy bold_accuracy cautious_accuracy close_accuracy profit", "season games bold_bets bold_wins verdict", GAMES_SQL)
+@query("a21_season_report", f"SELECT *, bold_wins * 90.91 - (bold_bets - bold_wins) * 100 AS profit, CASE WHEN accuracy >= 0.55 THEN 'Strong' WHEN accuracy >= 0.5238 THEN 'Marginal' ELSE 'Avoid' END AS verdict, CASE WHEN bold_accuracy > cautious_accuracy THEN 'Well Calibrated' ELSE 'Needs Calibration' END AS calibration, CASE WHEN bold_wins * 90.91 - (bold_bets - bold_wins) * 100 > 0 THEN 1 ELSE 0 END AS profitable FROM (SELECT season, count(*) AS games, avg(abs(prediction - actual)) AS mae, avg({RIGHT}) AS accuracy, avg({RIGHT}) FILTER (abs(prediction) >= 7) AS bold_accuracy, avg({RIGHT}) FILTER (NOT abs(prediction) >= 7) AS cautious_accuracy, avg({RIGHT}) FILTER (abs(actual) <= 7) AS close_accuracy, count(*) FILTER (abs(prediction) >= 7) AS bold_bets, count(*) FILTER (abs(prediction) >= 7 AND prediction * actual > 0) AS bold_wins FROM results GROUP BY season)", "mae accuracy bold_accuracy cautious_accuracy close_accuracy profit", "season games bold_bets bold_wins verdict calibration profitable", GAMES_SQL)
 def _a21(spark, d):
-    return backtest.season_report(results(spark, d)).drop("calibration", "profitable")
+    return backtest.season_report(results(spark, d))
 
 
 @query("a18_weekly_trend", f"SELECT season, week, games, mae, accuracy, avg(mae) OVER w AS mae_l4, avg(accuracy) OVER w AS accuracy_l4 FROM (SELECT season, week, count(*) AS games, avg(abs(prediction - actual)) AS mae, avg({RIGHT}) AS accuracy FROM results GROUP BY season, week) WINDOW w AS (PARTITION BY season ORDER BY week ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)", "mae accuracy mae_l4 accuracy_l4", "season week games", GAMES_SQL)
@@ -317,7 +351,7 @@ def _a28(spark, d):
     return backtest.brier(r, "p", "y", ["season"])
 
 
-@query("a29_model_comparison", "SELECT model, mae, rmse, ats, n, CASE WHEN mae = min(mae) OVER () THEN 1 ELSE 0 END AS best FROM (SELECT model, avg(abs(v - actual)) AS mae, sqrt(avg((v - actual) * (v - actual))) AS rmse, avg(CASE WHEN (v > line) = (actual > line) THEN 1.0 ELSE 0.0 END) FILTER (line IS NOT NULL) AS ats, count(*) AS n FROM (SELECT 'prediction' AS model, prediction AS v, actual, line FROM results UNION ALL SELECT 'other_prediction', other_prediction, actual, line FROM results) GROUP BY model)", "mae rmse ats", "model n best", GAMES_SQL)
+@query("a29_model_comparison", "SELECT *, coalesce((wins * (100.0 / 110) - losses) / nullif(bets, 0), 0.0) AS roi, CASE WHEN mae = min(mae) OVER () THEN 1 ELSE 0 END AS best, CASE WHEN ats = max(ats) OVER () THEN 1 ELSE 0 END AS best_by_ats FROM (SELECT model, avg(abs(v - actual)) AS mae, sqrt(avg((v - actual) * (v - actual))) AS rmse, avg(CASE WHEN (v > line) = (actual > line) THEN 1.0 ELSE 0.0 END) FILTER (line IS NOT NULL) AS ats, count(*) AS n, avg(power(1 / (1 + exp(-v / 5.5)) - CASE WHEN actual > 0 THEN 1.0 ELSE 0.0 END, 2)) AS brier, count(*) FILTER (abs(v - line) >= 3) AS bets, count(*) FILTER (abs(v - line) >= 3 AND actual <> line AND (v > line) = (actual > line)) AS wins, count(*) FILTER (abs(v - line) >= 3 AND actual <> line AND (v > line) <> (actual > line)) AS losses FROM (SELECT 'prediction' AS model, prediction AS v, actual, line FROM results UNION ALL SELECT 'other_prediction', other_prediction, actual, line FROM results) GROUP BY model)", "mae rmse ats brier roi", "model n bets wins losses best best_by_ats", GAMES_SQL)
 def _a29(spark, d):
     return backtest.model_comparison(results(spark, d), ["prediction", "other_prediction"])
 
@@ -409,9 +443,9 @@ def _q(spark, d):
 ORACLES["q_dq_report"] = ORACLES["q_dq_report"].replace("severity, failures, passed FROM", "severity, failures, CAST(CASE WHEN failures = 0 THEN 1 ELSE 0 END AS BIGINT) AS passed FROM").replace("severity failures passed", "")
 
 
-@query("q8_conversion_failures", "SELECT 'o_orderstatus' AS column_name, count(*) FILTER (o_orderstatus IS NOT NULL AND TRY_CAST(o_orderstatus AS DOUBLE) IS NULL) AS failures FROM orders UNION ALL SELECT 'o_totalprice', 0 FROM (SELECT 1)", "", "column_name failures")
+@query("q8_conversion_failures", "SELECT 'o_orderstatus' AS column_name, count(*) FILTER (o_orderstatus IS NOT NULL AND TRY_CAST(o_orderstatus AS DOUBLE) IS NULL) AS failures FROM orders UNION ALL SELECT 'o_orderpriority', count(*) FILTER (o_orderpriority IS NOT NULL AND TRY_CAST(o_orderpriority AS DOUBLE) IS NULL) FROM orders UNION ALL SELECT 'o_totalprice', count(*) FILTER (o_totalprice IS NOT NULL AND TRY_CAST(CAST(o_totalprice AS VARCHAR) AS DOUBLE) IS NULL) FROM orders", "", "column_name failures")
 def _q8(spark, d):
-    return tables.conversion_failures(tables.as_text(tables.read_table(spark, d, "orders")), {"o_orderstatus": "double", "o_totalprice": "double"})
+    return tables.conversion_failures(tables.as_text(tables.read_table(spark, d, "orders")), {"o_orderstatus": "double", "o_orderpriority": "double", "o_totalprice": "double"})
 
 
 @query("m1_elo_history")
@@ -429,17 +463,25 @@ def _m3(spark, d):
 
 @query("m6_ridge_strength")
 def _m6(spark, d):
-    return ratings.ridge_strength(games(spark, d), sweeps=8)
+    return ratings.ridge_strength(games(spark, d))
 
 
 @query("m5_gbt_scores")
 def _m5(spark, d):
     g = matchups.lagged_sides(games(spark, d), offense(spark, d), "team", "season", "week", FEATURES)
     frame = folds.holdout(matchups.training_frame(g, SIDES.split(), "spread"), "season")
-    model = learn.boosted_trees(frame.filter("role = 'train'"), SIDES.split(), rounds=5, depth=3)
+    model = learn.boosted_trees(frame.filter("role = 'train'"), SIDES.split())
     return model.transform(frame.filter("role = 'test'")).select("game_id", "target", "prediction")
 
 
-@query("m8_stacked_scores")
+STACKED = """s AS (SELECT count(*) AS n, avg(prediction) AS m1, avg(other_prediction) AS m2, stddev_pop(prediction) AS d1, stddev_pop(other_prediction) AS d2, avg(actual) AS my FROM results),
+z AS (SELECT game_id, actual - my AS y, (prediction - m1) / d1 AS z1, (other_prediction - m2) / d2 AS z2, my FROM results, s),
+g AS (SELECT sum(z1 * z1) + 1 AS a, sum(z1 * z2) AS b, sum(z2 * z2) + 1 AS c, sum(z1 * y) AS u, sum(z2 * y) AS v FROM z)"""
+
+
+@query("m8_stacked_scores", "SELECT game_id, my + z1 * (c * u - b * v) / (a * c - b * b) + z2 * (a * v - b * u) / (a * c - b * b) AS stacked FROM z, g", "stacked", "game_id", f"{GAMES_SQL}, {STACKED}")
 def _m8(spark, d):
     return learn.stacked(results(spark, d).select("game_id", "actual", "prediction", "other_prediction"), ["prediction", "other_prediction"], "actual")[0].select("game_id", "stacked")
+
+
+from panelforge.plans import marts as _marts  # noqa: E402, F401  registers its queries

@@ -6,10 +6,12 @@ import functools
 import time
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelforge.functions.columns import null_tokens
+from panelforge.functions.columns import flag, null_tokens, to_date, to_double, to_int, to_line
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +59,41 @@ def read_csv(spark: SparkSession, path: str, schema: str, delimiter: str = ",")
     return df.select([null_tokens(c).alias(c) if t == "string" else F.col(c) for c, t in df.dtypes])
 
 
+def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """One object a line; lines that don't parse give nulls."""
+    return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
+
+
+def json_fields(df: DataFrame, column: str, paths: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """Adds columns from a text column of JSON; paths: new name -> (path, type). What isn't there or of the type is null."""
+    return df.withColumns({n: F.get_json_object(F.col(column), p).try_cast(t) for n, (p, t) in paths.items()})
+
+
+def projected(raw: DataFrame, types: Mapping[str, str] = {}) -> DataFrame:
+    """A staging projection: columns in lower case; those in `types` cast by kind (int, double, line, flag, date), the rest as they are.
+
+    What a cast loses becomes null; a flag that is null is 0.
+    """
+    kinds = {"int": to_int, "double": to_double, "line": to_line, "flag": flag, "date": to_date}
+    wanted = {n.lower(): k for n, k in types.items()}
+    if lost := set(wanted) - {c.lower() for c in raw.columns}:
+        raise ValueError(f"columns are missing: {', '.join(sorted(lost))}")
+    return raw.select([(kinds[wanted[c.lower()]](F.col(f"`{c}`")) if c.lower() in wanted else F.col(f"`{c}`")).alias(c.lower()) for c in raw.columns])
+
+
+def with_columns_of(df: DataFrame, target: DataFrame) -> DataFrame:
+    """df with typed nulls for the columns that only `target` has; what a table gains when its source grows."""
+    own = {c.lower() for c in df.columns}
+    return df.select("*", *[F.lit(None).cast(t).alias(c) for c, t in target.dtypes if c.lower() not in own])
+
+
+def ensure_table(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """The table at `path` with df's columns added where it lacks them; made, empty, where there is none. Nothing is rewritten."""
+    if not _readable(spark, path):
+        df.limit(0).write.parquet(path)
+    return with_columns_of(spark.read.option("mergeSchema", True).parquet(path), df)
+
+
 def matched_by_name(df: DataFrame, target: DataFrame) -> DataFrame:
     """Columns of `target` in its order, taken by name whatever their case; absent ones are null."""
     own = {c.lower(): c for c in df.columns}
@@ -92,13 +129,45 @@ def load(spark: SparkSession, datasets: Mapping[str, Mapping[str, str]], out: st
         try:
             df = read_years(spark, paths)
             write_slices(df, f"{out}/{name}", ["source_year"])
-            rows, error = spark.read.parquet(f"{out}/{name}").count(), None
-        except (FileNotFoundError, OSError) as e:
-            rows, error = 0, str(e)
+            rows, error = df.count(), None
+        except (OSError, PySparkException, Py4JJavaError) as e:  # one that fails doesn't end the load
+            rows, error = 0, str(e).splitlines()[0][:500]
         records.append((name, error is None, rows, error, time.time() - began))
     return spark.createDataFrame(records, "dataset string, success boolean, rows long, error string, seconds double")
 
 
+def load_totals(records: DataFrame) -> DataFrame:
+    """One row over the records of `load`."""
+    return records.agg(F.count("*").alias("datasets"), F.count_if("success").alias("loaded"), F.sum("rows").alias("rows"), F.sum("seconds").alias("seconds"))
+
+
+def training_read(mart: DataFrame, first_season: int, order: Sequence[str], limit: int | None = None) -> DataFrame:
+    """Finished games from a season on, in order; `limit` for sampling runs."""
+    rows = mart.filter((F.col("season") >= first_season) & F.col("home_score").isNotNull() & F.col("away_score").isNotNull()).orderBy(*order)
+    return rows.limit(limit) if limit else rows
+
+
+def inference_read(mart: DataFrame, season: int, week: int, order: Sequence[str]) -> DataFrame:
+    return mart.filter((F.col("season") == season) & (F.col("week") == week)).orderBy(*order)
+
+
+def training_profile(df: DataFrame, teams: Sequence[str] = ("home_team", "away_team")) -> DataFrame:
+    """A row per season: games, weeks, teams, and the first and last season of all."""
+    sides = df.select("season", "week", F.explode(F.array(*teams)).alias("team"), F.lit(1.0 / len(teams)).alias("_game"))
+    one = sides.groupBy("season").agg(F.round(F.sum("_game")).cast("long").alias("games"), F.count_distinct("week").alias("weeks"), F.count_distinct("team").alias("teams"))
+    ends = one.agg(F.min("season").alias("first_season"), F.max("season").alias("last_season"))
+    return one.withColumn("_k", F.lit(1)).join(F.broadcast(ends.withColumn("_k", F.lit(1))), "_k").drop("_k")  # one row
+
+
+def null_audit(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """A row per table and column: rows and nulls; one pass a table."""
+    parts = []
+    for name, (df, columns) in tables.items():
+        facts = F.array(*[F.struct(F.lit(name).alias("table_name"), F.lit(c).alias("column_name"), F.count("*").alias("row_count"), F.count_if(F.col(c).isNull()).alias("null_count")) for c in columns])
+        parts.append(df.agg(facts.alias("f")).select(F.inline("f")))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def with_actuals(predictions: DataFrame, actuals: DataFrame, key: str) -> DataFrame:
     """Predictions with what came true and the error, where it is known."""
     known = actuals.select(F.col(key), F.col("actual").alias("actual_value"))

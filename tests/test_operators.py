@@ -1,10 +1,13 @@
+import datetime as dt
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from panelforge.operators import backtest, conditions, folds, matchups, panels, quality, ratings
+from panelforge.operators import backtest, conditions, folds, learn, matchups, panels, quality, ratings
 from panelforge.sources import tables
+from panelforge.streaming.refresh import refresh
 
 
 def test_rolling_frames_and_reset(spark):
@@ -62,35 +65,81 @@ def test_elo_is_zero_sum_and_ties_move_nothing(spark):
     assert ratings.current_ratings(ratings.elo_history(df)).count() == 3
 
 
-def swept(rows, sweeps):
-    """The same sweeps game by game: strengths, home advantage."""
-    theta, h = dict.fromkeys({t for r in rows for t in r[4:6]}, 0.0), 2.5
-    for _ in range(sweeps):
-        res = [(r[4], r[5], r[6] - r[7]) for r in rows]
-        s2 = max(1e-6, sum((m - theta[a] + theta[b] - h) ** 2 for a, b, m in res) / len(res))
-        h = (sum(m - theta[a] + theta[b] for a, b, m in res) + 2.5 * s2) / (len(res) + s2)
-        new = {}
-        for t in theta:
-            mine = [m - h + theta[b] for a, b, m in res if a == t] + [theta[a] + h - m for a, b, m in res if b == t]
-            new[t] = sum(mine) / (len(mine) + s2 / 25)
-        theta = {t: (theta[t] + new[t]) / 2 for t in theta}
-        mean = sum(theta.values()) / len(theta)
-        theta = {t: x - mean for t, x in theta.items()}
-    return theta, h
-
-
-def test_ridge_strength_matches_sweeps_by_hand(spark):
+def test_ridge_strength_solves_its_normal_equations(spark):
     rows = [("p", i, 1, i, a, b, x, y) for i, (a, b, x, y) in enumerate([("a", "b", 10, 0), ("b", "c", 8, 0), ("a", "c", 15, 0), ("c", "a", 0, 0), ("b", "a", 1, 0)])]
-    got = {r["team"]: (r["strength"], r["home_advantage"]) for r in ratings.ridge_strength(spark.createDataFrame(rows, GAMES), sweeps=5).collect()}
-    theta, h = swept(rows, 5)
-    assert {t: v[0] for t, v in got.items()} == pytest.approx(theta)
-    assert next(iter(got.values()))[1] == pytest.approx(h)
-    # where the sweeps end, each team's residuals add up to its strength times the penalty
-    theta, h = swept(rows, 400)
+    got = {r["team"]: (r["strength"], r["home_advantage"]) for r in ratings.ridge_strength(spark.createDataFrame(rows, GAMES)).collect()}
+    theta, h = {t: v[0] for t, v in got.items()}, got["a"][1]
     left = [r[6] - r[7] - theta[r[4]] + theta[r[5]] - h for r in rows]
-    penalty = sum(x * x for x in left) / len(rows) / 25
+    variance = sum(x * x for x in left) / len(rows)
     for t in theta:
-        assert sum(x * ((r[4] == t) - (r[5] == t)) for x, r in zip(left, rows)) == pytest.approx(penalty * theta[t], abs=1e-5)
+        assert sum(x * ((r[4] == t) - (r[5] == t)) for x, r in zip(left, rows)) == pytest.approx(variance / 25 * theta[t], rel=1e-3)
+    assert sum(left) == pytest.approx(variance * (h - 2.5), rel=1e-3)
+    assert ratings.ridge_strength(spark.createDataFrame([], GAMES)).count() == 0
+
+
+def test_learned_predictors(spark):
+    r = random.Random(2)
+    rows = [(i, x := r.uniform(-2, 2), y := r.uniform(-2, 2), 3 * x - y, 3 * x + r.gauss(0, 0.1), 5.0) for i in range(300)]
+    df = spark.createDataFrame(rows, "i int, x double, y double, target double, p double, flat double")
+    model = learn.boosted_trees(df, ["x", "y"], rounds=20)
+    error = model.transform(df).agg(F.avg(F.abs(F.col("prediction") - F.col("target")))).first()[0]
+    assert error < 0.8
+    assert [x["feature"] for x in learn.importances(model, ["x", "y"], spark).collect()] == ["x", "y"]
+    both, weights = learn.stacked(df, ["p", "y", "flat"], "target")
+    assert {w["model"] for w in weights.collect()} == {"p", "y"}
+    assert sum(w["weight"] for w in weights.collect()) == pytest.approx(1)
+    assert both.agg(F.avg(F.abs(F.col("stacked") - F.col("target")))).first()[0] < 0.2
+    one = learn.contributions(df, {"p": 0.25}).first()
+    assert one["p_part"] == pytest.approx(one["p"] * 0.25)
+
+
+def test_elo_predictions_fall_back_to_the_initial_rating(spark):
+    games = spark.createDataFrame([("p", "a", "b"), ("p", "b", "zz")], "pool string, home_team string, away_team string")
+    known = spark.createDataFrame([("p", "a", 1600.0), ("p", "b", 1500.0)], "pool string, team string, rating double")
+    got = {x["home_team"]: x for x in ratings.elo_predictions(games, known).collect()}
+    assert got["a"]["spread"] == pytest.approx(148 / 25)
+    assert got["b"]["home_win_probability"] == pytest.approx(1 / (1 + 10 ** (-48 / 400)))
+
+
+def test_staging_projections(spark, tmp_path):
+    raw = spark.createDataFrame([("1.0", "2.5", "1.0", "2024-09-05", "KC"), ("x", None, None, "bad", None)], "GAME_ID string, Spread string, flag string, Day string, team string")
+    got = tables.projected(raw, {"game_id": "int", "spread": "double", "flag": "flag", "day": "date"})
+    assert [tuple(r) for r in got.collect()] == [(1, 2.5, 1, dt.date(2024, 9, 5), "KC"), (None, None, 0, None, None)]
+    with pytest.raises(ValueError, match="missing"):
+        tables.projected(raw, {"none": "int"})
+    (tmp_path / "a.json").write_text('{"a": 1, "b": "x"}\nnot json\n{"a": 2}\n')
+    rows = tables.read_json(spark, str(tmp_path / "a.json"), "a int, b string").collect()
+    assert sorted((r["a"] or 0, r["b"] or "") for r in rows) == [(0, ""), (1, "x"), (2, "")]
+
+
+def test_tables_grow_columns_and_broken_years_are_passed_over(spark, tmp_path):
+    a = spark.createDataFrame([(1,)], "id int")
+    assert tables.ensure_table(spark, a.withColumn("s", F.lit("x")), f"{tmp_path}/new").columns == ["id", "s"]
+    a.write.parquet(f"{tmp_path}/old")
+    assert tables.ensure_table(spark, a.withColumn("s", F.lit("x")), f"{tmp_path}/old").first().asDict() == {"id": 1, "s": None}
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "x.parquet").write_text("no parquet")
+    log = tables.load(spark, {"t": {"2020": f"{tmp_path}/old"}, "u": {"2020": f"{tmp_path}/bad"}}, f"{tmp_path}/out")
+    assert {(r["dataset"], r["success"], r["rows"]) for r in log.collect()} == {("t", True, 1), ("u", False, 0)}
+    assert tables.load_totals(log).first().asDict() | {"seconds": 0} == {"datasets": 2, "loaded": 1, "rows": 1, "seconds": 0}
+
+
+def test_mart_reads(spark):
+    g = spark.createDataFrame([("b", 2020, 2, 1, 2), ("a", 2020, 1, 3, 4), ("c", 2020, 1, None, None), ("d", 2019, 1, 1, 1)], "game_id string, season int, week int, home_score int, away_score int")
+    assert [r["game_id"] for r in tables.training_read(g, 2020, ["week", "game_id"]).collect()] == ["a", "b"]
+    assert [r["game_id"] for r in tables.training_read(g, 2019, ["season", "week"], limit=1).collect()] == ["d"]
+    assert [r["game_id"] for r in tables.inference_read(g, 2020, 1, ["game_id"]).collect()] == ["a", "c"]
+    assert [r["game_id"] for r in matchups.upcoming(g).collect()] == ["c"]
+
+
+def test_new_files_replace_their_slices_once(spark, tmp_path):
+    a = spark.createDataFrame([(2020, 1), (2021, 2)], "season int, v int")
+    run = lambda: refresh(spark, f"{tmp_path}/in", "season int, v int", lambda df: df, f"{tmp_path}/out", ["season"], f"{tmp_path}/cp").awaitTermination()
+    a.write.parquet(f"{tmp_path}/in")
+    run()
+    a.filter("season = 2021").withColumn("v", F.lit(9)).write.mode("append").parquet(f"{tmp_path}/in")
+    run()
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").select("season", "v").collect())) == [(2020, 1), (2021, 9)]
 
 
 def test_condition_impact_falls_back_to_the_season(spark):
