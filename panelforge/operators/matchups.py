@@ -35,17 +35,16 @@ def lagged_sides(games: DataFrame, panel: DataFrame, entity: str, season: str, p
     that period gets nulls; with `asof` it gets its latest row before the game's period.
     """
     if asof:
-        me = panel.select(F.col(entity).alias("_team"), F.col(season).alias("_season"), F.col(period).alias("_period"), F.struct(*features).alias("_row"), F.lit(None).cast("string").alias("_game"))
-        sides = []
-        w = Window.partitionBy("_team", "_season").orderBy("_period", F.col("_game").isNotNull().desc()).rowsBetween(Window.unboundedPreceding, -1)
-        for p in ("home", "away"):
-            asks = games.select(F.col(f"{p}_team").alias("_team"), F.col(season).alias("_season"), F.col(period).alias("_period"), F.lit(None).cast(me.schema["_row"].dataType).alias("_row"), F.col("game_id").cast("string").alias("_game"))
-            known = me.unionByName(asks).withColumn("_seen", F.last("_row", ignorenulls=True).over(w)).filter("_game is not null")
-            sides.append(known.select(F.col("_game"), *[F.col(f"_seen.{x}").alias(f"{p}_{x}") for x in features]))
-        out = games.withColumn("_game", F.col("game_id").cast("string"))
-        for s in sides:
-            out = out.join(s, "_game", "left")
-        return out.drop("_game")
+        # games travel through the window as structs, both sides at once, so they are made once and repeated ids don't fan out
+        rows = games.select(F.monotonically_increasing_id().alias("_gid"), F.struct(*games.columns).alias("_game"))
+        rows = rows.select("*", F.explode(F.array(F.lit("home"), F.lit("away"))).alias("_side"))
+        team = F.when(F.col("_side") == "home", F.col("_game.home_team")).otherwise(F.col("_game.away_team"))
+        asks = rows.select(team.alias("_team"), F.col(f"_game.{season}").alias("_season"), F.col(f"_game.{period}").alias("_period"), "_gid", "_game", "_side")
+        me = panel.select(F.col(entity).alias("_team"), F.col(season).alias("_season"), F.col(period).alias("_period"), F.struct(*features).alias("_row"))
+        w = Window.partitionBy("_team", "_season").orderBy("_period", F.col("_gid").isNotNull().desc()).rowsBetween(Window.unboundedPreceding, -1)
+        known = me.unionByName(asks, allowMissingColumns=True).withColumn("_seen", F.last("_row", ignorenulls=True).over(w)).filter("_gid is not null")
+        both = known.groupBy("_gid").agg(F.first("_game").alias("_game"), *[F.first(F.when(F.col("_side") == p, F.col("_seen")), ignorenulls=True).alias(f"_{p}") for p in ("home", "away")])
+        return both.select(*[F.col(f"_game.{c}").alias(c) for c in games.columns], *[F.col(f"_{p}.{x}").alias(f"{p}_{x}") for p in ("home", "away") for x in features])
     out = games
     for p in ("home", "away"):
         side = panel.select(F.col(entity).alias(f"{p}_team"), F.col(season), (F.col(period) + lag).alias(period), *[F.col(x).alias(f"{p}_{x}") for x in features])
