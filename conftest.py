@@ -4,7 +4,7 @@ from pyspark.sql import SparkSession
 
 @pytest.fixture(scope="session")
 def spark():
-    conf = {"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.session.timeZone": "UTC", "spark.driver.memory": "6g"}
+    conf = {"spark.sql.shuffle.partitions": "4", "spark.default.parallelism": "3", "spark.sql.leafNodeDefaultParallelism": "3", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.session.timeZone": "UTC", "spark.driver.memory": "6g"}
     s = SparkSession.builder.master("local[8]").config(map=conf).getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     yield s
