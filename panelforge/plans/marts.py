@@ -140,3 +140,14 @@ def _a24(spark, d):
 @query("p57_distinct_names", "SELECT DISTINCT upper(trim(home_team)) AS team FROM games WHERE season >= 1996", "", "team", GAMES_SQL)
 def _p57(spark, d):
     return games(spark, d).filter("season >= 1996").select(F.upper(F.trim("home_team")).alias("team")).distinct()
+
+
+@query("s8_reject_report", " UNION ALL ".join(f"SELECT '{c}' AS column_name, 'double' AS type, count(v) AS failures, min(v) AS sample FROM (SELECT CASE WHEN TRY_CAST({c} AS DOUBLE) IS NULL THEN {c} END AS v FROM orders)" for c in ("o_orderstatus", "o_orderpriority")), "", "column_name type failures sample")
+def _s8(spark, d):
+    return tables.reject_report(tables.as_text(tables.read_table(spark, d, "orders")), {"o_orderstatus": "double", "o_orderpriority": "double"})
+
+
+@query("q6_volumes", "SELECT season, count(*) AS plays, count(DISTINCT game_id) AS games, count(DISTINCT week) AS weeks, avg(epa) AS value, CASE WHEN count(*) BETWEEN 4000 AND 50000 AND count(DISTINCT week) = 12 AND abs(avg(epa)) <= 0.3 THEN 1 ELSE 0 END AS expected FROM plays GROUP BY season", "value", "season plays games weeks expected")
+def _q6(spark, d):
+    one = plays(spark, d).groupBy("season").agg(F.count("*").alias("plays"), F.count_distinct("game_id").alias("games"), F.count_distinct("week").alias("weeks"), F.avg("epa").alias("value"))
+    return one.withColumn("expected", F.when(F.col("plays").between(4000, 50000) & (F.col("weeks") == 12) & (F.abs("value") <= 0.3), 1).otherwise(0))

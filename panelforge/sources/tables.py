@@ -112,6 +112,25 @@ def conversion_failures(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return df.agg(*counts).unpivot([], list(types), "column_name", "failures")
 
 
+def reject_report(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """A row per column: values that its cast loses, and the least of them as a sample; one pass."""
+    lost = {c: F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.col(c).cast("string")) for c, t in types.items()}
+    facts = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(types[c]).alias("type"), F.count(x).alias("failures"), F.min(x).alias("sample")) for c, x in lost.items()])
+    return df.agg(facts.alias("f")).select(F.inline("f"))
+
+
+def replace_slices(df: DataFrame, path: str, keys: Sequence[str], slices: Sequence[Sequence]) -> None:
+    """Replaces the named slices, each a value per key: with df's rows, or with nothing where it has none."""
+    wanted = functools.reduce(lambda a, b: a | b, [functools.reduce(lambda a, b: a & b, [F.col(k) == v for k, v in zip(keys, s)]) for s in slices])
+    rows = df.filter(wanted)
+    write_slices(rows, path, keys)
+    held = {tuple(r) for r in rows.select(*keys).distinct().collect()}  # the named slices at most
+    for s in slices:
+        if tuple(s) not in held:
+            p = df.sparkSession._jvm.org.apache.hadoop.fs.Path("/".join([path, *[f"{k}={v}" for k, v in zip(keys, s)]]))
+            p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def write_slices(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     """Replaces the slices (partitions) that df has rows for and leaves the others."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)

@@ -124,6 +124,14 @@ def test_tables_grow_columns_and_broken_years_are_passed_over(spark, tmp_path):
     assert tables.load_totals(log).first().asDict() | {"seconds": 0} == {"datasets": 2, "loaded": 1, "rows": 1, "seconds": 0}
 
 
+def test_named_slices_are_replaced_or_emptied(spark, tmp_path):
+    df = spark.createDataFrame([(2020, 1, "a"), (2020, 2, "b"), (2021, 1, "c")], "season int, week int, v string")
+    tables.write_slices(df, f"{tmp_path}/t", ["season", "week"])
+    new = spark.createDataFrame([(2020, 1, "z"), (2021, 1, "not named")], "season int, week int, v string")
+    tables.replace_slices(new, f"{tmp_path}/t", ["season", "week"], [(2020, 1), (2020, 2)])
+    assert sorted(r["v"] for r in spark.read.parquet(f"{tmp_path}/t").collect()) == ["c", "z"]
+
+
 def test_mart_reads(spark):
     g = spark.createDataFrame([("b", 2020, 2, 1, 2), ("a", 2020, 1, 3, 4), ("c", 2020, 1, None, None), ("d", 2019, 1, 1, 1)], "game_id string, season int, week int, home_score int, away_score int")
     assert [r["game_id"] for r in tables.training_read(g, 2020, ["week", "game_id"]).collect()] == ["a", "b"]
