@@ -10,6 +10,8 @@ import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -138,3 +140,88 @@ def batches_of_bytes(lengths: Sequence[int], limit: int = SLICE_BYTES) -> Iterat
         size += n + 1
     if at < len(lengths):
         yield at, len(lengths)
+
+
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def bytes_in(some: bytes) -> np.ndarray:
+    """For each byte whether it is one of these."""
+    return np.isin(np.arange(256), list(some))
+
+
+def _blocks(texts: list[bytes], gaps: np.ndarray) -> Iterator[tuple[bytes, list[int]]]:
+    """The texts in blocks of about a slice, and where in the block texts begin. A longer text is cut at gaps.
+
+    A line feed stands before each text, and a blank where one goes on.
+    """
+    held: list[bytes] = []
+    size = 0
+
+    def together() -> tuple[bytes, list[int]]:
+        return b"\n" + b"\n".join(held) + b"\n", np.concatenate(([0], np.cumsum([len(t) + 1 for t in held[:-1]], dtype=np.int64))).tolist()
+
+    for t in texts:
+        if held and size + len(t) > SLICE_BYTES:
+            yield together()
+            held, size = [], 0
+        if len(t) <= 2 * SLICE_BYTES:
+            held.append(t)
+            size += len(t) + 1
+            continue
+        ends = np.flatnonzero(gaps[np.frombuffer(t, np.uint8)])
+        at = 0
+        while at < len(t):
+            k = np.searchsorted(ends, at + SLICE_BYTES)
+            cut = int(ends[k]) if k < len(ends) else len(t)
+            yield (b" " if at else b"\n") + t[at:cut] + b" ", [] if at else [0]
+            at = cut
+    if held:
+        yield together()
+
+
+class Words:
+    """All words of some texts in order, A-Z as a-z: hashes, bytes, the pieces they are in, and each text's first.
+
+    gaps: the bytes between words, line feed and blank among them; breaks: those of them that end a
+    piece, line feed among them if there are any. Without breaks, a piece isn't told.
+    """
+
+    def __init__(self, texts: list[bytes], gaps: np.ndarray, breaks: np.ndarray | None = None, seed: int = 0):
+        whole, hashes, starts, stops, pieces, begins = [], [], [], [], [], []
+        at = piece = 0
+        for block, texts_at in _blocks(texts, gaps):
+            data = np.frombuffer(block, np.uint8)
+            gap = gaps[data]
+            edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1  # both ends are gaps, so words begin and end in turn
+            start, stop = edge[::2], edge[1::2]
+            value = _LETTER[data]
+            value *= _powers(_ODD, len(data))
+            total = prefix_sums(value)
+            hashes.append(mixed((total[stop] - total[start]) * _powers(_INV, len(data))[start] + (stop - start).astype(np.uint64) + np.uint64(seed)))
+            if breaks is not None:
+                ended = np.cumsum(breaks[data])
+                pieces.append(ended[start] + piece)
+                piece += int(ended[-1])
+            starts.append(start + at)
+            stops.append(stop + at)
+            begins.extend(x + at for x in texts_at)
+            whole.append(_LOWER[data])
+            at += len(data)
+        joined = lambda xs, kind: np.concatenate(xs) if xs else np.zeros(0, kind)
+        self.data, self.hashes, self.pieces = joined(whole, np.uint8), joined(hashes, np.uint64), joined(pieces, np.int64)
+        self.starts, self.stops = joined(starts, np.int64), joined(stops, np.int64)
+        self.first = np.append(np.searchsorted(self.starts, np.array(begins, np.int64)), len(self.starts))
+
+    def strings(self, at: np.ndarray) -> pa.Array:
+        """The words at these places of the order."""
+        sizes = self.stops[at] - self.starts[at]
+        offsets = prefix_sums(sizes)
+        chars = self.data[np.repeat(self.starts[at] - offsets[:-1], sizes) + np.arange(offsets[-1])]
+        return pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(chars))
+
+    def phrases(self, at: np.ndarray, size: int) -> pa.Array:
+        """The phrases of `size` words that begin at these places, joined by blanks."""
+        parts = [self.strings(at + k) for k in range(size)]
+        return parts[0] if size == 1 else pc.binary_join_element_wise(*parts, " ")
