@@ -10,6 +10,7 @@ from panelforge.llm.centroids import centroid_clusters
 from panelforge.llm.common import table
 from panelforge.llm.compact_windows import repeated_passages
 from panelforge.llm.hnsw import near_vectors
+from panelforge.llm.lm_scoring import lm_scores
 from panelforge.llm.mixing import mix_sources, taken_words
 from panelforge.llm.ngram_join import jaccard_components
 from panelforge.llm.phrases import collocations
@@ -65,11 +66,15 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_clusters(table(spark, sf_dir, "embeddings"))
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mix_sources, op2_ngram_jaccard, op3_sentencepiece, op4_hnsw_near_dedup, op5_warc, op6_quality_rules, op7_secret_scan, op8_toxicity, op9_compact_windows, op10_shards, op11_centroid_clusters, op13_collocations)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mix_sources, op2_ngram_jaccard, op3_sentencepiece, op4_hnsw_near_dedup, op5_warc, op6_quality_rules, op7_secret_scan, op8_toxicity, op9_compact_windows, op10_shards, op11_centroid_clusters, op12_lm_scoring, op13_collocations)}
 
 ORACLES: dict[str, str] = {
     "op2_ngram_jaccard": r"""
