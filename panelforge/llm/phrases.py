@@ -25,11 +25,13 @@ are ignored, whatever their names.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,12 +45,16 @@ SALTS = 64
 BROADCAST_LANGS = 100_000
 BREAKS = bytes_in(b".,;:!?\n\x0b\x0c\r")
 GAPS = BREAKS | bytes_in(b" \t")
-COUNTS = "lang string, phrase string, size int, key long, f long"
+COUNTS = "lang string, phrase string, size int, f long"
 
 
-def _counts(w: Words, places: np.ndarray, keys: np.ndarray, size: int) -> tuple[pa.Array, int, np.ndarray, np.ndarray]:
-    keys, first, times = np.unique(keys, return_index=True, return_counts=True)
-    return w.phrases(places[first], size), size, keys, times
+def _words(texts: list[bytes], lang: str) -> Words:
+    return Words(texts, GAPS, BREAKS, zlib.crc32(lang.encode()))
+
+
+def _counts(w: Words, places: np.ndarray, keys: np.ndarray, size: int) -> tuple[pa.Array, int, np.ndarray]:
+    _, first, times = np.unique(keys, return_index=True, return_counts=True)
+    return w.phrases(places[first], size), size, times
 
 
 def _pairs(w: Words, words_filter) -> tuple[np.ndarray, np.ndarray]:
@@ -63,7 +69,7 @@ def _longer(h: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 def _of_words(w: Words):
-    yield pa.array([None], pa.string()), 0, np.zeros(1, np.uint64), np.array([len(w.hashes)])
+    yield pa.array([None], pa.string()), 0, np.array([len(w.hashes)])
     yield _counts(w, np.arange(len(w.hashes)), w.hashes, 1)
 
 
@@ -90,12 +96,10 @@ def _count(batches: Iterator[pa.RecordBatch], what) -> Iterator[pa.RecordBatch]:
 
     def rows(held):
         for lang, texts in held.items():
-            seed = int.from_bytes(lang.encode()[:64].ljust(8, b"\0")[-8:], "little") ^ len(lang)
-            for phrases, size, keys, times in what(Words(texts, GAPS, BREAKS, seed & 0xFFFFFFFF)):
-                n = len(keys)
-                for i in range(0, n, 1 << 16):
-                    k = min(n - i, 1 << 16)
-                    yield pa.RecordBatch.from_arrays([pa.repeat(lang, k), phrases.slice(i, k), pa.array(np.full(k, size, np.int32)), pa.array(keys[i : i + k].view(np.int64)), pa.array(times[i : i + k].astype(np.int64))], names=["lang", "phrase", "size", "key", "f"])
+            for phrases, size, times in what(_words(texts, lang)):
+                for i in range(0, len(times), 1 << 16):
+                    k = min(len(times) - i, 1 << 16)
+                    yield pa.RecordBatch.from_arrays([pa.repeat(lang, k), phrases.slice(i, k), pa.array(np.full(k, size, np.int32)), pa.array(times[i : i + k].astype(np.int64))], names=["lang", "phrase", "size", "f"])
 
     held: dict[str, list[bytes]] = {}
     size = 0
@@ -110,9 +114,24 @@ def _count(batches: Iterator[pa.RecordBatch], what) -> Iterator[pa.RecordBatch]:
     yield from rows(held)
 
 
+def _hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The keys of words and pairs (columns lang, phrase), as the passes over the texts make them."""
+    for batch in batches:
+        langs, phrases = batch.column(0), batch.column(1)
+        for lang in langs.unique().to_pylist():
+            w = _words([p.encode() for p in phrases.filter(pc.equal(langs, lang)).to_pylist()], lang)
+            key, two = w.hashes[w.first[:-1]], np.diff(w.first) == 2
+            key[two] = _longer(key[two], w.hashes[w.first[:-1][two] + 1])
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64))], names=["key"])
+
+
+def _filter(frequent: DataFrame):
+    return bloom_of(frequent.select("lang", "phrase").mapInArrow(_hash, "key long"), "key", frequent.count())
+
+
 def _counted(texts: DataFrame, what, min_count: int, label: str) -> DataFrame:
-    """lang, phrase, size, key (its hash), f of the frequent phrases. The row without a phrase counts all words."""
-    counts = texts.mapInArrow(partial(_count, what=what), COUNTS).groupBy("lang", "phrase", "size").agg(F.min("key").alias("key"), F.sum("f").alias("f"))
+    """lang, phrase, size, f of the frequent phrases. The row without a phrase counts all words."""
+    counts = texts.mapInArrow(partial(_count, what=what), COUNTS).groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
     return staged(counts.filter((F.col("f") >= min_count) | (F.col("size") == 0)), label)
 
 
@@ -161,9 +180,9 @@ def collocations(docs: DataFrame, min_count: int = 100, top: int = 2000) -> Data
 
     words = _counted(texts, _of_words, min_count, "phrase-words")
     singles, totals = words.filter("size = 1"), words.filter("size = 0").select(F.col("lang").alias("_lang"), F.col("f").alias("n"))
-    filters = [bloom_of(singles, "key", singles.count())]
+    filters = [_filter(singles)]
     pairs = _counted(texts, partial(_of_pairs, sent=spark.sparkContext.broadcast(filters)), min_count, "phrase-pairs")
-    filters = [*filters, bloom_of(pairs, "key", pairs.count())]
+    filters = [*filters, _filter(pairs)]
     longer = _counted(texts, partial(_of_longer, sent=spark.sparkContext.broadcast(filters)), min_count, "phrase-longer")
 
     stream = pairs.unionByName(longer).select("lang", "phrase", "size", F.col("f").alias("a"), F.split("phrase", " ").alias("w"))
