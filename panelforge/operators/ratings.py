@@ -1,44 +1,63 @@
-"""Ratings: an ordered Elo fold per pool, and a ridge paired comparison."""
+"""Ratings: Elo by relaxation over whole histories, and a ridge paired comparison."""
 
 from __future__ import annotations
 
-import math
-
-import pandas as pd
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-HISTORY = "pool string, game_id long, season long, week long, home_team string, away_team string, home_pre double, away_pre double, home_post double, away_post double"
+from panelforge.sources.scratch import Rounds
+
 
+def elo_move(gap: Column, margin: Column, k: float) -> Column:
+    """What the home side gains: by the result against its expectation, the margin, and less for favourites that win."""
+    expected = 1 / (1 + F.pow(F.lit(10.0), -gap / 400))
+    won = F.when(margin == 0, 0.5).otherwise((margin > 0).cast("double"))
+    damp = F.when((gap > 0) & (margin > 0), 2.2 / (gap * 0.001 + 2.2)).otherwise(1.0)
+    return k * F.log(F.abs(margin) + 1) * damp * (won - expected)
 
-def elo_history(games: DataFrame, k: float = 20, home: float = 48, initial: float = 1500, regress: float = 0.33, mean: float = 1505) -> DataFrame:
+
+def elo_history(games: DataFrame, k: float = 20, home: float = 48, initial: float = 1500, regress: float = 0.33, mean: float = 1505, tolerance: float = 1e-10) -> DataFrame:
     """Ratings before and after every game of (pool, game_id, season, week, teams, scores).
 
-    An ordered recurrence within a pool, independent between pools: one task holds one pool's games.
-    Ratings move towards the mean when a team's pool enters a new season. A tie moves nothing.
-    """
+    A team's rating before a game is the first one and all its gains since, each season's end drawing them to the
+    mean: a running sum over the team's own games, given the gains. Gains follow from the ratings. Both take turns
+    over all games at once until no gain changes by more than `tolerance`. A sweep makes those games exact
+    whose teams' earlier games are, so it ends at the latest when the longest chain of games is through; as
+    a gain hardly depends on far gains, a few sweeps do. Every sweep is two shuffles, by team and by game.
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        ratings: dict[str, float] = {}
-        season, rows = None, []
-        for g in pdf.sort_values(["season", "week", "game_id"]).itertuples(index=False):
-            if season is not None and g.season != season:
-                ratings = {t: r * (1 - regress) + mean * regress for t, r in ratings.items()}
-            season = g.season
-            a, b = ratings.get(g.home_team, initial), ratings.get(g.away_team, initial)
-            gap, margin = a - b + home, g.home_score - g.away_score
-            expected = 1 / (1 + 10 ** (-gap / 400))
-            won = 0.5 if margin == 0 else float(margin > 0)
-            # favourites at home that win gain less for the margin
-            damp = 2.2 / (gap * 0.001 + 2.2) if gap > 0 and margin > 0 else 1.0
-            move = k * math.log(abs(margin) + 1) * damp * (won - expected)
-            ratings[g.home_team], ratings[g.away_team] = a + move, b - move
-            rows.append((g.pool, g.game_id, g.season, g.week, g.home_team, g.away_team, a, b, a + move, b - move))
-        return pd.DataFrame(rows, columns=[x.split()[0] for x in HISTORY.split(", ")])
-
-    return games.groupBy("pool").applyInPandas(fold, HISTORY)
+    game_id is unique within a pool and orders the games of a week. Games without both scores, a team or a
+    season, and a team's games against itself, are left out. A pool's seasons are those with games; a team's first
+    game finds it at the initial rating. A tie moves the ratings like half a win. 0 <= regress < 1.
+    """
+    if not 0 <= regress < 1:
+        raise ValueError("regress must be in [0, 1)")
+    stay = 1 - regress
+    margin = (F.col("home_score") - F.col("away_score")).cast("double")
+    g = games.select("pool", "game_id", "season", "week", "home_team", "away_team", margin.alias("margin")).filter("margin is not null and season is not null and home_team <> away_team")
+    seasons = g.select("pool", "season").distinct().withColumn("_s", F.dense_rank().over(Window.partitionBy("pool").orderBy("season")))
+    same = g["pool"].eqNullSafe(seasons["pool"]) & (g["season"] == seasons["season"])
+    rounds = Rounds("elo")
+    state = g.join(seasons, same).select(g["*"], "_s", F.lit(0.0).alias("move"), F.lit(0.0).alias("home_pre"), F.lit(0.0).alias("away_pre"))
+    state = rounds.keep(state)
+    n = state.count()
+    own = Window.partitionBy("pool", "team").orderBy("season", "week", "game_id")
+    gains = F.coalesce(F.sum(F.col("gain") * F.pow(F.lit(stay), -F.col("_s"))).over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    start = (initial - mean) * F.pow(F.lit(stay), F.col("_s") - F.first("_s").over(own))
+    fixed = ["season", "week", "home_team", "away_team", "margin", "_s"]
+    while True:
+        sides = F.array(F.struct(F.col("home_team").alias("team"), F.col("move").alias("gain"), F.lit(True).alias("at_home")), F.struct(F.col("away_team").alias("team"), (-F.col("move")).alias("gain"), F.lit(False).alias("at_home")))
+        two = state.select("pool", "game_id", *fixed, "move", F.inline(sides)).withColumn("pre", mean + start + gains * F.pow(F.lit(stay), F.col("_s")))
+        one = two.groupBy("pool", "game_id").agg(*[F.first(c).alias(c) for c in [*fixed, "move"]], F.max(F.when(F.col("at_home"), F.col("pre"))).alias("home_pre"), F.max(F.when(~F.col("at_home"), F.col("pre"))).alias("away_pre"))
+        facts = Observation()
+        moved = one.withColumn("_new", elo_move(F.col("home_pre") - F.col("away_pre") + home, F.col("margin"), k)).observe(facts, F.max(F.abs(F.col("_new") - F.col("move"))).alias("most"), F.count("*").alias("n"))
+        state = rounds.keep(moved.select("pool", "game_id", *fixed, F.col("_new").alias("move"), "home_pre", "away_pre"))
+        if facts.get["n"] != n:
+            raise ValueError("game_id repeats within a pool")
+        if (facts.get["most"] or 0.0) <= tolerance:
+            break
+    return state.select("pool", "game_id", "season", "week", "home_team", "away_team", "home_pre", "away_pre", (F.col("home_pre") + F.col("move")).alias("home_post"), (F.col("away_pre") - F.col("move")).alias("away_post"))
 
 
 def current_ratings(history: DataFrame) -> DataFrame:

@@ -448,19 +448,60 @@ def _q8(spark, d):
     return tables.conversion_failures(tables.as_text(tables.read_table(spark, d, "orders")), {"o_orderstatus": "double", "o_orderpriority": "double", "o_totalprice": "double"})
 
 
-@query("m1_elo_history")
+def line_games(spark, d):
+    """A game per customer, at home, part and month: the quantity bought against the part's size."""
+    t = lambda name: spark.read.parquet(f"{d}/{name}.parquet")
+    lines = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
+    lines = lines.select(F.year("o_orderdate").cast("long").alias("season"), F.month("o_orderdate").cast("long").alias("week"), F.concat(F.lit("C"), "o_custkey").alias("home_team"), F.concat(F.lit("P"), "l_partkey").alias("away_team"), "l_quantity", "p_size")
+    g = lines.groupBy("season", "week", "home_team", "away_team").agg(F.sum("l_quantity").cast("long").alias("home_score"), F.sum("p_size").cast("long").alias("away_score"))
+    return g.withColumns({"pool": F.lit("all"), "game_id": F.concat_ws("_", "season", "week", "home_team", "away_team")})
+
+
+#: The same sweeps as a recursion over all games, a fixed number of them.
+ELO_SQL = """
+WITH RECURSIVE g AS (
+  SELECT concat_ws('_', season, week, home_team, away_team) AS game_id, season, week, home_team, away_team, CAST(CAST(sum(l_quantity) AS BIGINT) - sum(p_size) AS DOUBLE) AS margin
+  FROM (SELECT CAST(year(o_orderdate) AS BIGINT) AS season, CAST(month(o_orderdate) AS BIGINT) AS week, 'C' || o_custkey AS home_team, 'P' || l_partkey AS away_team, l_quantity, p_size
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey) GROUP BY ALL
+), s AS (
+  SELECT g.*, r.i FROM g JOIN (SELECT season, dense_rank() OVER (ORDER BY season) AS i FROM (SELECT DISTINCT season FROM g)) r USING (season)
+), sweeps AS (
+  SELECT 0 AS n, s.*, CAST(0 AS DOUBLE) AS move, CAST(0 AS DOUBLE) AS home_pre, CAST(0 AS DOUBLE) AS away_pre FROM s
+  UNION ALL
+  SELECT n + 1, game_id, season, week, home_team, away_team, margin, i,
+    20 * ln(abs(margin) + 1) * (CASE WHEN home_pre - away_pre + 48 > 0 AND margin > 0 THEN 2.2 / ((home_pre - away_pre + 48) * 0.001 + 2.2) ELSE 1.0 END)
+      * ((CASE WHEN margin = 0 THEN 0.5 WHEN margin > 0 THEN 1.0 ELSE 0.0 END) - 1 / (1 + pow(10, -(home_pre - away_pre + 48) / 400))) AS move, home_pre, away_pre
+  FROM (
+    SELECT n, game_id, season, week, home_team, away_team, margin, i, max(pre) FILTER (at_home) AS home_pre, max(pre) FILTER (NOT at_home) AS away_pre
+    FROM (
+      SELECT *, 1505 - 5 * pow(0.67, i - first_value(i) OVER own) + pow(0.67, i) * coalesce(sum(gain * pow(0.67, -i)) OVER (own ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pre
+      FROM (SELECT w.*, h AS at_home, CASE WHEN h THEN home_team ELSE away_team END AS team, CASE WHEN h THEN move ELSE -move END AS gain FROM sweeps w, (VALUES (true), (false)) v(h) WHERE n < 40)
+      WINDOW own AS (PARTITION BY team ORDER BY season, week, game_id)
+    ) GROUP BY ALL
+  )
+), history AS (
+  SELECT 'all' AS pool, game_id, season, week, home_team, away_team, home_pre, away_pre, home_pre + move AS home_post, away_pre - move AS away_post FROM sweeps WHERE n = 40
+)
+"""
+HISTORY = "pool game_id season week home_team away_team"
+
+
+@query("m1_elo_history", f"{ELO_SQL} SELECT * FROM history", "home_pre away_pre home_post away_post", HISTORY)
 def _m1(spark, d):
-    """Pools by the home nation's first letter; a fold in order has no practical SQL."""
-    g = games(spark, d).withColumn("pool", F.substring("home_team", 1, 1))
-    g = g.select("pool", F.xxhash64("game_id").alias("game_id"), F.col("season").cast("long").alias("season"), F.col("week").cast("long").alias("week"), "home_team", "away_team", "home_score", "away_score")
-    return ratings.elo_history(g)
+    return ratings.elo_history(line_games(spark, d))
 
 
-@query("m3_current_ratings")
+@query("m3_current_ratings", f"{ELO_SQL} SELECT pool, team, arg_max(rating, (season, week, game_id)) AS rating FROM (SELECT pool, home_team AS team, season, week, game_id, home_post AS rating FROM history UNION ALL SELECT pool, away_team, season, week, game_id, away_post FROM history) GROUP BY pool, team", "rating", "pool team")
 def _m3(spark, d):
     return ratings.current_ratings(_m1(spark, d))
 
 
+@query("j13_elo_predictions", f"{ELO_SQL} SELECT h.game_id, (coalesce(a.rating, 1500) - coalesce(b.rating, 1500) + 48) / 25 AS spread, 1 / (1 + pow(10, -(coalesce(a.rating, 1500) - coalesce(b.rating, 1500) + 48) / 400)) AS home_win_probability FROM history h LEFT JOIN (SELECT team, arg_max(rating, (season, week, game_id)) AS rating FROM (SELECT home_team AS team, season, week, game_id, home_post AS rating FROM history UNION ALL SELECT away_team, season, week, game_id, away_post FROM history) GROUP BY team) a ON a.team = h.home_team LEFT JOIN (SELECT team, arg_max(rating, (season, week, game_id)) AS rating FROM (SELECT home_team AS team, season, week, game_id, home_post AS rating FROM history UNION ALL SELECT away_team, season, week, game_id, away_post FROM history) GROUP BY team) b ON b.team = h.away_team", "spread home_win_probability", "game_id")
+def _j13(spark, d):
+    g = line_games(spark, d)
+    return ratings.elo_predictions(g, ratings.current_ratings(ratings.elo_history(g))).select("game_id", "spread", "home_win_probability")
+
+
 @query("m6_ridge_strength")
 def _m6(spark, d):
     return ratings.ridge_strength(games(spark, d))
