@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.functions import columns as C
-from panelforge.operators import backtest, conditions, folds, learn, matchups, panels, quality, ratings
+from panelforge.operators import backtest, conditions, folds, learn, matchups, panels, quality, ratings, training
 from panelforge.plans.adapter import DEFENSE, GAMES_SQL, OFFENSE, PLAYS_SQL, SPEC, defense, games, offense, plays, results
 from panelforge.sources import tables
+from panelforge.sources import registry
+from panelforge.sources.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,7 +21,8 @@ DIGITS = 6
 
 def shown(df: DataFrame) -> DataFrame:
     """Doubles rounded, whole numbers as bigint: the same in any engine."""
-    out = {"double": lambda c: F.round(F.col(c), DIGITS), "float": lambda c: F.round(F.col(c).cast("double"), DIGITS), "int": lambda c: F.col(c).cast("bigint"), "tinyint": lambda c: F.col(c).cast("bigint")}
+    twice = lambda x: F.round(F.round(x, DIGITS + 3), DIGITS)  # noqa: E731  ties of a mean are ties in any engine
+    out = {"double": lambda c: twice(F.col(c)), "float": lambda c: twice(F.col(c).cast("double")), "int": lambda c: F.col(c).cast("bigint"), "tinyint": lambda c: F.col(c).cast("bigint")}
     return df.select([out.get(t, F.col)(c).alias(c) for c, t in df.dtypes])
 
 
@@ -29,7 +32,7 @@ def query(name: str, sql: str | None = None, doubles: str = "", rest: str = "",
     def keep(f: Callable[[SparkSession, str], DataFrame]):
         QUERIES[name] = lambda spark, d: shown(f(spark, d))
         if sql:
-            cols = [f"round(CAST({x} AS DOUBLE), {DIGITS}) AS {x}" for x in doubles.split()] + rest.split()
+            cols = [f"CAST(round(CAST(CAST({x} AS DOUBLE) AS DECIMAL(38, {DIGITS + 3})), {DIGITS}) AS DOUBLE) AS {x}" for x in doubles.split()] + rest.split()
             ORACLES[name] = f"WITH {PLAYS_SQL.strip()}, {ctes + ', ' if ctes else ''}answer AS ({sql}) SELECT {', '.join(cols)} FROM answer"
         return f
 
@@ -525,4 +528,95 @@ def _m8(spark, d):
     return learn.stacked(results(spark, d).select("game_id", "actual", "prediction", "other_prediction"), ["prediction", "other_prediction"], "actual")[0].select("game_id", "stacked")
 
 
+def walk_ridge_sql(name: str, source: str, models: dict[str, list[str]], least: int) -> str:
+    """CTEs ending in `name`: rows of `source` whose season has `least` seasons before, and predictions of ridges on one or two columns, in closed form."""
+    x = sorted({c for used in models.values() for c in used})
+    one, two = x if len(x) == 2 else (x[0], x[0])
+    parts = []
+    for model, used in models.items():
+        if len(used) == 1:
+            c, d, u = ("z1", "d1", "u") if used[0] == one else ("z2", "d2", "v")
+            parts.append(f"my + {c} * {u} / (n + 1) AS {model}_prediction")
+        else:
+            parts.append(f"my + (z1 * ((n + 1) * u - b * v) + z2 * ((n + 1) * v - b * u)) / ((n + 1) * (n + 1) - b * b) AS {model}_prediction")
+    return f"""{name}_f AS (SELECT season AS fold FROM (SELECT season, row_number() OVER (ORDER BY season) AS i FROM (SELECT DISTINCT season FROM {source})) WHERE i > {least}),
+{name}_m AS (SELECT fold, count(*) AS n, avg({one}) AS m1, avg({two}) AS m2, CASE WHEN stddev_pop({one}) < 1e-8 THEN 1 ELSE stddev_pop({one}) END AS d1, CASE WHEN stddev_pop({two}) < 1e-8 THEN 1 ELSE stddev_pop({two}) END AS d2, avg(actual) AS my FROM {name}_f JOIN {source} ON season < fold GROUP BY fold),
+{name}_s AS (SELECT m.fold, any_value(n) AS n, any_value(m1) AS m1, any_value(m2) AS m2, any_value(d1) AS d1, any_value(d2) AS d2, any_value(my) AS my, sum(({one} - m1) / d1 * ({two} - m2) / d2) AS b, sum(({one} - m1) / d1 * (actual - my)) AS u, sum(({two} - m2) / d2 * (actual - my)) AS v FROM {name}_m m JOIN {source} ON season < m.fold GROUP BY m.fold),
+{name} AS (SELECT * EXCLUDE (fold, n, m1, m2, d1, d2, my, b, u, v, z1, z2), {', '.join(parts)} FROM (SELECT r.*, s.*, ({one} - m1) / d1 AS z1, ({two} - m2) / d2 AS z2 FROM {source} r JOIN {name}_s s ON r.season = s.fold))"""
+
+
+BASE_MODELS = {"both": ["other_prediction", "prediction"], "one": ["prediction"]}
+STACK = {"stacked": ["both_prediction", "one_prediction"]}
+OOF_SQL = f"{GAMES_SQL}, {walk_ridge_sql('oof', 'results', BASE_MODELS, 3)}"
+STACK_SQL = f"{OOF_SQL}, {walk_ridge_sql('stacks', 'oof', STACK, 1)}"
+TOLD_SQL = "told AS (SELECT model, season, count(*) AS n, avg(abs(p - actual)) AS mae, sqrt(avg((p - actual) * (p - actual))) AS rmse, avg(p - actual) AS bias, avg(power(1 / (1 + exp(-p / 5.5)) - CASE WHEN actual > 0 THEN 1.0 ELSE 0.0 END, 2)) AS brier, avg(CASE WHEN (p > 0) = (actual > 0) THEN 1.0 ELSE 0.0 END) AS hit_rate FROM (SELECT season, actual, unnest(['both_prediction', 'one_prediction', 'stacked_prediction']) AS model, unnest([both_prediction, one_prediction, stacked_prediction]) AS p FROM stacks) GROUP BY GROUPING SETS ((model, season), (model)))"
+
+
+def _out_of_fold(spark, d):
+    r = results(spark, d)
+    return training.out_of_fold(r, "season", BASE_MODELS, training.fold_coefficients(r, "season", BASE_MODELS, "actual"))
+
+
+@query("m8_out_of_fold", "SELECT game_id, season, both_prediction, one_prediction FROM oof", "both_prediction one_prediction", "game_id season", OOF_SQL)
+def _m8_oof(spark, d):
+    return _out_of_fold(spark, d).select("game_id", "season", "both_prediction", "one_prediction")
+
+
+@query("m8_walk_forward_stack", "SELECT game_id, season, stacked_prediction FROM stacks", "stacked_prediction", "game_id season", STACK_SQL)
+def _m8_stack(spark, d):
+    return training.stacked_walk_forward(_out_of_fold(spark, d), "season", STACK["stacked"], "actual")[0].select("game_id", "season", "stacked_prediction")
+
+
+@query("m8_diagnostics", "SELECT * FROM told", "mae rmse bias brier hit_rate", "model season n", f"{STACK_SQL}, {TOLD_SQL}")
+def _m8_told(spark, d):
+    rows = training.stacked_walk_forward(_out_of_fold(spark, d), "season", STACK["stacked"], "actual")[0]
+    return training.diagnostics(rows, "season", ["both_prediction", "one_prediction", "stacked_prediction"], "actual")
+
+
+@query("m17_training_run", "SELECT 'r1' AS run, (SELECT count(*) FROM oof_f) AS folds, (SELECT max(n) FROM oof_m) AS most_training_rows, (SELECT arg_min(model, mae) FROM told WHERE season IS NULL) AS best_model, (SELECT min(mae) FROM told WHERE season IS NULL) AS best_mae, mae AS stacked_mae, brier AS stacked_brier FROM told WHERE season IS NULL AND model = 'stacked_prediction'", "best_mae stacked_mae stacked_brier", "run folds most_training_rows best_model", f"{STACK_SQL}, {TOLD_SQL}")
+def _m17(spark, d):
+    return training.training_run(results(spark, d), "season", BASE_MODELS, "actual", scratch_path(spark, "training"), "r1", "2024-01-01 00:00:00").drop("trained_at", "parameters")
+
+
+def logged(spark, d) -> registry.PredictionRegistry:
+    """Predictions in two versions, actuals late and corrected, batches out of order and one of them twice; two seasons compacted."""
+    r = results(spark, d).select("game_id", F.col("season").cast("long").alias("season"), "week", "prediction", "other_prediction", "actual").persist()
+    at = lambda day: F.to_timestamp(F.lit(f"2024-01-{day:02d} 00:00:00")).alias("logged_at")
+    log = registry.PredictionRegistry(spark, scratch_path(spark, "registry"))
+    first = r.select("game_id", "season", F.lit("m").alias("model"), "prediction", F.lit("v1").alias("model_version"), at(1))
+    second = r.filter("week % 2 = 0").select("game_id", "season", F.lit("m").alias("model"), F.col("other_prediction").alias("prediction"), F.lit("v2").alias("model_version"), at(2))
+    log.log_actuals(r.filter("week = 1").select("game_id", "season", (F.col("actual") + 1).alias("actual"), at(9)), "corrected")
+    log.log_predictions(second, "second")
+    log.log_predictions(first, "first")
+    log.log_actuals(r.filter("week <= 6").select("game_id", "season", "actual", at(8)), "actuals")
+    log.compact([1993, 1994], "compacted")
+    log.log_predictions(first, "first")
+    r.unpersist()
+    return log
+
+
+LOG_SQL = f"""{GAMES_SQL}, log AS (SELECT game_id, 'm' AS model, season, CASE WHEN week % 2 = 0 THEN 'v2' ELSE 'v1' END AS model_version, CASE WHEN week % 2 = 0 THEN other_prediction ELSE prediction END AS prediction, CASE WHEN week = 1 THEN actual + 1 WHEN week <= 6 THEN actual END AS actual_value FROM results)"""
+
+
+@query("s19_prediction_registry", "SELECT *, prediction - actual_value AS prediction_error, CAST((prediction > 0) = (actual_value > 0) AS INTEGER) AS right_side FROM log", "prediction actual_value prediction_error", "game_id model season model_version right_side", LOG_SQL)
+def _s19(spark, d):
+    return logged(spark, d).read().select("game_id", "model", "season", "model_version", "prediction", "actual_value", "prediction_error", F.col("right_side").cast("int").alias("right_side"))
+
+
+@query("s19_model_performance", "SELECT model, model_version, count(*) AS n, count(actual_value) AS graded, avg(abs(prediction - actual_value)) AS mae, avg(CAST(CAST((prediction > 0) = (actual_value > 0) AS INTEGER) AS DOUBLE)) AS hit_rate FROM log GROUP BY model, model_version", "mae hit_rate", "model model_version n graded", LOG_SQL)
+def _s19_performance(spark, d):
+    return registry.performance(logged(spark, d).read())
+
+
+@query("s16_slice_switch", "SELECT season, count(*) AS games, sum(CASE WHEN season IN (1993, 1994) THEN home_score + 100 ELSE home_score END) AS points FROM games WHERE season <> 1995 GROUP BY season", "", "season games points", GAMES_SQL)
+def _s16(spark, d):
+    """Seasons written, two of them replaced and one ended in one step, old versions deleted."""
+    g = games(spark, d).select("game_id", F.col("season").cast("long").alias("season"), "home_score")
+    kept = registry.SliceTable(spark, scratch_path(spark, "slices"), ["season"])
+    kept.write(g)
+    kept.replace(g.filter("season in (1993, 1994)").withColumn("home_score", F.col("home_score") + 100), [(1993,), (1994,), (1995,)])
+    kept.vacuum(1)
+    return kept.read().groupBy("season").agg(F.count("*").alias("games"), F.sum("home_score").alias("points"))
+
+
 from panelforge.plans import marts as _marts  # noqa: E402, F401  registers its queries
