@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -181,12 +183,53 @@ def residual_histogram(df: DataFrame, p: str = "prediction", a: str = "actual",
     return r.withColumn("_k", F.lit(1)).join(ends, "_k").groupBy(F.coalesce(at, F.lit(0)).cast("long").alias("bin")).agg(F.count("*").alias("n"), F.min("r").alias("least"))
 
 
+def exact_quantiles(df: DataFrame, column: str, levels: Sequence[float], accuracy: int = 10000) -> DataFrame:
+    """level, value: exact quantiles (between two values by straight line), with no buffer that grows with the data.
+
+    A mergeable sketch gives an interval around each wanted rank, values outside of all intervals are only counted,
+    and those inside, some 4 / accuracy of the rows a level, are ordered interval by interval. Where a sketch is
+    further off than it says, the missing rank is looked for among the whole gap between two intervals.
+    """
+    spark = df.sparkSession
+    r = df.select(F.col(column).cast("double").alias("r")).filter("r is not null and not isnan(r)").groupBy("r").agg(F.count("*").alias("k"))
+    wide = 2.0 / accuracy
+    around = sorted({min(max(p + d, 0.0), 1.0) for p in levels for d in (-wide, wide)})
+    number = F.when(~F.isnan(F.col(column).cast("double")), F.col(column).cast("double"))
+    cuts = df.agg(F.percentile_approx(number, list(around), accuracy).alias("c"), F.count(number).alias("n")).first()  # two numbers a level
+    n, edges = cuts["n"], sorted(set(cuts["c"] or []))
+    if not n:
+        return spark.createDataFrame([], "level double, value double")
+    at = F.array(*[F.lit(float(x)) for x in edges])
+    place = F.size(F.filter(at, lambda x: x < F.col("r")))  # in (edges[i - 1], edges[i]]
+    counted = r.withColumn("_at", place)
+    totals = {x["_at"]: x["k"] for x in counted.groupBy("_at").agg(F.sum("k").alias("k")).collect()}  # an interval a row
+    before, run = {}, 0
+    for i in range(len(edges) + 1):
+        before[i], run = run, run + totals.get(i, 0)
+    wanted = {int(k) for p in levels for k in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))}
+    open_ = sorted({i for i in totals for k in wanted if before[i] <= k < before[i] + totals[i]})
+    offsets = F.create_map(*[F.lit(x) for i in open_ for x in (i, before[i])])
+    own = Window.partitionBy("_at").orderBy("r")
+    ranked = counted.filter(F.col("_at").isin(open_)).withColumn("_end", F.sum("k").over(own) + offsets[F.col("_at")])
+    ranks = F.array(*[F.lit(k) for k in sorted(wanted)])
+    hit = ranked.select("r", F.explode(F.filter(ranks, lambda x: (x < F.col("_end")) & (x >= F.col("_end") - F.col("k")))).alias("rank")).collect()  # two rows a level
+    value = {x["rank"]: x["r"] for x in hit}
+    out = []
+    for p in levels:
+        x = p * (n - 1)
+        lo, hi = value[math.floor(x)], value[math.ceil(x)]
+        out.append((float(p), lo + (hi - lo) * (x - math.floor(x))))
+    return spark.createDataFrame(out, "level double, value double")
+
+
 def normal_quantiles(df: DataFrame, p: str = "prediction", a: str = "actual") -> DataFrame:
-    """Pairs for a Q-Q view of residuals: percentiles 1 to 99 of the residuals, exact, and the probability each stands for."""
+    """Pairs for a Q-Q view of residuals: percentiles 1 to 99, exact, and what a normal of the same mean and deviation has there."""
     r = df.select((F.col(a) - F.col(p)).alias("r")).filter("r is not null")
-    levels = [k / 100 for k in range(1, 100)]
-    found = r.agg(F.percentile("r", F.array(*[F.lit(x) for x in levels])).alias("v"))
-    return found.select(F.posexplode("v").alias("_i", "residual")).select((F.col("_i") + 1).alias("percent"), "residual")
+    found = exact_quantiles(r, "r", [k / 100 for k in range(1, 100)])
+    normal = df.sparkSession.createDataFrame([(k / 100, k, NormalDist().inv_cdf(k / 100)) for k in range(1, 100)], "level double, percent long, z double")
+    facts = r.agg(F.avg("r").alias("m"), F.stddev_pop("r").alias("s")).withColumn("_k", F.lit(1))
+    out = found.join(F.broadcast(normal), "level").withColumn("_k", F.lit(1)).join(F.broadcast(facts), "_k")  # 99 rows, one row
+    return out.select("percent", F.col("value").alias("residual"), (F.col("m") + F.col("z") * F.col("s")).alias("expected"))
 
 
 def scored_with_fallback(games: DataFrame, models: Sequence[str], line: str = "line", least: float = 3.0) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from panelforge.operators import backtest, matchups
 from panelforge.plans.adapter import GAMES_SQL, defense, games, offense, plays, results
 from panelforge.plans.queries import DEFENSE_SQL, OFFENSE_SQL, query
 from panelforge.sources import tables
+from panelforge.sources.scratch import scratch_path
 
 OFF = ("value_l4", "success_l4", "explosive_l4", "near_td_l4")
 
@@ -104,11 +107,14 @@ def _p64(spark, d):
     return g.select("game_id", "season", "week", F.upper(F.trim("home_team")).alias("home_team"), "away_team", "predicted", "is_playoff", F.lit(None).cast("string").alias("gametime"))
 
 
-@query("j12_consistency", "SELECT season, count(*) AS games, CAST(0 AS BIGINT) AS mismatches FROM games GROUP BY season", "", "season games mismatches", GAMES_SQL)
+@query("j12_consistency", "SELECT g.season, count(*) AS games, count(*) FILTER (g.week = 3 AND p.value_l4 IS NOT NULL) AS mismatches FROM games g LEFT JOIN offense p ON p.team = g.home_team AND p.season = g.season AND p.week = 2 GROUP BY g.season", "", "season games mismatches", f"{GAMES_SQL}, {OFFENSE_SQL}")
 def _j12(spark, d):
+    """A written mart against the panel: home values of week 3 are off by one in the mart."""
     o = offense(spark, d)
     g = matchups.lagged_sides(games(spark, d), o, "team", "season", "week", ["value_l4"])
-    return matchups.consistency(g, o, "team", "season", "week", "value_l4")
+    path = scratch_path(spark, "mart")
+    g.withColumn("home_value_l4", F.when(F.col("week") == 3, F.col("home_value_l4") + 1).otherwise(F.col("home_value_l4"))).write.parquet(path)
+    return matchups.consistency(spark.read.parquet(path), o, "team", "season", "week", "value_l4")
 
 
 @query("j3_games_with_weather", "SELECT g.game_id, g.season, g.week, w.wind, w.temp, w.roof, g.line FROM games g LEFT JOIN (SELECT concat_ws('_', CAST(season AS VARCHAR), CAST(week AS VARCHAR), opp, team) AS game_id, max(wind) AS wind, max(temp) AS temp, max(roof) AS roof FROM plays GROUP BY 1) w USING (game_id)", "line", "game_id season week wind temp roof", GAMES_SQL)
@@ -127,7 +133,10 @@ def _m11(spark, d):
     return backtest.scored_with_fallback(g, ["ensemble", "other_prediction"]).select("game_id", "model", "predicted_spread", "edge", "home_win_probability", "recommendation", "confidence")
 
 
-@query("m16_residual_quantiles", f"SELECT unnest(range(1, 100)) AS percent, unnest(quantile_cont(actual - prediction, {[k / 100 for k in range(1, 100)]})) AS residual FROM results", "residual", "percent", GAMES_SQL)
+NORMAL = ", ".join(f"({k}, {NormalDist().inv_cdf(k / 100)!r})" for k in range(1, 100))
+
+
+@query("m16_residual_quantiles", f"SELECT q.percent, q.residual, f.m + v.z * f.s AS expected FROM (SELECT unnest(range(1, 100)) AS percent, unnest(quantile_cont(actual - prediction, {[k / 100 for k in range(1, 100)]})) AS residual FROM results) q JOIN (VALUES {NORMAL}) v(p, z) ON p = q.percent, (SELECT avg(actual - prediction) AS m, stddev_pop(actual - prediction) AS s FROM results) f", "residual expected", "percent", GAMES_SQL)
 def _m16q(spark, d):
     return backtest.normal_quantiles(results(spark, d))
 
