@@ -11,7 +11,7 @@ from panelforge.functions import columns as C
 from panelforge.operators import backtest, conditions, folds, learn, matchups, panels, quality, ratings, training
 from panelforge.plans.adapter import DEFENSE, GAMES_SQL, OFFENSE, PLAYS_SQL, SPEC, defense, games, offense, plays, results
 from panelforge.sources import tables
-from panelforge.sources import registry
+from panelforge.sources import discovery, registry
 from panelforge.sources.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -619,4 +619,45 @@ def _s16(spark, d):
     return kept.read().groupBy("season").agg(F.count("*").alias("games"), F.sum("home_score").alias("points"))
 
 
+DISCOVERED = {"orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"], "customer": ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]}
+
+
+def _discovery_sql() -> str:
+    one = []
+    for t, columns in DISCOVERED.items():
+        for i, c in enumerate(columns):
+            v = f"CAST({c} AS VARCHAR)"
+            kinds = " ".join(f"WHEN regexp_matches({v}, '{p.removeprefix('(?i)').removeprefix('(?s)')}'{', ' + chr(39) + 'i' + chr(39) if p.startswith('(?i)') else ''}) THEN '{k}'" for k, p in discovery.KINDS.items() if k != "string")
+            sample = " || '|' || ".join(f"coalesce(min(md5({v}) || {v}) FILTER (substr(md5({v}), 1, 1) IN ({', '.join(chr(39) + x + chr(39) for x in part)}))[33:], '')" for part in discovery.THIRDS)
+            one.append(f"SELECT '{t}' AS table_name, '{c}' AS column_name, {i + 1} AS position, CASE string_agg(DISTINCT CASE {kinds} ELSE 'string' END, '+' ORDER BY CASE {kinds} ELSE 'string' END) WHEN 'bigint' THEN 'bigint' WHEN 'boolean' THEN 'boolean' WHEN 'double' THEN 'double' WHEN 'bigint+double' THEN 'double' WHEN 'date' THEN 'date' WHEN 'timestamp' THEN 'timestamp' WHEN 'date+timestamp' THEN 'timestamp' ELSE 'string' END AS type, count(*) AS row_count, count(*) FILTER ({c} IS NULL) AS null_count, max(length({v})) AS longest, {sample} AS samples FROM {t}")
+    return " UNION ALL ".join(one)
+
+
+def discovered(spark, d):
+    found = [discovery.discover(tables.as_text(tables.read_table(spark, d, t).select(*columns)), t) for t, columns in DISCOVERED.items()]
+    return found[0].unionByName(found[1])
+
+
+@query("s18_discovery", _discovery_sql(), "", "table_name column_name position type row_count null_count longest samples")
+def _s18d(spark, d):
+    return discovered(spark, d).withColumn("samples", F.array_join("samples", "|"))
+
+
+@query("s18_ddl", f"SELECT table_name, 'CREATE TABLE ' || table_name || ' (' || string_agg('`' || column_name || '` ' || type || CASE WHEN null_count = 0 THEN ' NOT NULL' ELSE '' END, ', ' ORDER BY position) || ')' AS statement FROM ({_discovery_sql()}) GROUP BY table_name", "", "table_name statement")
+def _s18ddl(spark, d):
+    return discovery.ddl(discovered(spark, d))
+
+
+@query("s8_corrupt_rows", "SELECT count(*) AS row_count, count(*) FILTER (o_orderkey % 97 = 7) AS bad_rows, CAST(sum(o_custkey) FILTER (o_orderkey % 97 <> 7) AS BIGINT) AS custkeys FROM orders", "", "row_count bad_rows custkeys")
+def _s8c(spark, d):
+    """Orders as JSON lines, some of them cut short; read with their lines kept where they don't parse."""
+    path = scratch_path(spark, "lines")
+    line = F.to_json(F.struct("o_orderkey", "o_custkey", "o_orderstatus"))
+    spark.read.parquet(f"{d}/orders.parquet").select(F.when(F.col("o_orderkey") % 97 == 7, F.substring(line, 1, 20)).otherwise(line).alias("value")).write.text(path)
+    checked = discovery.read_checked(spark, path, "o_orderkey long, o_custkey long, o_orderstatus string", "json")
+    sums = checked.filter("corrupt_record is null").agg(F.sum("o_custkey").alias("custkeys"))
+    report = discovery.bad_row_report(checked).agg(F.sum("row_count").alias("row_count"), F.sum("bad_rows").alias("bad_rows"))
+    return report.withColumn("_k", F.lit(1)).join(F.broadcast(sums.withColumn("_k", F.lit(1))), "_k").drop("_k")  # one row each
+
+
 from panelforge.plans import marts as _marts  # noqa: E402, F401  registers its queries
