@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from statistics import NormalDist
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelforge.operators import backtest, matchups
+from panelforge.operators import backtest, matchups, panels
 from panelforge.plans.adapter import GAMES_SQL, defense, games, offense, plays, results
 from panelforge.plans.queries import DEFENSE_SQL, OFFENSE_SQL, query
-from panelforge.sources import tables
+from panelforge.sources import clustered, tables
 from panelforge.sources.scratch import scratch_path
 
 OFF = ("value_l4", "success_l4", "explosive_l4", "near_td_l4")
@@ -160,3 +161,21 @@ def _s8(spark, d):
 def _q6(spark, d):
     one = plays(spark, d).groupBy("season").agg(F.count("*").alias("plays"), F.count_distinct("game_id").alias("games"), F.count_distinct("week").alias("weeks"), F.avg("epa").alias("value"))
     return one.withColumn("expected", F.when(F.col("plays").between(4000, 50000) & (F.col("weeks") == 12) & (F.abs("value") <= 0.3), 1).otherwise(0))
+
+
+def clustered_panel(spark: SparkSession, d: str) -> DataFrame:
+    """The offense panel in 8 buckets by team, sorted in time."""
+    name = f"panel_{uuid.uuid4().hex}"
+    clustered.write_clustered(offense(spark, d).select("team", "season", "week", "value_per_play", "plays"), name, ["team"], ["season", "week"], 8, scratch_path(spark, "panel"))
+    return clustered.read_clustered(spark, name)
+
+
+@query("l1_clustered_panel", "SELECT team, season, week, avg(value_per_play) OVER w AS value_l4, CAST(sum(plays) OVER w AS BIGINT) AS plays_l4 FROM offense WINDOW w AS (PARTITION BY team ORDER BY season, week ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)", "value_l4", "team season week plays_l4", OFFENSE_SQL)
+def _l1(spark, d):
+    """Rolling columns over the clustered panel: the window shuffles nothing."""
+    return panels.rolling(clustered_panel(spark, d), {"value_l4": "avg(value_per_play)", "plays_l4": "sum(plays)"}, "team", "season", "week").select("team", "season", "week", "value_l4", "plays_l4")
+
+
+@query("l7_top_audit", " UNION ALL ".join(f"(SELECT '{c.removeprefix('round(').removesuffix(', 9)')}' AS column_name, '{side}' AS side, row_number() OVER (ORDER BY {c} {way}, team, season, week) AS place, {c} AS value, team, season, week FROM offense WHERE {c} IS NOT NULL QUALIFY place <= 10)" for c in ("plays_l4", "round(success_l4, 9)") for side, way in (("top", "DESC"), ("bottom", "ASC"))), "value", "column_name side place team season week", OFFENSE_SQL)
+def _l7(spark, d):
+    return clustered.top_audit(offense(spark, d).withColumn("success_l4", F.round("success_l4", 9)), ["plays_l4", "success_l4"], ["team", "season", "week"])
