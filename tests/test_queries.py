@@ -42,3 +42,15 @@ def test_matches_sql(spark, duck, name):
 @pytest.mark.parametrize("name", ["m1_elo_history", "m3_current_ratings"])
 def test_runs(spark, name):
     assert QUERIES[name](spark, DATA).count() > 0
+
+
+def test_ties_of_means_round_alike(spark):
+    """At sf0.01 a mean is exactly half a unit of the last digit shown."""
+    larger = DATA.replace("0.001", "0.01")
+    con = duckdb.connect()
+    for f in os.listdir(larger):
+        con.execute(f"create view {f[:-8]} as select * from read_parquet('{larger}/{f}')")
+    got = QUERIES["w5_rolling_defense"](spark, larger)
+    cols = sorted(got.columns)
+    want = con.execute(f"select {', '.join(cols)} from ({ORACLES['w5_rolling_defense']})").fetchall()
+    assert sorted((tuple(r[c] for c in cols) for r in got.collect()), key=repr) == sorted(want, key=repr)
