@@ -173,6 +173,25 @@ def test_planted_passages_are_found_by_brute_force_s_standard(spark, seed):
         assert all(got[i]["match_doc_id"] in h for i in h)
 
 
+@pytest.mark.parametrize("holders,families", [(1, 12), (3, 8), (10, 4), (30, 3), (100, 2)])
+def test_edited_passages_are_found_however_many_texts_hold_them(spark, holders, families):
+    # a passage of 55 words and copies of it with one word changed: at worst 46 of 56 shingles are shared with it
+    r, rows, edited = random.Random(holders), [], []
+    for k in range(families):
+        passage = prose(50_000 + 1000 * holders + k, 55).split()
+        for j in range(holders + 1):
+            mine = list(passage)
+            if j:
+                mine[r.randrange(55)] = f"e{j}"
+                edited.append(len(rows))
+            rows.append((len(rows), " ".join([prose(60_000 + 10_000 * holders + 1000 * k + 2 * j, 40), *mine, prose(60_001 + 10_000 * holders + 1000 * k + 2 * j, 40)]), "a"))
+    clean = [(len(rows) + i, prose(900_000 + i, 135), "a") for i in range(20)]
+    r.shuffle(rows)
+    got = {x["doc_id"] for x in repeated_passages(docs(spark, rows + clean)).collect()}
+    assert len(got & set(edited)) >= 0.9 * len(edited)
+    assert not got & {i for i, _, _ in clean}
+
+
 def test_mix_targets_by_hand_and_documents_of_the_mix(spark):
     # sizes 500, 100, 40: of 640 words the second and third get three times their size at most
     rows = [(i, prose(i, 50), "a") for i in range(10)] + [(20, prose(20, 60), "b"), (21, prose(21, 40), "b"), (30, prose(30, 40), None), (31, None, None)]
