@@ -16,7 +16,7 @@ DataFrame functions only.
 Defined results: a null text is empty and has no spans; offsets are code points, end exclusive;
 in a table without rejected runs the prior of English letters alone stands for ordinary text;
 repeated rows are candidates of their own and get equal spans; very long texts are scanned whole, and the time for
-one grows with the square of its matches; an empty table gives no rows; other columns are ignored.
+one grows with its matches to the power of 1.5, with a small factor; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import let, staged
+from panelforge.llm.common import blocks, let, running, staged
 
 #: Kind, pattern of one match, shortest match (of group 2 where there is one), cheap test.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -48,11 +48,21 @@ def matches(text: Column, pattern: str, kind: int) -> Column:
     The pieces between the matches come from `split`, so running sums of lengths give offsets.
     """
     found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern)
-    sizes = F.zip_with(found, F.transform(gaps, lambda g: F.length(g)), lambda m, g: F.struct(g.alias("gap"), F.length(m).alias("size"), m.alias("match")))
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<struct<start:bigint,kind:int,end:bigint,match:string>>").alias("out"))
-    hit = lambda a, x: F.struct((a["at"] + x["gap"]).alias("start"), F.lit(kind).alias("kind"), (a["at"] + x["gap"] + x["size"]).alias("end"), x["match"].alias("match"))
-    step = lambda a, x: F.struct((a["at"] + x["gap"] + x["size"]).alias("at"), F.concat(a["out"], F.array(hit(a, x))).alias("out"))
-    return F.aggregate(F.filter(sizes, lambda x: x["match"].isNotNull()), start, step, lambda a: a["out"])
+    sizes = F.filter(F.zip_with(found, F.transform(gaps, lambda g: F.length(g)), lambda m, g: F.struct(g.cast("bigint").alias("gap"), F.length(m).cast("bigint").alias("size"), m.alias("match"))), lambda x: x["match"].isNotNull())
+    ends = lambda xs: running(F.transform(xs, lambda x: x["gap"] + x["size"]), lambda a, n: a + n)
+    return let(sizes, lambda xs: F.zip_with(xs, ends(xs), lambda x, e: F.struct((e - x["size"]).alias("start"), F.lit(kind).alias("kind"), e.alias("end"), x["match"].alias("match"))))
+
+
+def outside(runs: Column, spans: Column) -> Column:
+    """The runs that no span overlaps, by a sweep: the farthest end of the spans that begin before a run's end."""
+    event = lambda at, kind, end, run: F.struct(at.alias("at"), F.lit(kind).alias("kind"), end.alias("end"), run.alias("run"))
+    begun = F.transform(spans, lambda x: event(x["start"], 1, x["end"], F.lit(-1)))
+    met = F.transform(runs, lambda x, i: event(x["end"], 0, F.lit(0).cast("bigint"), i))  # before a span that begins at its end
+    events = F.array_sort(F.concat(begun, met))
+    farthest = lambda es: running(F.transform(es, lambda e: e["end"]), lambda a, x: F.greatest(a, x))
+    pairs = let(events, lambda es: F.zip_with(es, farthest(es), lambda e, far: F.struct(e["run"].alias("run"), far.alias("far"))))
+    free = F.filter(F.transform(F.filter(pairs, lambda e: e["run"] >= 0), lambda e: F.struct(F.get(runs, e["run"]).alias("run"), e["far"].alias("far"))), lambda e: e["far"] <= e["run"]["start"])
+    return F.when(F.size(spans) == 0, runs).otherwise(F.transform(free, lambda e: e["run"]))
 
 
 def _bare(spans: Column) -> Column:
@@ -156,12 +166,13 @@ def secret_spans(docs: DataFrame, keep: list[str], least: int = 20, alpha: float
     """The `keep` columns of every row as a struct `_row`, and its _base and _all spans in order."""
     text = F.coalesce(F.col("text"), F.lit(""))
     found = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), base_spans(text).alias("_base"), candidate_runs(text, least).alias("_runs"))
-    found = staged(found.withColumn("_uid", F.monotonically_increasing_id()), "secret-spans")
-    outside = lambda x: ~F.exists("_base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-    runs = found.select("_uid", F.explode(F.filter("_runs", outside)).alias("run"))
-    added = random_runs(runs, alpha, rate).groupBy("_uid").agg(F.collect_list(F.struct("start", F.lit(3).alias("kind"), "end")).alias("_added"))
-    out = found.join(added.hint("merge"), "_uid", "left")  # grows with the corpus
-    return out.select("_row", "_base", F.array_sort(F.concat("_base", F.coalesce("_added", F.array().cast(SPAN)))).alias("_all"))
+    found = found.select("_row", "_base", let(F.col("_runs"), lambda r: let(F.col("_base"), lambda b: outside(r, b))).alias("_runs"))
+    found = staged(found.select("*", (F.size("_runs") > 0).alias("_any"), F.monotonically_increasing_id().alias("_uid")), "secret-spans")
+    added = random_runs(found.select("_uid", F.explode("_runs").alias("run")), alpha, rate).groupBy("_uid").agg(F.collect_list(F.struct("start", F.lit(3).alias("kind"), "end")).alias("_added"))
+    # texts without a run outside the base spans stay where they are
+    whole = found.filter("not _any").select("_row", "_base", F.col("_base").alias("_all"))
+    out = found.filter("_any").join(added.hint("merge"), "_uid", "left")  # grows with the corpus
+    return whole.unionByName(out.select("_row", "_base", F.array_sort(F.concat("_base", F.coalesce("_added", F.array().cast(SPAN)))).alias("_all")))
 
 
 def secret_digests(docs: DataFrame, **options) -> DataFrame:
@@ -176,14 +187,16 @@ def secret_digests(docs: DataFrame, **options) -> DataFrame:
 def redacted(docs: DataFrame, mark: str = "[secret]", **options) -> DataFrame:
     """`docs` with every span of `text` replaced by `mark`; n_chars follows, if there is one."""
     s = secret_spans(docs, docs.columns, **options)
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-
-    def step(a: Column, x: Column) -> Column:
-        gap = F.substring(F.col("_row.text"), (a["at"] + 1).cast("int"), F.greatest(F.lit(0), x["start"] - a["at"]).cast("int"))
-        return F.struct(F.greatest(a["at"], x["end"]).alias("at"), F.when(x["end"] <= a["at"], a["out"]).otherwise(F.concat(a["out"], gap, F.when(x["start"] >= a["at"], F.lit(mark)).otherwise(""))).alias("out"))
-
-    rest = lambda a: F.concat(a["out"], F.substring(F.col("_row.text"), (a["at"] + 1).cast("int"), F.lit(2**31 - 1)))
-    text = F.when(F.size("_all") == 0, F.col("_row.text")).otherwise(F.aggregate("_all", start, step, rest))
+    whole = F.col("_row.text")
+    part = lambda t, at, end: F.substring(t, (at + 1).cast("int"), (end - at).cast("int"))
+    # a span that begins within the spans before it lengthens their mark; the others end a piece of text
+    piece = lambda ends: F.transform("_all", lambda x, i: F.struct(F.coalesce(F.get(ends, i - 1), F.lit(0).cast("bigint")).alias("at"), x["start"].alias("end")))
+    marked = lambda b, t: F.array_join(F.transform(b, lambda x: F.concat(part(t, x["at"] - b[0]["at"], x["end"] - b[0]["at"]), F.lit(mark))), "")
+    # slices of the pieces are cut out of the text, then each slice into its pieces: places in a text are found by walking it
+    cut = lambda ends: F.array_join(F.transform(blocks(F.filter(piece(ends), lambda x: x["end"] >= x["at"])), lambda b: let(part(whole, b[0]["at"], F.element_at(b, -1)["end"]), lambda t: marked(b, t))), "")
+    farthest = running(F.transform("_all", lambda x: x["end"]), lambda a, x: F.greatest(a, x))
+    changed = let(farthest, lambda ends: F.concat(cut(ends), F.substring(whole, (F.element_at(ends, -1) + 1).cast("int"), F.lit(2**31 - 1))))
+    text = F.when(F.size("_all") == 0, whole).otherwise(changed)
     out = s.withColumn("_text", text)
     special = {"text": F.col("_text"), "n_chars": F.when(F.size("_all") == 0, F.col("_row.n_chars")).otherwise(F.length("_text").cast("long")) if "n_chars" in docs.columns else None}
     return out.select(*[(special[c] if c in special else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])

@@ -9,13 +9,16 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from panelforge.llm import attention
 from panelforge.llm.attention import CONTEXT, SPAN, gradient, initial, log_probabilities, unpacked_weights, vocabulary, windows
 from panelforge.llm.centroids import centroid_clusters, nearest
 from panelforge.llm.lm_scoring import lm_scores
 from panelforge.llm.phrases import collocations
+from panelforge.llm.secrets import outside, redacted, secret_digests
 from panelforge.llm.textvec import SLICE_BYTES, Words, bytes_in
+from tests_llm_help import docs_table
 
 DOCS = "doc_id long, text string, lang string, source string, key long, phrase string, f long, bucket int, score double, n_tokens long"  # with clashing names
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -212,3 +215,47 @@ def test_scores_of_tables_without_rows_or_training_texts(spark):
     alone = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     (r,) = lm_scores(docs(spark, [(alone, "one two", "en")])).collect()
     assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) == (True, 3, 0, 0, 0.0) and r["score"] < -5
+
+
+@pytest.mark.parametrize("n", [40, 20_000])
+def test_secrets_of_a_text_with_many_matches(spark, n):
+    r = random.Random(n)
+    parts, want = [], []
+    for i in range(n):
+        parts.append("é " * (i % 3) + "".join(r.choice("0123456789abcdef") for _ in range(32 + i % 5)))
+        if i % 4 == 0:
+            parts.append(f"password={r.randrange(10**9, 10**10)}{'ab' * (i % 2)}")
+        if i % 7 == 0:  # a hex string within an assignment
+            parts.append("token: " + "0f" * 20)
+    text = " ".join(parts)
+    for k, pattern in enumerate((r"(?:password|token)[:=] ?([A-Za-z0-9]{8,})", "[0-9a-f]{32,}")):
+        want += [(m.start(), 2 * k, m.end()) for m in re.finditer(pattern, text)]
+    want.sort()
+    df = docs_table(spark, [(1, text, "en", "a", len(text)), (2, None, None, None, None), (3, "", "en", "a", 0)])
+    got = {x["doc_id"]: x for x in secret_digests(df).collect()}
+    assert got[1]["spans"] == ",".join(f"{('assign', '', 'hex')[k]}:{s}:{e}" for s, k, e in want)
+    assert got[2]["spans"] == got[3]["spans"] == ""
+    plain, at = [], 0
+    for s, _, e in want:
+        if s >= at:
+            plain += [text[at:s], "[secret]"]
+        at = max(at, e)
+    texts = {x["doc_id"]: x["text"] for x in redacted(df).collect()}
+    assert texts == {1: "".join(plain) + text[at:], 2: None, 3: ""}
+
+
+def test_runs_outside_spans_match_all_pairs(spark):
+    r = random.Random(8)
+    rows = []
+    for _ in range(300):
+        spans = sorted((s, r.randrange(3), s + r.randint(1, 12)) for s in (r.randrange(60) for _ in range(r.randrange(6))))
+        at, runs = 0, []
+        while at < 60 and r.random() < 0.8:
+            s = at + r.randrange(1, 9)
+            at = s + r.randint(1, 9)
+            runs.append((s, 3, at, "x"))
+        rows.append((runs, spans))
+    one = "array<struct<start:bigint,kind:int,end:bigint"
+    df = spark.createDataFrame(rows, f"runs {one},match:string>>, spans {one}>>")
+    for runs, spans, got in df.select("*", outside(F.col("runs"), F.col("spans"))).collect():
+        assert [tuple(x) for x in got] == [tuple(x) for x in runs if not any(b["start"] < x["end"] and x["start"] < b["end"] for b in spans)]
