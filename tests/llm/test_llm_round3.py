@@ -17,6 +17,7 @@ from panelforge.llm.centroids import centroid_clusters, nearest
 from panelforge.llm.lm_scoring import lm_scores
 from panelforge.llm.phrases import collocations
 from panelforge.llm.secrets import outside, redacted, secret_digests
+from panelforge.llm.sentencepiece import DEFAULT_MODEL, Encoder, Pieces
 from panelforge.llm.textvec import SLICE_BYTES, Words, bytes_in
 from tests_llm_help import docs_table
 
@@ -259,3 +260,24 @@ def test_runs_outside_spans_match_all_pairs(spark):
     df = spark.createDataFrame(rows, f"runs {one},match:string>>, spans {one}>>")
     for runs, spans, got in df.select("*", outside(F.col("runs"), F.col("spans"))).collect():
         assert [tuple(x) for x in got] == [tuple(x) for x in runs if not any(b["start"] < x["end"] and x["start"] < b["end"] for b in spans)]
+
+
+def without_blanks(kind, n):
+    r = random.Random(n)
+    if kind == "one period":
+        return "abc" * (n // 3)
+    if kind == "one letter":
+        return "a" * n
+    if kind == "words":
+        return "".join(r.choice(["the", "Data", "pipeline", "er", "tion", "über", "x"]) for _ in range(n // 4))
+    return "".join(chr(r.randint(0x4E00, 0x9FFF)) if kind == "ideographs" else r.choice("etaoinshrdlu.é") for _ in range(n))
+
+
+@pytest.mark.parametrize("kind", ["letters", "words", "ideographs", "one period", "one letter"])
+def test_encoder_gives_the_library_s_ids_of_long_texts_without_blanks(kind):
+    library = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=DEFAULT_MODEL)
+    sizes = [100_000, 5_000, 700, 641, 640, 639, 513, 512, 511, 130, 40] if kind in ("letters", "words", "ideographs") else [20_000, 5_000, 600, 512]
+    texts = [without_blanks(kind, n) for n in sizes] + ["a b " + without_blanks(kind, 900) + " c  d"]
+    ids, begin = Encoder(Pieces.load(DEFAULT_MODEL)).encode(texts)
+    for text, a, b in zip(texts, begin, begin[1:]):
+        assert ids[a:b].tolist() == library.encode(text), len(text)
