@@ -86,8 +86,10 @@ def ridge_strength(games: DataFrame, prior_sd: float = 5.0, home_mean: float = 2
     solves by its normal equations (one pass over the games; at most 4,096 teams). The home column
     is scaled so that one penalty serves both priors, and every game also counts as seen from the
     other side, as Spark gives constant columns no weight. Deviation and solution take turns until they settle.
+
+    Games without a team, and of a team with itself, are left out; teams without a score have strength 0.
     """
-    spark = games.sparkSession
+    spark, games = games.sparkSession, games.filter("home_team <> away_team")
     teams = [r["team"] for r in entity_universe(games).orderBy("team").limit(4096).collect()]  # bounded: the normal equations are too
     if len(teams) > 4095:
         raise ValueError("more teams than the normal equations hold")
@@ -114,3 +116,13 @@ def ridge_strength(games: DataFrame, prior_sd: float = 5.0, home_mean: float = 2
     frame.unpersist()
     h = home_mean + beta[n] * scale
     return spark.createDataFrame([(t, float(b), float(h)) for t, b in zip(teams, beta)], "team string, strength double, home_advantage double")
+
+
+def strength_predictions(games: DataFrame, strengths: DataFrame, home_mean: float = 2.5) -> DataFrame:
+    """Each game's predicted margin; a team without a strength has 0, and without any strengths the home advantage is its prior mean."""
+    out = games
+    for p in ("home", "away"):
+        out = out.join(strengths.select(F.col("team").alias(f"{p}_team"), F.col("strength").alias(f"_{p}")), f"{p}_team", "left")
+    advantage = F.broadcast(strengths.agg(F.coalesce(F.first("home_advantage"), F.lit(home_mean)).alias("_advantage")).withColumn("_one", F.lit(1)))  # one row
+    out = out.withColumn("_one", F.lit(1)).join(advantage, "_one")
+    return out.withColumn("strength_spread", F.coalesce("_home", F.lit(0.0)) - F.coalesce("_away", F.lit(0.0)) + F.col("_advantage")).drop("_home", "_away", "_advantage", "_one")

@@ -510,6 +510,12 @@ def _m6(spark, d):
     return ratings.ridge_strength(games(spark, d))
 
 
+@query("m6_strength_predictions")
+def _m6_predictions(spark, d):
+    g = games(spark, d)
+    return ratings.strength_predictions(g, ratings.ridge_strength(g)).select("game_id", "home_team", "away_team", "strength_spread")
+
+
 @query("m5_gbt_scores")
 def _m5(spark, d):
     g = matchups.lagged_sides(games(spark, d), offense(spark, d), "team", "season", "week", FEATURES)

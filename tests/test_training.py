@@ -141,3 +141,33 @@ def test_consistency_finds_planted_mismatches(spark):
     panel = spark.createDataFrame([("A", 1, 1, 0.5), ("B", 1, 1, 0.25)], "team string, season int, week int, v double")
     mart = spark.createDataFrame([("A", "B", 1, 2, 0.5, 0.25), ("B", "A", 1, 2, 0.3, 0.5), ("A", "C", 1, 2, 0.5, 9.0), ("A", "C", 1, 2, 0.5, None)], "home_team string, away_team string, season int, week int, home_v double, away_v double")
     assert [tuple(r) for r in matchups.consistency(mart, panel, "team", "season", "week", "v").collect()] == [(1, 4, 2)]
+
+
+def test_strengths_equal_the_dense_solution_and_predict(spark):
+    r = np.random.default_rng(5)
+    teams = [f"t{i}" for i in range(30)]
+    rows = []
+    for i in range(200):  # one team plays a third of all games, one never scores
+        a, b = ("t0", teams[1 + i % 29]) if i % 3 == 0 else tuple(r.choice(teams[:29], 2, replace=False))
+        rows.append(("p", i, 2001, 1, str(a), str(b), int(r.integers(0, 40)), int(r.integers(0, 30))))
+    odd = [("p", 900, 2001, 1, "t1", "unseen", None, 3), ("p", 901, 2001, 1, "t1", "t1", 30, 3), ("p", 902, 2001, 1, None, "t1", 1, 3)]
+    df = spark.createDataFrame(rows + odd, GAMES)
+    found = ratings.ridge_strength(df).persist()
+    got = {x["team"]: x["strength"] for x in found.collect()}
+    names = sorted(got)
+    assert got["unseen"] == 0 and "t1" in got and None not in got
+    x = np.zeros((len(rows), len(names) + 1))
+    for i, g in enumerate(rows):
+        x[i, names.index(g[4])], x[i, names.index(g[5])], x[i, -1] = 1, -1, 1
+    y = np.array([g[6] - g[7] - 2.5 for g in rows], float)
+    sigma2 = (y @ y) / len(y)
+    for _ in range(100):
+        beta = np.linalg.solve(x.T @ x + sigma2 * np.diag([1 / 25] * len(names) + [1.0]), x.T @ y)
+        sigma2 = np.sum((y - x @ beta) ** 2) / len(y)
+    assert max(abs(got[t] - beta[i]) for i, t in enumerate(names)) < 1e-4
+    assert found.first()["home_advantage"] == pytest.approx(2.5 + beta[-1], abs=1e-4)
+    games = spark.createDataFrame([("t0", "t1"), ("t0", "new"), (None, "t1")], "home_team string, away_team string")
+    spread = {(p["home_team"], p["away_team"]): p["strength_spread"] for p in ratings.strength_predictions(games, found).collect()}
+    home = 2.5 + beta[-1]
+    want = {("t0", "t1"): got["t0"] - got["t1"] + home, ("t0", "new"): got["t0"] + home, (None, "t1"): home - got["t1"]}
+    assert spread.keys() == want.keys() and all(spread[k] == pytest.approx(want[k], abs=1e-4) for k in want)
