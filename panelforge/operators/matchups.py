@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelforge.functions.columns import bucket, clamp, indicator
@@ -97,13 +97,26 @@ def upcoming(games: DataFrame, score: str = "home_score", names: Mapping[str, st
     return games.filter(F.col(score).isNull()).withColumnsRenamed(dict(names)).withColumn("is_playoff", indicator(F.col("week") >= 18))
 
 
-def consistency(features: DataFrame, panel: DataFrame, entity: str, season: str, period: str, column: str, lag: int = 1) -> DataFrame:
-    """Per season: matchups, and those in which a side's feature isn't what the panel has `lag` periods before."""
+def consistency(features: DataFrame, panel: DataFrame, entity: str, season: str, period: str, column: str, lag: int = 1, tolerance: float = 1e-9) -> DataFrame:
+    """Per season: matchups, and those in which a side's feature isn't what the panel has `lag` periods before.
+
+    Doubles are equal within `tolerance` of the larger (of 1 at least), as sums of the same rows in another order differ in
+    their last digits.
+    """
     out = features
     for p in ("home", "away"):
         side = panel.select(F.col(entity).alias(f"{p}_team"), F.col(season), (F.col(period) + lag).alias(period), F.col(column).alias(f"_{p}"))
         out = out.join(side, [f"{p}_team", season, period], "left")
-    differs = ~F.col(f"home_{column}").eqNullSafe(F.col("_home")) | ~F.col(f"away_{column}").eqNullSafe(F.col("_away"))
+    inexact = {dict(features.dtypes)[f"home_{column}"], dict(panel.dtypes)[column]} & {"double", "float"}
+
+    def same(x: Column, y: Column) -> Column:
+        if not inexact:
+            return x.eqNullSafe(y)
+        off = F.abs(x - y)
+        near = (off <= tolerance * F.greatest(F.abs(x), F.abs(y), F.lit(1.0))) & (off < float("inf"))
+        return x.eqNullSafe(y) | F.coalesce(near, F.lit(False))
+
+    differs = ~same(F.col(f"home_{column}"), F.col("_home")) | ~same(F.col(f"away_{column}"), F.col("_away"))
     return out.groupBy(season).agg(F.count("*").alias("games"), F.count_if(differs).alias("mismatches"))
 
 
