@@ -7,7 +7,10 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from panelforge.sources.scratch import Rounds
+from panelforge.sources.scratch import Rounds, scratch_path
+
+#: Elo sweeps of one job, between two tables on disk.
+SWEEPS = 3
 
 
 def elo_move(gap: Column, margin: Column, k: float) -> Column:
@@ -18,7 +21,7 @@ def elo_move(gap: Column, margin: Column, k: float) -> Column:
     return k * F.log(F.abs(margin) + 1) * damp * (won - expected)
 
 
-def elo_history(games: DataFrame, k: float = 20, home: float = 48, initial: float = 1500, regress: float = 0.33, mean: float = 1505, tolerance: float = 1e-10) -> DataFrame:
+def elo_history(games: DataFrame, k: float = 20, home: float = 48, initial: float = 1500, regress: float = 0.33, mean: float = 1505, tolerance: float = 1e-10, block_games: int = 500_000) -> DataFrame:
     """Ratings before and after every game of (pool, game_id, season, week, teams, scores).
 
     A team's rating before a game is the first one and all its gains since, each season's end drawing them to the
@@ -27,37 +30,63 @@ def elo_history(games: DataFrame, k: float = 20, home: float = 48, initial: floa
     whose teams' earlier games are, so it ends at the latest when the longest chain of games is through; as
     a gain hardly depends on far gains, a few sweeps do. Every sweep is two shuffles, by team and by game.
 
+    Sweeps grow with a team's games, so weeks settle in blocks of about `block_games` games, one after the other;
+    each block starts from the ratings that the one before left. Teams and games go by numbers within sweeps.
+
     game_id is unique within a pool and orders the games of a week. Games without both scores, a team or a
     season, and a team's games against itself, are left out. A pool's seasons are those with games; a team's first
     game finds it at the initial rating. A tie moves the ratings like half a win. 0 <= regress < 1.
     """
     if not 0 <= regress < 1:
         raise ValueError("regress must be in [0, 1)")
-    stay = 1 - regress
+    spark, drawn = games.sparkSession, lambda seasons: F.pow(F.lit(1.0 - regress), seasons)
     margin = (F.col("home_score") - F.col("away_score")).cast("double")
     g = games.select("pool", "game_id", "season", "week", "home_team", "away_team", margin.alias("margin")).filter("margin is not null and season is not null and home_team <> away_team")
     seasons = g.select("pool", "season").distinct().withColumn("_s", F.dense_rank().over(Window.partitionBy("pool").orderBy("season")))
     same = g["pool"].eqNullSafe(seasons["pool"]) & (g["season"] == seasons["season"])
-    rounds = Rounds("elo")
-    state = g.join(seasons, same).select(g["*"], "_s", F.lit(0.0).alias("move"), F.lit(0.0).alias("home_pre"), F.lit(0.0).alias("away_pre"))
-    state = rounds.keep(state)
-    n = state.count()
+    whole = Rounds("elo-games").keep(g.join(seasons, same).select(g["*"], "_s", F.monotonically_increasing_id().alias("_g")))
+    if whole.groupBy("pool", "game_id").count().filter("count > 1").limit(1).count():
+        raise ValueError("game_id repeats within a pool")
+
+    before = F.sum("n").over(Window.orderBy("_s", "week").rowsBetween(Window.unboundedPreceding, -1))
+    weeks = whole.groupBy("_s", "week").agg(F.count("*").alias("n")).withColumn("_block", F.coalesce(F.floor(before / block_games), F.lit(0)).cast("int"))  # a row a week
+    sizes = {r["_block"]: r["n"] for r in weeks.groupBy("_block").agg(F.sum("n").alias("n")).orderBy("_block").collect()}
     own = Window.partitionBy("pool", "team").orderBy("season", "week", "game_id")
-    gains = F.coalesce(F.sum(F.col("gain") * F.pow(F.lit(stay), -F.col("_s"))).over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    start = (initial - mean) * F.pow(F.lit(stay), F.col("_s") - F.first("_s").over(own))
-    fixed = ["season", "week", "home_team", "away_team", "margin", "_s"]
-    while True:
-        sides = F.array(F.struct(F.col("home_team").alias("team"), F.col("move").alias("gain"), F.lit(True).alias("at_home")), F.struct(F.col("away_team").alias("team"), (-F.col("move")).alias("gain"), F.lit(False).alias("at_home")))
-        two = state.select("pool", "game_id", *fixed, "move", F.inline(sides)).withColumn("pre", mean + start + gains * F.pow(F.lit(stay), F.col("_s")))
-        one = two.groupBy("pool", "game_id").agg(*[F.first(c).alias(c) for c in [*fixed, "move"]], F.max(F.when(F.col("at_home"), F.col("pre"))).alias("home_pre"), F.max(F.when(~F.col("at_home"), F.col("pre"))).alias("away_pre"))
-        facts = Observation()
-        moved = one.withColumn("_new", elo_move(F.col("home_pre") - F.col("away_pre") + home, F.col("margin"), k)).observe(facts, F.max(F.abs(F.col("_new") - F.col("move"))).alias("most"), F.count("*").alias("n"))
-        state = rounds.keep(moved.select("pool", "game_id", *fixed, F.col("_new").alias("move"), "home_pre", "away_pre"))
-        if facts.get["n"] != n:
-            raise ValueError("game_id repeats within a pool")
-        if (facts.get["most"] or 0.0) <= tolerance:
-            break
-    return state.select("pool", "game_id", "season", "week", "home_team", "away_team", "home_pre", "away_pre", (F.col("home_pre") + F.col("move")).alias("home_post"), (F.col("away_pre") - F.col("move")).alias("away_post"))
+    both = F.array(F.struct(F.col("home_team").alias("team"), F.lit(True).alias("at_home")), F.struct(F.col("away_team").alias("team"), F.lit(False).alias("at_home")))
+    sides = whole.join(weeks, (whole["_s"] == weeks["_s"]) & whole["week"].eqNullSafe(weeks["week"])).select(whole["*"], "_block", F.inline(both))
+    sides = sides.select("_block", "_g", "_s", "margin", "at_home", F.first(2 * F.col("_g") + F.col("at_home").cast("long")).over(own).alias("t"), F.row_number().over(own).alias("pos"), F.first("_s").over(own).alias("_since"))
+    parts = max(8, max(sizes.values(), default=0) // 125_000)
+    path = scratch_path(spark, "elo-sides")
+    sides.repartition("_block", F.pmod("_g", F.lit(parts))).write.partitionBy("_block").parquet(path)
+    sides = spark.read.schema(sides.schema).parquet(path)
+
+    earlier = Window.partitionBy("t").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    here = [F.max(F.when(F.col("at_home") == at, F.col(c))).alias(f"{p}_{c}") for p, at in (("home", True), ("away", False)) for c in ("t", "pos", "base")]
+    pres = [F.max(F.when(F.col("at_home") == at, F.col("pre"))).alias(f"{p}_pre") for p, at in (("home", True), ("away", False))]
+    seats = F.array(*[F.struct(*[F.col(f"{p}_{c}").alias(c) for c in ("t", "pos", "base", "pre")], (sign * F.col("move")).alias("gain"), F.lit(sign > 0).alias("at_home")) for p, sign in (("home", 1), ("away", -1))])
+    once = [F.first(c).alias(c) for c in ("_s", "margin")]
+    known, ratings, settled = Rounds("elo-ratings"), spark.createDataFrame([], "t long, pos int, rating double, _last int"), []
+    for block in sizes:
+        rounds = Rounds("elo")
+        start = mean + (F.coalesce("rating", F.lit(float(initial))) - mean) * drawn(F.col("_s") - F.coalesce("_last", "_since"))
+        mine = sides.filter(F.col("_block") == block).join(ratings.drop("pos"), "t", "left").withColumn("base", start)
+        state = rounds.keep(mine.groupBy("_g").agg(*once, *here).withColumns({c: F.lit(0.0) for c in ("move", "home_pre", "away_pre")}))
+        while True:
+            for _ in range(SWEEPS):
+                two = state.select("_g", "_s", "margin", F.inline(seats))
+                two = two.withColumn("pre", F.col("base") + F.coalesce(F.sum(F.col("gain") * drawn(-F.col("_s"))).over(earlier) * drawn(F.col("_s")), F.lit(0.0)))
+                one = two.groupBy("_g").agg(*once, *here, *pres, F.max(F.when(F.col("at_home"), F.col("gain"))).alias("_old"))
+                state = one.withColumn("move", elo_move(F.col("home_pre") - F.col("away_pre") + home, F.col("margin"), k))
+            facts = Observation()
+            state = rounds.keep(state.observe(facts, F.max(F.abs(F.col("move") - F.col("_old"))).alias("most")).drop("_old"))
+            if (facts.get["most"] or 0.0) <= tolerance:
+                break
+        settled.append(rounds.path)
+        after = state.select("_s", F.inline(seats)).select("t", "pos", (F.col("pre") + F.col("gain")).alias("rating"), F.col("_s").alias("_last"))
+        ratings = known.keep(ratings.unionByName(after).groupBy("t").agg(F.max("pos").alias("pos"), F.max_by("rating", "pos").alias("rating"), F.max_by("_last", "pos").alias("_last")))
+    moves = spark.read.parquet(*settled) if settled else whole.select("_g", *[F.lit(0.0).alias(c) for c in ("move", "home_pre", "away_pre")])
+    done = whole.join(moves.select("_g", "move", "home_pre", "away_pre"), "_g")
+    return done.select("pool", "game_id", "season", "week", "home_team", "away_team", "home_pre", "away_pre", (F.col("home_pre") + F.col("move")).alias("home_post"), (F.col("away_pre") - F.col("move")).alias("away_post"))
 
 
 def current_ratings(history: DataFrame) -> DataFrame:
