@@ -2,36 +2,33 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from panelforge.sources.scratch import Rounds, scratch_path
+from panelforge.operators import elo
+from panelforge.sources.scratch import Rounds, cleared, delete, scratch_path
 
 #: Elo sweeps of one job, between two tables on disk.
-SWEEPS = 3
-
-
-def elo_move(gap: Column, margin: Column, k: float) -> Column:
-    """What the home side gains: by the result against its expectation, the margin, and less for favourites that win."""
-    expected = 1 / (1 + F.pow(F.lit(10.0), -gap / 400))
-    won = F.when(margin == 0, 0.5).otherwise((margin > 0).cast("double"))
-    damp = F.when((gap > 0) & (margin > 0), 2.2 / (gap * 0.001 + 2.2)).otherwise(1.0)
-    return k * F.log(F.abs(margin) + 1) * damp * (won - expected)
+SWEEPS = 5
 
 
-def elo_history(games: DataFrame, k: float = 20, home: float = 48, initial: float = 1500, regress: float = 0.33, mean: float = 1505, tolerance: float = 1e-10, block_games: int = 500_000) -> DataFrame:
+def elo_history(games: DataFrame, k: float = 20, home: float = 48, initial: float = 1500, regress: float = 0.33, mean: float = 1505, tolerance: float = 1e-10, block_games: int = 2_000_000, part_games: int = 100_000) -> DataFrame:
     """Ratings before and after every game of (pool, game_id, season, week, teams, scores).
 
     A team's rating before a game is the first one and all its gains since, each season's end drawing them to the
     mean: a running sum over the team's own games, given the gains. Gains follow from the ratings. Both take turns
-    over all games at once until no gain changes by more than `tolerance`. A sweep makes those games exact
+    over all games at once until no rating changes by more than `tolerance`. A sweep makes those games exact
     whose teams' earlier games are, so it ends at the latest when the longest chain of games is through; as
-    a gain hardly depends on far gains, a few sweeps do. Every sweep is two shuffles, by team and by game.
+    a gain hardly depends on far gains, a few sweeps do.
 
-    Sweeps grow with a team's games, so weeks settle in blocks of about `block_games` games, one after the other;
-    each block starts from the ratings that the one before left. Teams and games go by numbers within sweeps.
+    Teams are dealt by hash to parts of some `part_games` games. A part keeps its teams' games as arrays and tells each other part
+    the ratings that its teams bring to their games: one shuffle a sweep, of 8 bytes a team and game beside the arrays.
+    Sweeps grow with a team's games, so games settle in blocks of `block_games`, in order, one after the other;
+    each block starts from the ratings that the one before left.
 
     game_id is unique within a pool and orders the games of a week. Games without both scores, a team or a
     season, and a team's games against itself, are left out. A pool's seasons are those with games; a team's first
@@ -39,53 +36,58 @@ def elo_history(games: DataFrame, k: float = 20, home: float = 48, initial: floa
     """
     if not 0 <= regress < 1:
         raise ValueError("regress must be in [0, 1)")
-    spark, drawn = games.sparkSession, lambda seasons: F.pow(F.lit(1.0 - regress), seasons)
+    spark = games.sparkSession
     margin = (F.col("home_score") - F.col("away_score")).cast("double")
     g = games.select("pool", "game_id", "season", "week", "home_team", "away_team", margin.alias("margin")).filter("margin is not null and season is not null and home_team <> away_team")
-    seasons = g.select("pool", "season").distinct().withColumn("_s", F.dense_rank().over(Window.partitionBy("pool").orderBy("season")))
-    same = g["pool"].eqNullSafe(seasons["pool"]) & (g["season"] == seasons["season"])
-    whole = Rounds("elo-games").keep(g.join(seasons, same).select(g["*"], "_s", F.monotonically_increasing_id().alias("_g")))
-    if whole.groupBy("pool", "game_id").count().filter("count > 1").limit(1).count():
+    order = ["season", "week", "game_id"]
+    whole = Rounds("elo-games").keep(g.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_g", F.monotonically_increasing_id()))
+    repeats = lambda *by: whole.groupBy(*by).count().filter("count > 1").limit(1).count() > 0
+    if repeats(F.xxhash64("pool", "game_id")) and repeats("pool", "game_id"):
         raise ValueError("game_id repeats within a pool")
 
-    before = F.sum("n").over(Window.orderBy("_s", "week").rowsBetween(Window.unboundedPreceding, -1))
-    weeks = whole.groupBy("_s", "week").agg(F.count("*").alias("n")).withColumn("_block", F.coalesce(F.floor(before / block_games), F.lit(0)).cast("int"))  # a row a week
-    sizes = {r["_block"]: r["n"] for r in weeks.groupBy("_block").agg(F.sum("n").alias("n")).orderBy("_block").collect()}
-    own = Window.partitionBy("pool", "team").orderBy("season", "week", "game_id")
-    both = F.array(F.struct(F.col("home_team").alias("team"), F.lit(True).alias("at_home")), F.struct(F.col("away_team").alias("team"), F.lit(False).alias("at_home")))
-    sides = whole.join(weeks, (whole["_s"] == weeks["_s"]) & whole["week"].eqNullSafe(weeks["week"])).select(whole["*"], "_block", F.inline(both))
-    sides = sides.select("_block", "_g", "_s", "margin", "at_home", F.first(2 * F.col("_g") + F.col("at_home").cast("long")).over(own).alias("t"), F.row_number().over(own).alias("pos"), F.first("_s").over(own).alias("_since"))
-    parts = max(8, max(sizes.values(), default=0) // 125_000)
+    # numbers in the order of the games: a row for each of the sorted partitions
+    slot = F.shiftright("_g", 33)
+    counts = {r[0]: r[1] for r in whole.groupBy(slot).count().collect()}
+    total, begins = 0, []
+    for p in sorted(counts):
+        begins.append((p, total))
+        total += counts[p]
+    begins = F.broadcast(spark.createDataFrame(begins, "_slot long, _begin long"))
+    whole = whole.join(begins, slot == F.col("_slot")).withColumn("n", F.col("_begin") + F.col("_g").bitwiseAND((1 << 33) - 1)).drop("_slot", "_begin", "_g")
+    block_games, cores = min(block_games, max(total, 1)), spark.sparkContext.defaultParallelism
+    parts = -(-block_games // part_games)
+    parts = -(-parts // cores) * cores if parts > 1 else 1
+    rules = elo.Rules(k, home, float(initial), regress, mean, tolerance, parts)
+
+    seasons = whole.select("pool", "season").distinct().select(F.col("pool").alias("_pool"), F.col("season").alias("_season"), F.dense_rank().over(Window.partitionBy("pool").orderBy("season")).alias("_s"))
+    same = F.col("pool").eqNullSafe(F.col("_pool")) & (F.col("season") == F.col("_season"))
+    name = lambda team: [F.xxhash64(F.lit(i), "pool", team) for i in (1, 2)]  # noqa: E731  128 bits
+    part = lambda team: F.pmod(name(team)[0], F.lit(parts)).cast("int")
+    seat = lambda team, other: F.struct(*[h.alias(c) for h, c in zip(name(team), "ab")], part(team).alias("part"), part(other).alias("partner"), F.lit(team == "home_team").alias("home"))
+    sides = whole.join(F.broadcast(seasons), same).select(F.floor(F.col("n") / block_games).cast("int").alias("block"), "n", "_s", "margin", F.inline(F.array(seat("home_team", "away_team"), seat("away_team", "home_team"))))
     path = scratch_path(spark, "elo-sides")
-    sides.repartition("_block", F.pmod("_g", F.lit(parts))).write.partitionBy("_block").parquet(path)
-    sides = spark.read.schema(sides.schema).parquet(path)
-
-    earlier = Window.partitionBy("t").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    here = [F.max(F.when(F.col("at_home") == at, F.col(c))).alias(f"{p}_{c}") for p, at in (("home", True), ("away", False)) for c in ("t", "pos", "base")]
-    pres = [F.max(F.when(F.col("at_home") == at, F.col("pre"))).alias(f"{p}_pre") for p, at in (("home", True), ("away", False))]
-    seats = F.array(*[F.struct(*[F.col(f"{p}_{c}").alias(c) for c in ("t", "pos", "base", "pre")], (sign * F.col("move")).alias("gain"), F.lit(sign > 0).alias("at_home")) for p, sign in (("home", 1), ("away", -1))])
-    once = [F.first(c).alias(c) for c in ("_s", "margin")]
-    known, ratings, settled = Rounds("elo-ratings"), spark.createDataFrame([], "t long, pos int, rating double, _last int"), []
-    for block in sizes:
-        rounds = Rounds("elo")
-        start = mean + (F.coalesce("rating", F.lit(float(initial))) - mean) * drawn(F.col("_s") - F.coalesce("_last", "_since"))
-        mine = sides.filter(F.col("_block") == block).join(ratings.drop("pos"), "t", "left").withColumn("base", start)
-        state = rounds.keep(mine.groupBy("_g").agg(*once, *here).withColumns({c: F.lit(0.0) for c in ("move", "home_pre", "away_pre")}))
-        while True:
-            for _ in range(SWEEPS):
-                two = state.select("_g", "_s", "margin", F.inline(seats))
-                two = two.withColumn("pre", F.col("base") + F.coalesce(F.sum(F.col("gain") * drawn(-F.col("_s"))).over(earlier) * drawn(F.col("_s")), F.lit(0.0)))
-                one = two.groupBy("_g").agg(*once, *here, *pres, F.max(F.when(F.col("at_home"), F.col("gain"))).alias("_old"))
-                state = one.withColumn("move", elo_move(F.col("home_pre") - F.col("away_pre") + home, F.col("margin"), k))
+    sides.groupBy("block", "part").applyInArrow(elo.packed, "block int, part int, data binary").write.partitionBy("block").parquet(path)
+    static = spark.read.schema("part int, data binary, block int").parquet(path)
+
+    shown = lambda df, kind: df.select("part", F.lit(kind).alias("kind"), F.lit(None).cast("int").alias("source"), "data", F.lit(None).cast("double").alias("most"))
+    by_part = lambda df, step, schema=elo.ROWS: df.repartitionById(parts, "part").mapInArrow(partial(step, rules=rules), schema)
+    ratings, settled = shown(spark.createDataFrame([], "part int, data binary"), "ratings"), []
+    for block in range(-(-total // block_games)):
+        mine, rounds, done = shown(static.filter(F.col("block") == block), "static"), Rounds("elo"), Rounds("elo-moves")
+        state, most = by_part(mine.unionByName(ratings), elo.begun), None
+        while most is None or most > tolerance:
+            for _ in range(SWEEPS if parts > 1 else 1):
+                state = by_part(state, elo.swept)
             facts = Observation()
-            state = rounds.keep(state.observe(facts, F.max(F.abs(F.col("move") - F.col("_old"))).alias("most")).drop("_old"))
-            if (facts.get["most"] or 0.0) <= tolerance:
-                break
-        settled.append(rounds.path)
-        after = state.select("_s", F.inline(seats)).select("t", "pos", (F.col("pre") + F.col("gain")).alias("rating"), F.col("_s").alias("_last"))
-        ratings = known.keep(ratings.unionByName(after).groupBy("t").agg(F.max("pos").alias("pos"), F.max_by("rating", "pos").alias("rating"), F.max_by("_last", "pos").alias("_last")))
-    moves = spark.read.parquet(*settled) if settled else whole.select("_g", *[F.lit(0.0).alias(c) for c in ("move", "home_pre", "away_pre")])
-    done = whole.join(moves.select("_g", "move", "home_pre", "away_pre"), "_g")
+            state = rounds.keep(state.observe(facts, F.max("most").alias("most")))
+            most = facts.get["most"] or 0.0
+            cleared(spark)
+        moves = done.keep(by_part(state.unionByName(mine).unionByName(ratings), elo.ended, elo.RESULTS))
+        delete(spark, rounds.path)
+        settled.append(done.path)
+        ratings = shown(moves.filter("data is not null"), "ratings")
+    moves = spark.read.schema(elo.RESULTS).parquet(*settled).filter("n is not null") if settled else spark.createDataFrame([], elo.RESULTS)
+    done = whole.join(moves.select("n", "move", "home_pre", "away_pre"), "n")
     return done.select("pool", "game_id", "season", "week", "home_team", "away_team", "home_pre", "away_pre", (F.col("home_pre") + F.col("move")).alias("home_post"), (F.col("away_pre") - F.col("move")).alias("away_post"))
 
 
