@@ -9,7 +9,9 @@ plain scans instead, so the audit cannot fail in silence; its figure is kept wit
 every vector queries every shard; the beam of a query whose hits fill it widens until they don't, and
 beyond an eighth of the shard a scan takes its place, so a group of alike vectors is found whole
 however large it is. Hits come in blocks of bounded size; they are verified by their cosine in
-double precision. Tasks report counts of links, and of the links themselves only a spanning forest,
+double precision. Graphs and blocks of queries travel in rows of PIECE bytes; a task holds one graph and
+has a span of blocks pass by, and shards are queried SLICE_SHARDS at a time, so that what is shuffled at once
+is so many times the vectors. Tasks report counts of links, and of the links themselves only a spanning forest,
 which is all that the union into components needs.
 
 Equal vectors are one node with a multiplicity. Defined results: null or empty vectors, zero
@@ -21,7 +23,9 @@ times; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -29,12 +33,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.llm.common import staged
+from panelforge.llm.common import bounded_batches, cleared, dropped, staged
 from panelforge.llm.components import connected_components
 
 #: A hit needs the threshold in double precision; the beam ranks by single precision.
 SLACK = 1e-4
 BLOCK = 1 << 21  # numbers in a block of similarities
+PIECE = 1 << 19  # bytes of a graph or of queries that travel as one row
+SPAN_BLOCKS = 16  # blocks of queries that a task has at most, with one graph
+SLICE_SHARDS = 4  # shards that are queried in one job
 
 
 class Graph:
@@ -286,50 +293,74 @@ def _build(links: int, beam: int, start: int, least: float, goal: float, others:
         x = np.stack([np.frombuffer(u, np.float64) for u in group["unit"]])
         g = Graph.build(x, links=links, beam=beam)
         width, recall = g.audited_width(least - SLACK, start, goal, np.frombuffer(others.get(x.shape[1], b""), np.float64))
-        graph = b"".join(layer.astype(np.int32).tobytes() for layer in g.layers)
-        return pd.DataFrame({
-            "dim": [x.shape[1]], "shard": [group["shard"].iloc[0]], "entry": [g.entry], "layers": [len(g.layers)], "graph": [graph], "vectors": [x.tobytes()],
-            "nodes": [group["node"].to_numpy(np.int64).tobytes()], "times": [group["times"].to_numpy(np.int64).tobytes()], "beam": [width], "recall": [recall],
-        })
+        whole = pickle.dumps((x, [layer.astype(np.int32) for layer in g.layers], g.entry, group["node"].to_numpy(np.int64), group["times"].to_numpy(np.int64), width))
+        pieces = [whole[i : i + PIECE] for i in range(0, len(whole), PIECE)]
+        return pd.DataFrame({"dim": x.shape[1], "shard": group["shard"].iloc[0], "piece": range(len(pieces)), "nodes": None, "data": pieces, "beam": width, "recall": recall})
 
     return build
 
 
-GRAPH_SCHEMA = "dim int, shard int, entry int, layers int, graph binary, vectors binary, nodes binary, times binary, beam int, recall double"
-
-
-def _query(links: int, least: float, lockstep: int):
-    def query(key, queries: pd.DataFrame, graphs: pd.DataFrame) -> pd.DataFrame:
-        names = ["node", "other", "n"]
-        if queries.empty or graphs.empty:
-            return pd.DataFrame({c: pd.Series(dtype="Int64") for c in names})
-        r = graphs.iloc[0]
-        x = np.frombuffer(r["vectors"], np.float64).reshape(-1, r["dim"])
-        nodes, times = np.frombuffer(r["nodes"], np.int64), np.frombuffer(r["times"], np.int64)
-        g, at, raw = Graph(x, links), 0, np.frombuffer(r["graph"], np.int32)
-        for k in range(r["layers"]):
-            width = 2 * links if k == 0 else links
-            g.layers.append(raw[at : at + len(x) * width].reshape(len(x), width))
-            at += len(x) * width
-        g.entry = int(r["entry"])
-        ids = queries["node"].to_numpy(np.int64)
-        rows, tree = [], _Forest(ids, nodes)
+#: A graph in pieces, so that no row is large; its beam and its recall are those of the audit.
+GRAPH_SCHEMA = "dim int, shard int, piece int, nodes binary, data binary, beam int, recall double"
+#: A block of queries in pieces: numbers of the nodes, and their unit vectors.
+QUERY_SCHEMA = "dim int, block int, piece int, nodes binary, data binary"
+
+
+def _queries(group: pd.DataFrame) -> pd.DataFrame:
+    """A block's vectors in pieces of some PIECE bytes."""
+    dim, block, step = int(group["dim"].iloc[0]), group["block"].iloc[0], max(1, PIECE // (8 * int(group["dim"].iloc[0])))
+    parts = [group.iloc[i : i + step] for i in range(0, len(group), step)]
+    return pd.DataFrame({"dim": dim, "block": block, "piece": range(len(parts)), "nodes": [p["node"].to_numpy(np.int64).tobytes() for p in parts], "data": [b"".join(p["unit"]) for p in parts]})
+
+
+def _query(batches: Iterator[pa.RecordBatch], links: int, least: float, lockstep: int) -> Iterator[pa.RecordBatch]:
+    """Rows of (dim, shard, block, piece, nodes, data) in this order: first a shard's graph (block -1), then the blocks that query it."""
+
+    def graph(rows: list[tuple]) -> tuple[Graph, np.ndarray, np.ndarray, np.ndarray, int]:
+        x, layers, entry, nodes, times, beam = pickle.loads(b"".join(r[1] for r in rows))
+        g = Graph(x, links)
+        g.layers, g.entry = layers, entry
+        return g, x, nodes, times, beam
+
+    def answered(rows: list[tuple], to: tuple[Graph, np.ndarray, np.ndarray, np.ndarray, int]) -> pa.RecordBatch:
+        g, x, nodes, times, beam = to
+        ids, units = np.concatenate([np.frombuffer(r[0], np.int64) for r in rows]), np.concatenate([np.frombuffer(r[1], np.float64) for r in rows]).reshape(-1, x.shape[1])
+        tree, some, counts = _Forest(ids, nodes), [], []
         for k in range(0, len(ids), lockstep):
-            q = np.stack([np.frombuffer(u, np.float64) for u in queries["unit"].iloc[k : k + lockstep]])
+            q = units[k : k + lockstep]
             mine, n = ids[k : k + lockstep], np.zeros(len(q), np.int64)
-            for i, p in g.hits(q.astype(np.float32), least - SLACK, int(r["beam"])):
-                for j in range(0, len(i), part := max(1, BLOCK // r["dim"])):
+            for i, p in g.hits(q.astype(np.float32), least - SLACK, beam):
+                for j in range(0, len(i), part := max(1, BLOCK // x.shape[1])):
                     u, v = i[j : j + part], p[j : j + part]
                     sure = (np.einsum("nd,nd->n", q[u], x[v]) >= least) & (mine[u] != nodes[v])
                     u, v = u[sure], v[sure]
                     n += np.bincount(u, times[v], len(q)).astype(np.int64)
                     tree.add(u + k, v)
             on = np.flatnonzero(n)
-            rows.append(pd.DataFrame({"node": mine[on], "other": pd.array([None] * len(on), "Int64"), "n": n[on]}))
-        rows.append(pd.DataFrame({"node": [x for x, _ in tree.links], "other": pd.array([y for _, y in tree.links], "Int64"), "n": [0] * len(tree.links)}, columns=names))
-        return pd.concat(rows, ignore_index=True).astype({"node": "int64", "n": "int64"})
-
-    return query
+            some.append(mine[on])
+            counts.append(n[on])
+        one, two = (np.array([link[side] for link in tree.links], np.int64) for side in (0, 1))
+        some, counts = np.concatenate(some), np.concatenate(counts)
+        other = pa.array(np.concatenate((np.zeros(len(some), np.int64), two)), mask=np.arange(len(some) + len(two)) < len(some))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate((some, one))), other, pa.array(np.concatenate((counts, np.zeros(len(one), np.int64))))], names=["node", "other", "n"])
+
+    at, held, shard, to = None, [], None, None
+
+    def done() -> Iterator[pa.RecordBatch]:
+        nonlocal shard, to
+        if held and at[2] < 0:
+            shard, to = at[:2], None  # the graph before goes first
+            to = graph(held)
+        elif held and shard == at[:2]:
+            yield answered(held, to)
+
+    for batch in batches:
+        for *key, _, nodes, data in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 3, 4, 5))):
+            if key != at:
+                yield from done()
+                at, held = key, []
+            held.append((nodes, data))
+    yield from done()
 
 
 def near_vectors(vectors: DataFrame, least: float = 0.95, shard_rows: int = 32768, block_rows: int = 16384, links: int = 12, beam: int = 32, start: int = 16, goal: float = 0.999, lockstep: int = 1024, audit_rows: int = 512) -> DataFrame:
@@ -338,6 +369,8 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, shard_rows: int = 3276
     audit_rows: vectors of each length, the first by hash, that every shard's audit searches for
     besides its own members; they alone go to the driver and to all tasks.
     """
+    spark = vectors.sparkSession
+    bounded_batches(spark)
     rows = vectors.select(F.monotonically_increasing_id().alias("_uid"), F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     rows = staged(rows.mapInArrow(_normalised, "_uid long, vec_id long, unit binary"), "vectors")
     nodes = rows.filter("unit is not null").groupBy("unit").agg(F.min("_uid").alias("node"), F.count("*").alias("times"), F.min("vec_id").alias("least_id"))
@@ -354,12 +387,22 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, shard_rows: int = 3276
     graphs = staged(placed.groupBy("dim", "shard").applyInPandas(_build(links, beam, start, least, goal, others), GRAPH_SCHEMA), "vector-graphs")
 
     block = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(blocks)).cast("int")
-    queries = placed.select("node", "unit", "dim", block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-    copies = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    keys = ["dim", "shard", "block"]
-    # as many partitions as groups, so that tasks are even
-    found = queries.groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInPandas(_query(links, least, lockstep), "node long, other long, n long")
-    found = staged(found, "vector-links")
+    queries = staged(placed.select("node", "unit", "dim", block.alias("block")).groupBy("dim", "block").applyInPandas(_queries, QUERY_SCHEMA), "vector-queries")
+    # a task holds one graph and has a span of blocks pass by; shards come in slices, so that what is shuffled is so many times the vectors
+    slots = 2 * spark.sparkContext.defaultParallelism
+    spans = min(blocks, max(-(-blocks // SPAN_BLOCKS), -(-slots // SLICE_SHARDS)))
+    order = ["dim", "shard", "block", "piece"]
+    found = []
+    for first in range(0, shards, SLICE_SHARDS):
+        last = min(first + SLICE_SHARDS, shards) - 1
+        one = graphs.filter(F.col("shard").between(first, last)).select("dim", "shard", F.lit(-1).alias("block"), "piece", "nodes", "data", F.explode(F.sequence(F.lit(0), F.lit(spans - 1))).alias("span"))
+        two = queries.select("dim", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("shard"), "block", "piece", "nodes", "data", F.pmod("block", F.lit(spans)).alias("span"))
+        task = (F.col("shard") - first) * spans + F.col("span") + F.col("dim")
+        met = one.unionByName(two).repartitionById(spans * (last - first + 1), task).sortWithinPartitions("dim", "shard", "span", "block", "piece").select(*order, "nodes", "data")
+        found.append(staged(met.mapInArrow(partial(_query, links=links, least=least, lockstep=lockstep), "node long, other long, n long"), "vector-links").staged_at)
+        cleared(spark)
+    dropped(graphs, queries)
+    found = spark.read.schema("node long, other long, n long").parquet(*found)
 
     counts = found.groupBy("node").agg(F.sum("n").alias("_n"))
     roots = connected_components(found.filter("other is not null"), "node", "other").withColumnRenamed("node", "_node")
